@@ -104,9 +104,11 @@ def item_similarity(train: DataFrame, user_col: str = "user_id", item_col: str =
 
 def item_neighbours(sim: DataFrame, k: int | None = None) -> DataFrame:
     """Symmetric (item, neighbour, sim) rows; with ``k`` only the best k per item."""
-    both = (sim.select(F.col("item_a").alias("item"), F.col("item_b").alias("neighbour"), "sim")
-            .unionByName(sim.select(F.col("item_b").alias("item"),
-                                    F.col("item_a").alias("neighbour"), "sim")))
+    # one pass over the pairs: each row yields both directions
+    both = sim.select(F.explode(F.array(
+        F.struct(F.col("item_a").alias("item"), F.col("item_b").alias("neighbour"), "sim"),
+        F.struct(F.col("item_b").alias("item"), F.col("item_a").alias("neighbour"), "sim"),
+    )).alias("p")).select("p.item", "p.neighbour", "p.sim")
     if k is None:
         return both
     return top_n_per_group(both, ["item"], [F.desc("sim"), F.asc("neighbour")], k)

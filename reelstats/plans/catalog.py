@@ -16,7 +16,7 @@ from reelstats.functions.scalars import (
     epoch_to_year_month, strip_brackets, truncate_toward_zero,
 )
 from reelstats.operators import als, clean, coding, dashboard, evaluate, itemcf, profile, serve, stats
-from reelstats.session import scratch_path
+from reelstats.session import materialize, scratch_path
 from reelstats.sources import fixtures, io
 
 KS = (10, 20, 30)
@@ -62,7 +62,9 @@ class Ctx:
     @cached_property
     def ratings(self): return fixtures.ratings(self.spark, self.sf_dir)
     @cached_property
-    def split(self): return coding.hash_split(self.ratings)
+    def split(self):
+        # written once, partitioned by part: the model queries read it many times
+        return materialize(coding.hash_split(self.ratings), "ratings_split", ["split"])
     @cached_property
     def train(self): return fixtures.split_part_of(self.split, "train")
     @cached_property
@@ -80,9 +82,14 @@ class Ctx:
 
     # coded pipeline (dense movie codes, as the models use them)
     @cached_property
-    def coded(self): return coding.code_ratings(self.ratings, "movie_id", "movie_code")
+    def codes(self):
+        return materialize(coding.dense_code(self.ratings, "movie_id", "movie_code"), "movie_codes")
     @cached_property
-    def coded_split(self): return coding.hash_split(self.coded[0])
+    def coded(self):
+        return coding.apply_code(self.ratings, self.codes, "movie_id", "movie_code"), self.codes
+    @cached_property
+    def coded_split(self):
+        return materialize(coding.hash_split(self.coded[0]), "rating_code_split", ["split"])
     @cached_property
     def coded_train(self): return fixtures.split_part_of(self.coded_split, "train")
     @cached_property

@@ -67,9 +67,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str, partition_by: list[str] | None = None):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Used where a plan would otherwise recompute the same input several
+    times.  The copy is on shared storage, so it survives executor loss and
+    cuts the lineage; reading it back gives Spark exact sizes and, with
+    ``partition_by``, partition pruning.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["BASE_CONF", "build_session", "checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["BASE_CONF", "build_session", "checkpoint_dir", "scratch_path", "materialize",
+           "local_path"]
