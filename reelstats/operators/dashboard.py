@@ -52,7 +52,7 @@ def top_by_raters(movies: DataFrame, n: int = 10) -> DataFrame:
 
 def releases_by_month(movies: DataFrame, date_col: str = "movie_release_date") -> DataFrame:
     """Number of movies released per (year, month) of a ``yyyy-MM-dd`` text date."""
-    d = F.to_date(F.col(date_col), "yyyy-MM-dd")
+    d = F.try_to_date(F.col(date_col), "yyyy-MM-dd")
     return (movies.select(F.year(d).alias("year"), F.month(d).alias("month"))
             .where(F.col("year").isNotNull())
             .groupBy("year", "month").agg(F.count(F.lit(1)).alias("count_num")))

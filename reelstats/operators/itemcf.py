@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from reelstats.operators.stats import top_n_per_group
 
 DEFAULT_CHUNK = 2048
+# Largest heavy-user table that is broadcast (rows); larger ones are shuffle-joined.
+HEAVY_BROADCAST_ROWS = 1_000_000
 
 
 def users_min_rated(df: DataFrame, n: int, user_col: str = "user_id") -> DataFrame:
@@ -65,11 +67,20 @@ def co_rating_sums(rows: DataFrame, user_col: str = "user_id", item_col: str = "
     """
     r = rows.select(F.col(user_col).alias("u"), F.col(item_col).alias("i"),
                     F.col(rating_col).alias("r"))
-    sizes = r.groupBy("u").agg(F.count(F.lit(1)).alias("_n"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk))).cast("int")
-    bucketed = (r.join(sizes, "u")
-                .select("u", "i", "r", nb.alias("nb"),
-                        F.pmod(F.xxhash64("i"), nb).cast("int").alias("b")))
+    # Only users with more than ``chunk`` rows are split.  They are found with
+    # a map-side combined count; the common case (none) needs no join at all.
+    heavy = (r.groupBy("u").agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > chunk)
+             .select("u", F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("nb")))
+    n_heavy = heavy.count()
+    if n_heavy == 0:
+        with_nb = r.withColumn("nb", F.lit(1))
+    else:
+        side = F.broadcast(heavy) if n_heavy <= HEAVY_BROADCAST_ROWS else heavy
+        with_nb = (r.join(side, "u", "left")
+                   .withColumn("nb", F.coalesce(F.col("nb"), F.lit(1))))
+    bucketed = with_nb.select("u", "i", "r", "nb",
+                              F.pmod(F.xxhash64("i"), F.col("nb")).cast("int").alias("b"))
     left = bucketed.select("u", F.col("b").alias("b1"),
                            F.explode(F.sequence(F.col("b"), F.col("nb") - 1)).alias("b2"),
                            F.col("i").alias("il"), F.col("r").alias("rl"))
