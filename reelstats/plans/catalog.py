@@ -17,6 +17,7 @@ from reelstats.functions.scalars import (
 )
 from reelstats.operators import als, clean, coding, dashboard, evaluate, itemcf, profile, serve, stats
 from reelstats.session import materialize, scratch_path
+from reelstats.plans import sql_text
 from reelstats.sources import fixtures, io
 
 KS = (10, 20, 30)
@@ -225,6 +226,18 @@ def genre_top10(c: Ctx):
     return stats.genre_top_n(c.movies_attr, c.tags_clean, stats.avg_rating(c.ratings_clean), 10)
 
 
+def sql_popular_items(c: Ctx):
+    return sql_text.popular_items_sql(c.ratings_clean)
+
+
+def sql_popular_items_by_month(c: Ctx):
+    return sql_text.popular_items_by_month_sql(c.ratings_clean)
+
+
+def sql_avg_rating(c: Ctx):
+    return sql_text.avg_rating_sql(c.ratings_clean)
+
+
 # ---------------------------------------------------------------- coding / splits
 def dense_code(c: Ctx):
     return coding.dense_code(c.ratings, "movie_id", "movie_code")
@@ -443,7 +456,8 @@ _ALL = [
     clean_dedupe, clean_drop_null_all, clean_drop_null_any, clean_labels, clean_rating,
     attr_repair, typed_ratings, year_month, distinct_tags,
     popular_items, popular_items_by_month, popular_topn_per_month, avg_rating, movies_with_avg,
-    genre_match, genre_top10, dense_code, rating_code, split_hash, split_random, users_min_rated,
+    genre_match, genre_top10, sql_popular_items, sql_popular_items_by_month, sql_avg_rating,
+    dense_code, rating_code, split_hash, split_random, users_min_rated,
     rating_with_item_mean, rating_mean_key_mixed, item_similarity, item_neighbours,
     item_cf_candidates, item_cf_top30, item_cf_top30_dedup, item_cf_unseen, seen_multiset_diff,
     matched_multiset, explode_recs, array_ops, shared_users, unseen_items, decode_recs,

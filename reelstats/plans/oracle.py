@@ -286,6 +286,9 @@ select year_month, movie_id, count, rank from (
         group by year_month, movie_id) y) z
 where rank <= 10""")
 SQL["avg_rating"] = _with("select movie_id, avg from avg_rating")
+SQL["sql_popular_items"] = SQL["popular_items"]
+SQL["sql_popular_items_by_month"] = SQL["popular_items_by_month"]
+SQL["sql_avg_rating"] = SQL["avg_rating"]
 SQL["movies_with_avg"] = _with(
     "select m.*, a.avg from movies_attr m join avg_rating a on a.movie_id = m.movie_id")
 SQL["genre_match"] = _with(_SUBSTR_GENRES + "select genre, movie_id from gm")
