@@ -28,7 +28,9 @@ def _str(c) -> F.Column:
 
 
 def _order_lines(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    from reelstats.sources.io import spread_if_narrow
+    li = spread_if_narrow(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 

@@ -16,6 +16,19 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
     return reader.csv(path)
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer input splits than the cluster has cores.
+
+    A large table arrives as many files and is left alone (no extra
+    shuffle); a table stored as one unsplittable file would otherwise put
+    all per-row work after the scan into a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "$", header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
 
