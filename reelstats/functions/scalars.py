@@ -100,9 +100,16 @@ def epoch_to_year_month(c) -> Column:
     return (F.year(day) * 100 + F.month(day)).cast("int")
 
 
-def timestamp_to_epoch(c) -> Column:
-    """Wall-clock timestamp (``TIMESTAMP_NTZ`` or ``DATE``) -> epoch seconds, UTC."""
+def timestamp_to_epoch(c, zone_aware: bool = False) -> Column:
+    """Timestamp -> epoch seconds.
+
+    ``TIMESTAMP_NTZ`` / ``DATE`` values are wall-clock times and are read as
+    UTC from their calendar fields; a zone-aware ``TIMESTAMP`` is an instant
+    and converts directly.  Neither depends on the session time zone.
+    """
     ts = col_(c)
+    if zone_aware:
+        return F.unix_seconds(ts)
     days = F.unix_date(ts.cast("date")).cast("bigint")
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 

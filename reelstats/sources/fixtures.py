@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import TimestampType
+
 from reelstats.functions.scalars import timestamp_to_epoch
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -35,6 +37,11 @@ def _order_lines(spark, sf_dir) -> DataFrame:
     return li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def _epoch(df: DataFrame, col: str) -> F.Column:
+    zone_aware = isinstance(df.schema[col].dataType, TimestampType)
+    return timestamp_to_epoch(F.col(col), zone_aware)
+
+
 def _label() -> F.Column:
     stars = (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("string")
     return F.concat(F.lit("allstar"), stars, F.lit("0 rating"))
@@ -51,7 +58,7 @@ def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = F.when(dup, F.array(label, _label())).otherwise(F.array(label))
     main = lines.select(_str("o_custkey").alias("user_id"), _str("l_partkey").alias("movie_id"),
                         F.explode(ratings).alias("user_rating"),
-                        _str(timestamp_to_epoch(F.col("o_orderdate"))).alias("time_stamp"))
+                        _str(_epoch(lines, "o_orderdate")).alias("time_stamp"))
     empty = table(spark, sf_dir, "region").select(
         null.alias("user_id"), null.alias("movie_id"), null.alias("user_rating"),
         null.alias("time_stamp"))

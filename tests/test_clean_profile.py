@@ -114,3 +114,20 @@ def test_clean_tables_pipeline(spark):
     assert r.collect()[0].user_rating == 3.0 and r.count() == 1
     assert m.first().movie_writer == "a" and t.count() == 1
     assert F is not None
+
+
+def test_fixture_epochs_independent_of_timestamp_mode_and_zone(spark):
+    from reelstats.sources import fixtures
+    from tests.conftest import SF001
+    total = lambda: fixtures.ratings_raw(spark, SF001).agg(
+        F.sum(F.col("time_stamp").cast("bigint"))).first()[0]
+    base = total()
+    keys = ["spark.sql.parquet.inferTimestampNTZ.enabled", "spark.sql.session.timeZone"]
+    old = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[0], "false")
+        spark.conf.set(keys[1], "America/Los_Angeles")
+        assert total() == base
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
