@@ -165,8 +165,8 @@ def remove_seen(recs: DataFrame, seen: DataFrame, n: int = 20, user_col: str = "
                 item_col: str = "movie_id") -> DataFrame:
     """Drop items the user already rated, keep the order, re-rank, keep ``n``."""
     kept = recs.join(seen.select(user_col, item_col), [user_col, item_col], "left_anti")
-    ranked = top_n_per_group(kept.withColumnRenamed("rank", "_r0"), [user_col],
-                             [F.asc("_r0"), F.asc(item_col), F.asc("seed")], n)
+    order = [F.asc("_r0"), F.asc(item_col)] + ([F.asc("seed")] if "seed" in recs.columns else [])
+    ranked = top_n_per_group(kept.withColumnRenamed("rank", "_r0"), [user_col], order, n)
     return ranked.drop("_r0").select(user_col, "rank", *[c for c in recs.columns
                                                          if c not in (user_col, "rank")])
 
