@@ -24,7 +24,7 @@ Plan notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstats.operators.stats import top_n_per_group
@@ -65,10 +65,14 @@ def co_rating_sums(rows: DataFrame, user_col: str = "user_id", item_col: str = "
     ``s`` sums min(r_a, r_b) over every pair of rating rows of one user (row
     multiplicity kept); ``n_common`` counts those pairs.
     """
-    r = rows.select(F.col(user_col).alias("u"), F.col(item_col).alias("i"),
-                    F.col(rating_col).alias("r"))
-    # Only users with more than ``chunk`` rows are split.  They are found with
-    # a map-side combined count; the common case (none) needs no join at all.
+    # Copies of one (user, item, rating) are collapsed into a weight first (map-side
+    # combined), so repeated ratings add work once instead of quadratically.
+    r = (rows.groupBy(F.col(user_col).alias("u"), F.col(item_col).alias("i"),
+                      F.col(rating_col).alias("r"))
+         .agg(F.count(F.lit(1)).alias("w")))
+    # Only users with more than ``chunk`` distinct (item, rating) rows are split.
+    # They are found with a map-side combined count; the common case (none)
+    # needs no join at all.
     heavy = (r.groupBy("u").agg(F.count(F.lit(1)).alias("_n"))
              .where(F.col("_n") > chunk)
              .select("u", F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("nb")))
@@ -79,21 +83,22 @@ def co_rating_sums(rows: DataFrame, user_col: str = "user_id", item_col: str = "
         side = F.broadcast(heavy) if n_heavy <= HEAVY_BROADCAST_ROWS else heavy
         with_nb = (r.join(side, "u", "left")
                    .withColumn("nb", F.coalesce(F.col("nb"), F.lit(1))))
-    bucketed = with_nb.select("u", "i", "r", "nb",
+    bucketed = with_nb.select("u", "i", "r", "w", "nb",
                               F.pmod(F.xxhash64("i"), F.col("nb")).cast("int").alias("b"))
     left = bucketed.select("u", F.col("b").alias("b1"),
                            F.explode(F.sequence(F.col("b"), F.col("nb") - 1)).alias("b2"),
-                           F.col("i").alias("il"), F.col("r").alias("rl"))
+                           F.col("i").alias("il"), F.col("r").alias("rl"), F.col("w").alias("wl"))
     right = bucketed.select("u", F.explode(F.sequence(F.lit(0), F.col("b"))).alias("b1"),
                             F.col("b").alias("b2"),
-                            F.col("i").alias("ir"), F.col("r").alias("rr"))
+                            F.col("i").alias("ir"), F.col("r").alias("rr"), F.col("w").alias("wr"))
     same = F.col("b1") == F.col("b2")
     keep = (same & (F.col("il") < F.col("ir"))) | (~same & (F.col("il") != F.col("ir")))
+    ww = F.col("wl") * F.col("wr")
     pairs = (left.join(right, ["u", "b1", "b2"]).where(keep)
              .select(F.least("il", "ir").alias("item_a"), F.greatest("il", "ir").alias("item_b"),
-                     F.least("rl", "rr").alias("m")))
+                     (F.least("rl", "rr") * ww).alias("m"), ww.alias("n")))
     return pairs.groupBy("item_a", "item_b").agg(F.sum("m").alias("s"),
-                                                 F.count(F.lit(1)).alias("n_common"))
+                                                 F.sum("n").cast("bigint").alias("n_common"))
 
 
 def item_similarity(train: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
@@ -125,13 +130,41 @@ def item_neighbours(sim: DataFrame, k: int | None = None) -> DataFrame:
     return top_n_per_group(both, ["item"], [F.desc("sim"), F.asc("neighbour")], k)
 
 
+def weighted_candidates(train: DataFrame, neighbours: DataFrame, user_col: str = "user_id",
+                        item_col: str = "movie_id", min_rated: int = 1) -> DataFrame:
+    """(user, item, seed, sim, w): neighbours of each distinct rated (user, seed).
+
+    ``w`` is the number of rating rows of that (user, seed); the unweighted
+    candidate list repeats each row ``w`` times.
+    """
+    seeds = (users_min_rated(train, min_rated, user_col)
+             .groupBy(F.col(user_col), F.col(item_col).alias("seed"))
+             .agg(F.count(F.lit(1)).alias("w")))
+    nb = neighbours.select(F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim")
+    return seeds.join(nb, "seed").select(user_col, item_col, "seed", "sim", "w")
+
+
 def item_cf_candidates(train: DataFrame, neighbours: DataFrame, user_col: str = "user_id",
                        item_col: str = "movie_id", min_rated: int = 1) -> DataFrame:
-    """(user, item, seed, sim): every neighbour of every rated row."""
-    seeds = users_min_rated(train, min_rated, user_col).select(
-        F.col(user_col), F.col(item_col).alias("seed"))
-    nb = neighbours.select(F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim")
-    return seeds.join(nb, "seed").select(user_col, item_col, "seed", "sim")
+    """(user, item, seed, sim): every neighbour of every rated row (copies kept)."""
+    cand = weighted_candidates(train, neighbours, user_col, item_col, min_rated)
+    return (cand.select(user_col, item_col, "seed", "sim",
+                        F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))).alias("_c"))
+            .drop("_c"))
+
+
+def _expand_ranks(top: DataFrame, user_col: str, n: int) -> DataFrame:
+    """Weighted rows (ranked by ``_r0``, at most n per user) -> ranks 1..n.
+
+    A row of weight w takes w consecutive ranks.  The window runs over at
+    most n rows per user.
+    """
+    w = Window.partitionBy(user_col).orderBy("_r0").rowsBetween(Window.unboundedPreceding, 0)
+    cum = F.sum("w").over(w)
+    return (top.withColumn("_end", cum).withColumn("_start", F.col("_end") - F.col("w") + 1)
+            .where(F.col("_start") <= n)
+            .withColumn("rank", F.explode(F.sequence(F.col("_start").cast("int"),
+                                                     F.least(F.col("_end"), F.lit(n)).cast("int")))))
 
 
 def item_cf_recommend(train: DataFrame, n: int = 30, user_col: str = "user_id",
@@ -147,18 +180,19 @@ def item_cf_recommend(train: DataFrame, n: int = 30, user_col: str = "user_id",
     sim = similarity if similarity is not None else item_similarity(
         train, user_col, item_col, rating_col, mean_key, chunk)
     nb = item_neighbours(sim, n)
-    cand = item_cf_candidates(train, nb, user_col, item_col, min_rated)
+    cand = weighted_candidates(train, nb, user_col, item_col, min_rated)
     if dedupe:
         # max of (sim, -seed): best similarity, then the smallest seed reaching it
         best = F.max(F.struct(F.col("sim"), F.negative("seed").alias("neg"))).alias("best")
         cand = (cand.groupBy(user_col, item_col).agg(best)
                 .select(user_col, item_col, F.negative("best.neg").alias("seed"),
                         F.col("best.sim").alias("sim")))
-        order = [F.desc("sim"), F.asc(item_col)]
-    else:
-        order = [F.desc("sim"), F.asc(item_col), F.asc("seed")]
-    return (top_n_per_group(cand, [user_col], order, n)
-            .select(user_col, "rank", item_col, "seed", "sim"))
+        return (top_n_per_group(cand, [user_col], [F.desc("sim"), F.asc(item_col)], n)
+                .select(user_col, "rank", item_col, "seed", "sim"))
+    # every weighted row holds at least one rank, so the first n rows suffice
+    top = top_n_per_group(cand, [user_col], [F.desc("sim"), F.asc(item_col), F.asc("seed")], n,
+                          rank_col="_r0")
+    return _expand_ranks(top, user_col, n).select(user_col, "rank", item_col, "seed", "sim")
 
 
 def remove_seen(recs: DataFrame, seen: DataFrame, n: int = 20, user_col: str = "user_id",

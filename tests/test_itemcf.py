@@ -131,3 +131,29 @@ def test_users_min_rated(spark):
     df = spark.createDataFrame([(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0)], SCHEMA)
     assert {r.user_id for r in itemcf.users_min_rated(df, 2).collect()} == {1}
     assert itemcf.users_min_rated(df, 1).count() == 3
+
+
+def test_copies_weighted_equal_row_by_row(spark):
+    rnd = random.Random(11)
+    rows = []
+    for u in range(1, 12):
+        for i in rnd.sample(range(1, 10), 4):
+            r = float(rnd.randint(1, 5))
+            rows += [(u, i, r)] * rnd.choice([1, 1, 3, 6])   # groups of copies
+    rows += [(50, i, 4.0) for i in range(1, 10) for _ in range(20)]  # one user of copies
+    train = spark.createDataFrame(rows, SCHEMA)
+    want = brute_similarity(rows)
+    sim = itemcf.item_similarity(train, chunk=3)
+    got = {(r.item_a, r.item_b): r.sim for r in sim.collect()}
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(float(v), rel=1e-12)
+    # row-by-row candidates (no weights) ranked directly
+    nb = itemcf.item_neighbours(sim, 5).select(F.col("item").alias("seed"),
+                                                F.col("neighbour").alias("movie_id"), "sim")
+    plain = train.select("user_id", F.col("movie_id").alias("seed")).join(nb, "seed")
+    want_top = top_n_per_group(plain, ["user_id"], [F.desc("sim"), F.asc("movie_id"), F.asc("seed")], 5)
+    got_top = itemcf.item_cf_recommend(train, 5, similarity=sim)
+    cols = ["user_id", "rank", "movie_id", "seed", "sim"]
+    assert sorted(map(tuple, got_top.select(cols).collect())) == \
+        sorted(map(tuple, want_top.select(cols).collect()))
