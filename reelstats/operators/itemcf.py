@@ -131,13 +131,18 @@ def item_neighbours(sim: DataFrame, k: int | None = None) -> DataFrame:
 
 
 def weighted_candidates(train: DataFrame, neighbours: DataFrame, user_col: str = "user_id",
-                        item_col: str = "movie_id", min_rated: int = 1) -> DataFrame:
+                        item_col: str = "movie_id", min_rated: int = 1,
+                        users: DataFrame | None = None) -> DataFrame:
     """(user, item, seed, sim, w): neighbours of each distinct rated (user, seed).
 
     ``w`` is the number of rating rows of that (user, seed); the unweighted
-    candidate list repeats each row ``w`` times.
+    candidate list repeats each row ``w`` times.  ``users`` restricts the
+    seeds to a set of users before any candidate is generated.
     """
-    seeds = (users_min_rated(train, min_rated, user_col)
+    rated = users_min_rated(train, min_rated, user_col)
+    if users is not None:
+        rated = rated.join(users.select(user_col), user_col, "left_semi")
+    seeds = (rated
              .groupBy(F.col(user_col), F.col(item_col).alias("seed"))
              .agg(F.count(F.lit(1)).alias("w")))
     nb = neighbours.select(F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim")
@@ -170,7 +175,8 @@ def _expand_ranks(top: DataFrame, user_col: str, n: int) -> DataFrame:
 def item_cf_recommend(train: DataFrame, n: int = 30, user_col: str = "user_id",
                       item_col: str = "movie_id", rating_col: str = "user_rating",
                       dedupe: bool = False, mean_key: str = "item", min_rated: int = 1,
-                      chunk: int = DEFAULT_CHUNK, similarity: DataFrame | None = None) -> DataFrame:
+                      chunk: int = DEFAULT_CHUNK, similarity: DataFrame | None = None,
+                      users: DataFrame | None = None) -> DataFrame:
     """Top ``n`` candidate rows per user, ranked 1..n.
 
     Default keeps the original behaviour: an item reached from two seeds
@@ -180,7 +186,8 @@ def item_cf_recommend(train: DataFrame, n: int = 30, user_col: str = "user_id",
     sim = similarity if similarity is not None else item_similarity(
         train, user_col, item_col, rating_col, mean_key, chunk)
     nb = item_neighbours(sim, n)
-    cand = weighted_candidates(train, nb, user_col, item_col, min_rated)
+    # the similarity always uses every user; ``users`` only limits who is served
+    cand = weighted_candidates(train, nb, user_col, item_col, min_rated, users)
     if dedupe:
         # max of (sim, -seed): best similarity, then the smallest seed reaching it
         best = F.max(F.struct(F.col("sim"), F.negative("seed").alias("neg"))).alias("best")

@@ -157,3 +157,12 @@ def test_copies_weighted_equal_row_by_row(spark):
     cols = ["user_id", "rank", "movie_id", "seed", "sim"]
     assert sorted(map(tuple, got_top.select(cols).collect())) == \
         sorted(map(tuple, want_top.select(cols).collect()))
+
+
+def test_user_subset_equals_filtered_full_result(spark):
+    train = spark.createDataFrame(random_ratings(9), SCHEMA)
+    sim = itemcf.item_similarity(train)
+    users = spark.createDataFrame([(1,), (7,), (999,)], "user_id int")
+    sub = itemcf.item_cf_recommend(train, 10, similarity=sim, users=users)
+    full = itemcf.item_cf_recommend(train, 10, similarity=sim).where("user_id in (1, 7, 999)")
+    assert sorted(map(tuple, sub.collect())) == sorted(map(tuple, full.collect()))
