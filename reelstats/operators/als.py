@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -43,22 +44,31 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
 def grid_search(train: DataFrame, check: DataFrame, ranks=REFERENCE_RANKS,
                 regs=REFERENCE_REGS, iters=REFERENCE_ITERS, seed: int = 42,
                 user_col: str = "user_id", item_col: str = "movie_code",
-                rating_col: str = "user_rating") -> DataFrame:
+                rating_col: str = "user_rating", parallelism: int = 1) -> DataFrame:
     """One row per fit: (order, rank, max_iter, reg, rmse) in the original loop order.
 
-    The inputs are persisted for the duration of the search and released after.
+    The inputs are persisted for the duration of the search and released
+    after.  With ``parallelism > 1`` independent fits run as concurrent Spark
+    jobs (each fit is seeded, so the results do not change).
     """
     spark = train.sparkSession
     cols = [user_col, item_col, rating_col]
     tr = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     ck = check.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+    combos = list(enumerate(itertools.product(ranks, regs, iters)))
+
+    def run(item):
+        order, (rank, reg, it) = item
+        model = fit_als(tr, rank, it, reg, seed, user_col, item_col, rating_col)
+        value = rmse(predict(model, ck), rating_col).first()["rmse"]
+        return (order, int(rank), int(it), float(reg), float(value) if value is not None else None)
+
     try:
-        for order, (rank, reg, it) in enumerate(itertools.product(ranks, regs, iters)):
-            model = fit_als(tr, rank, it, reg, seed, user_col, item_col, rating_col)
-            value = rmse(predict(model, ck), rating_col).first()["rmse"]
-            rows.append((order, int(rank), int(it), float(reg),
-                         float(value) if value is not None else None))
+        if parallelism > 1:
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                rows = list(pool.map(run, combos))
+        else:
+            rows = [run(c) for c in combos]
     finally:
         tr.unpersist()
         ck.unpersist()

@@ -27,6 +27,7 @@ DIGITS = 6          # rounding of reported metric percentages
 # Best ALS parameters of the original grid search (rank, iterations, lambda).
 ALS_RANK, ALS_ITERS, ALS_REG = 20, 20, 0.1
 ALS_SEED = 42
+GRID_PARALLELISM = 4  # concurrent ALS fits in the grid search
 
 
 class Ctx:
@@ -424,7 +425,7 @@ def rmse_als(c: Ctx):
 
 
 def als_grid(c: Ctx):
-    grid = als.grid_search(c.coded_train, c.coded_check, seed=ALS_SEED)
+    grid = als.grid_search(c.coded_train, c.coded_check, seed=ALS_SEED, parallelism=GRID_PARALLELISM)
     best = als.best_params(grid).select("rank", "max_iter", "reg", F.lit(True).alias("is_best"))
     return (grid.join(best, ["rank", "max_iter", "reg"], "left")
             .fillna(False, ["is_best"]).orderBy("order"))

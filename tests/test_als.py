@@ -95,3 +95,11 @@ def test_model_save_load(spark, planted):
     a = sorted((r.user_id, r.movie_code, r.prediction) for r in als.predict(model, check).collect())
     b = sorted((r.user_id, r.movie_code, r.prediction) for r in als.predict(again, check).collect())
     assert a == b
+
+
+def test_parallel_grid_equals_sequential(spark, planted):
+    train, check = planted
+    kw = dict(ranks=(1, 2), regs=(0.1,), iters=(2, 3), seed=5)
+    a = als.grid_search(train, check, parallelism=1, **kw).orderBy("order").collect()
+    b = als.grid_search(train, check, parallelism=3, **kw).orderBy("order").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
