@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstats.functions.scalars import date_key, percent_of
-from reelstats.operators.profile import distinct_with_null
 
 
 def _stack(*frames: DataFrame) -> DataFrame:
@@ -108,4 +107,4 @@ def recent_top(movies: DataFrame, recent_n: int = 50, n: int = 10) -> DataFrame:
 
 __all__ = ["totals", "rating_histogram", "top_by_raters", "releases_by_month",
            "releases_pivot", "genre_preference", "poster_popular", "poster_recent",
-           "poster_rated", "recent_top", "distinct_with_null"]
+           "poster_rated", "recent_top"]

@@ -17,6 +17,9 @@ Plan notes
   pairs of one user.  Light users (the usual case) keep one bucket and are
   not replicated.  Pairs are consumed by the partial aggregation in the same
   stage, so they are never shuffled one by one.
+* Copies (the same user, item and rating repeated) are collapsed into a
+  weight before the self-join, and repeated (user, seed) rows before the
+  candidate join; weights turn back into row multiplicities at the end.
 * Only the best ``n`` neighbours of each seed item can reach a user's top
   ``n`` under the order (sim desc, item asc, seed asc), so candidates are
   generated from per-item top-``n`` lists (exact, see tests).
@@ -51,9 +54,9 @@ def item_means(train: DataFrame, user_col: str = "user_id", item_col: str = "mov
     ``mean_key="user"``: mean rating of each *user*, looked up by the item id,
     reproducing the mixed-key join of the original job.
     """
-    key = item_col if mean_key == "item" else user_col
     if mean_key not in ("item", "user"):
         raise ValueError("mean_key must be 'item' or 'user'")
+    key = item_col if mean_key == "item" else user_col
     return (train.groupBy(key).agg(F.avg(rating_col).alias("mean"))
             .withColumnRenamed(key, "item"))
 
