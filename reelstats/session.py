@@ -21,6 +21,25 @@ BASE_CONF = {
 }
 
 
+# Starting point for large clusters (hundreds of executors, tens of TB of input).
+# Shuffles start wide and AQE merges small partitions toward the advisory size,
+# so the same job also runs well on small inputs.  Skewed join partitions
+# larger than 5x the median (and 256 MB) are split at run time.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "reelstats",
                   shuffle_partitions: int | None = None,
                   conf: dict | None = None) -> SparkSession:
@@ -89,5 +108,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["BASE_CONF", "build_session", "checkpoint_dir", "scratch_path", "materialize",
+__all__ = ["BASE_CONF", "CLUSTER_CONF", "build_session", "checkpoint_dir", "scratch_path", "materialize",
            "local_path"]
