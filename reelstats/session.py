@@ -69,7 +69,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster's value is always used when present.  Only when nothing is
     configured (local runs and tests) a fresh folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

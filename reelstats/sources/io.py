@@ -23,10 +23,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     shuffle); a table stored as one unsplittable file would otherwise put
     all per-row work after the scan into a single task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "$", header: bool = True) -> None:
