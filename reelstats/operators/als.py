@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.operators.evaluate import rmse
+from reelstats.operators.itemcf import _tiers
 from reelstats.operators.stats import top_n_per_group
 
 # Grid of the original model search: 3 ranks x 4 lambdas x 2 iteration counts.
@@ -109,11 +110,7 @@ def recommend_unseen(model: ALSModel, seen: DataFrame, users: DataFrame, n: int
     wanted = users.select(user_col).distinct().join(counts, user_col, "left").fillna(0, ["_s"])
     n_items = model.itemFactors.count()
     out = None
-    for light in (True, False):
-        part = wanted.where((F.col("_s") <= light_limit) if light else (F.col("_s") > light_limit))
-        top_s = part.agg(F.max("_s")).first()[0]
-        if top_s is None:
-            continue
+    for part, top_s in _tiers(wanted, "_s", light_limit):
         k = int(min(n_items, n + top_s))
         recs = recommend_for_users(model, part, k, user_col, item_col)
         out = recs if out is None else out.unionByName(recs)

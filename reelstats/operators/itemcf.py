@@ -215,6 +215,58 @@ def remove_seen(recs: DataFrame, seen: DataFrame, n: int = 20, user_col: str = "
                                                          if c not in (user_col, "rank")])
 
 
+def _tiers(counts: DataFrame, col: str, light_limit: int):
+    """(rows, max count) for the light and the heavy tier, from one aggregate."""
+    light = F.col(col) <= light_limit
+    top = counts.agg(F.max(F.when(light, F.col(col))).alias("l"),
+                     F.max(F.when(~light, F.col(col))).alias("h")).first()
+    tiers = []
+    if top["l"] is not None:
+        tiers.append((counts.where(light), int(top["l"])))
+    if top["h"] is not None:
+        tiers.append((counts.where(~light), int(top["h"])))
+    return tiers
+
+
+def recommend_unseen_first(train: DataFrame, n: int = 20, user_col: str = "user_id",
+                           item_col: str = "movie_id", rating_col: str = "user_rating",
+                           mean_key: str = "item", min_rated: int = 1,
+                           chunk: int = DEFAULT_CHUNK, similarity: DataFrame | None = None,
+                           light_limit: int = 1000) -> DataFrame:
+    """Top ``n`` candidate rows per user after removing already rated items.
+
+    Exact without full neighbour lists: a row from seed s can only reach a
+    user's top ``n`` unseen rows if its rank in s's list is at most
+    ``n + seen`` (the rows ahead of it are either unseen rows of the same
+    seed, fewer than n, or seen items).  Users with at most ``light_limit``
+    seen items share one list depth; heavier users get their own (never more
+    than the number of items).
+    """
+    sim = similarity if similarity is not None else item_similarity(
+        train, user_col, item_col, rating_col, mean_key, chunk)
+    rated = users_min_rated(train, min_rated, user_col)
+    seen = rated.select(user_col, item_col).distinct()
+    n_seen = seen.groupBy(user_col).agg(F.count(F.lit(1)).alias("_s"))
+    seeds = (rated.groupBy(F.col(user_col), F.col(item_col).alias("seed"))
+             .agg(F.count(F.lit(1)).alias("w")))
+    out = None
+    for tier, deepest in _tiers(n_seen, "_s", light_limit):
+        nb = item_neighbours(sim, n + int(deepest)).select(
+            F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim",
+            F.col("rank").alias("_nr"))
+        cand = (seeds.join(tier, user_col).join(nb, "seed")
+                .where(F.col("_nr") <= F.col("_s") + n)
+                .join(seen, [user_col, item_col], "left_anti"))
+        top = top_n_per_group(cand, [user_col], [F.desc("sim"), F.asc(item_col), F.asc("seed")],
+                              n, rank_col="_r0")
+        part = _expand_ranks(top, user_col, n).select(user_col, "rank", item_col, "seed", "sim")
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return seeds.select(user_col, F.lit(0).alias("rank"), F.col("seed").alias(item_col),
+                            "seed", F.lit(0.0).alias("sim")).limit(0)
+    return out
+
+
 def seen_multiset_diff(recs: DataFrame, seen: DataFrame, user_col: str = "user_id",
                        item_col: str = "movie_id") -> DataFrame:
     """Recommended (user, item) rows minus rated rows, one removal per rated row."""

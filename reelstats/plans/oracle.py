@@ -330,6 +330,14 @@ select user_id, rank, movie_id, seed, sim from (
   select *, cast(row_number() over (partition by user_id order by sim desc, movie_id) as int) as rank
   from best) y where rank <= 30""", True)
 SQL["item_cf_unseen"] = _with("select user_id, rank, movie_id, seed, sim from unseen20", True)
+SQL["item_cf_unseen_first"] = _with(r"""
+, allc as (
+  select t.user_id, n.neighbour as movie_id, t.movie_id as seed, n.sim
+  from train t join nb n on n.item = t.movie_id
+  where not exists (select 1 from train s where s.user_id = t.user_id and s.movie_id = n.neighbour))
+select user_id, rank, movie_id, seed, sim from (
+  select *, cast(row_number() over (partition by user_id order by sim desc, movie_id, seed) as int) as rank
+  from allc) x where rank <= 20""", True)
 SQL["seen_multiset_diff"] = _with(
     "select user_id, movie_id from top30 except all select user_id, movie_id from train", True)
 SQL["matched_multiset"] = _with(

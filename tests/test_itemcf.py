@@ -166,3 +166,16 @@ def test_user_subset_equals_filtered_full_result(spark):
     sub = itemcf.item_cf_recommend(train, 10, similarity=sim, users=users)
     full = itemcf.item_cf_recommend(train, 10, similarity=sim).where("user_id in (1, 7, 999)")
     assert sorted(map(tuple, sub.collect())) == sorted(map(tuple, full.collect()))
+
+
+@pytest.mark.parametrize("light_limit", [1000, 2])
+def test_unseen_first_equals_brute_force(spark, light_limit):
+    train = spark.createDataFrame(random_ratings(13), SCHEMA)
+    sim = itemcf.item_similarity(train)
+    got = itemcf.recommend_unseen_first(train, 4, similarity=sim, light_limit=light_limit)
+    # unpruned: every neighbour of every rated row, seen items removed, then the top 4
+    cand = itemcf.item_cf_candidates(train, itemcf.item_neighbours(sim, None))
+    cand = cand.join(train.select("user_id", "movie_id"), ["user_id", "movie_id"], "left_anti")
+    want = top_n_per_group(cand, ["user_id"], [F.desc("sim"), F.asc("movie_id"), F.asc("seed")], 4)
+    cols = ["user_id", "rank", "movie_id", "seed", "sim"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
