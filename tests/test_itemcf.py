@@ -179,3 +179,24 @@ def test_unseen_first_equals_brute_force(spark, light_limit):
     want = top_n_per_group(cand, ["user_id"], [F.desc("sim"), F.asc("movie_id"), F.asc("seed")], 4)
     cols = ["user_id", "rank", "movie_id", "seed", "sim"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_similarity_properties(spark):
+    train = spark.createDataFrame(random_ratings(21), SCHEMA)
+    sim = itemcf.item_similarity(train)
+    assert sim.where("item_a >= item_b or sim <= 0 or sim is null").count() == 0
+    nb = {(r.item, r.neighbour): r.sim for r in itemcf.item_neighbours(sim).collect()}
+    assert all(nb[(b, a)] == s for (a, b), s in nb.items())
+    # n_common equals the number of co-rating row pairs
+    rows = random_ratings(21)
+    by_user = {}
+    for u, i, _ in rows:
+        by_user.setdefault(u, []).append(i)
+    want = {}
+    for items in by_user.values():
+        for a in items:
+            for b in items:
+                if a < b:
+                    want[(a, b)] = want.get((a, b), 0) + 1
+    got = {(r.item_a, r.item_b): r.n_common for r in itemcf.co_rating_sums(train, chunk=5).collect()}
+    assert got == want
