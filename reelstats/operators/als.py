@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.operators.evaluate import rmse
-from reelstats.operators.itemcf import _tiers
+from reelstats.operators.itemcf import TIER_BOUNDS, _tiers
 from reelstats.operators.stats import top_n_per_group
 
 # Grid of the original model search: 3 ranks x 4 lambdas x 2 iteration counts.
@@ -96,21 +96,21 @@ def recommend_for_users(model: ALSModel, users: DataFrame, k: int,
 
 def recommend_unseen(model: ALSModel, seen: DataFrame, users: DataFrame, n: int = 20,
                      user_col: str = "user_id", item_col: str = "movie_code",
-                     light_limit: int = 1000) -> DataFrame:
+                     tier_bounds=TIER_BOUNDS) -> DataFrame:
     """Top ``n`` items per user among items the user has not rated.
 
     Exact: the best ``n`` unseen items are among the best ``n + s`` items where
-    ``s`` is the user's number of rated items.  Users with at most
-    ``light_limit`` rated items share one request of ``n + max s``; heavier
-    users get a second request sized by their own maximum (never more than
-    the number of items).  Both requests are distributed block products.
+    ``s`` is the user's number of rated items.  Users are grouped into
+    geometric tiers of ``s``; each tier makes one request of ``n + max s`` in
+    the tier (never more than the number of items).  Every request is a
+    distributed block product.
     """
     seen_items = seen.select(user_col, item_col).distinct()
     counts = seen_items.groupBy(user_col).agg(F.count(F.lit(1)).alias("_s"))
     wanted = users.select(user_col).distinct().join(counts, user_col, "left").fillna(0, ["_s"])
     n_items = model.itemFactors.count()
     out = None
-    for part, top_s in _tiers(wanted, "_s", light_limit):
+    for part, top_s in _tiers(wanted, "_s", tier_bounds):
         k = int(min(n_items, n + top_s))
         recs = recommend_for_users(model, part, k, user_col, item_col)
         out = recs if out is None else out.unionByName(recs)

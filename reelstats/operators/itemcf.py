@@ -215,32 +215,43 @@ def remove_seen(recs: DataFrame, seen: DataFrame, n: int = 20, user_col: str = "
                                                          if c not in (user_col, "rank")])
 
 
-def _tiers(counts: DataFrame, col: str, light_limit: int):
-    """(rows, max count) for the light and the heavy tier, from one aggregate."""
-    light = F.col(col) <= light_limit
-    top = counts.agg(F.max(F.when(light, F.col(col))).alias("l"),
-                     F.max(F.when(~light, F.col(col))).alias("h")).first()
-    tiers = []
-    if top["l"] is not None:
-        tiers.append((counts.where(light), int(top["l"])))
-    if top["h"] is not None:
-        tiers.append((counts.where(~light), int(top["h"])))
-    return tiers
+TIER_BOUNDS = (64, 256, 1024, 4096)
+
+
+def _tiers(counts: DataFrame, col: str, bounds=TIER_BOUNDS):
+    """Split users by ``col`` into geometric tiers: [(rows, max count in tier)].
+
+    Every tier is served at the depth its largest member needs, so a user
+    never gets more than ~4x the depth it needs; one aggregate finds all
+    tier maxima.  Empty tiers are skipped.
+    """
+    edges = [None, *sorted(bounds), None]
+    conds = []
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        c = F.lit(True)
+        if lo is not None:
+            c = c & (F.col(col) > lo)
+        if hi is not None:
+            c = c & (F.col(col) <= hi)
+        conds.append(c)
+    top = counts.agg(*[F.max(F.when(c, F.col(col))).alias(f"t{i}")
+                       for i, c in enumerate(conds)]).first()
+    return [(counts.where(c), int(top[f"t{i}"])) for i, c in enumerate(conds)
+            if top[f"t{i}"] is not None]
 
 
 def recommend_unseen_first(train: DataFrame, n: int = 20, user_col: str = "user_id",
                            item_col: str = "movie_id", rating_col: str = "user_rating",
                            mean_key: str = "item", min_rated: int = 1,
                            chunk: int = DEFAULT_CHUNK, similarity: DataFrame | None = None,
-                           light_limit: int = 1000) -> DataFrame:
+                           tier_bounds=TIER_BOUNDS) -> DataFrame:
     """Top ``n`` candidate rows per user after removing already rated items.
 
     Exact without full neighbour lists: a row from seed s can only reach a
     user's top ``n`` unseen rows if its rank in s's list is at most
     ``n + seen`` (the rows ahead of it are either unseen rows of the same
-    seed, fewer than n, or seen items).  Users with at most ``light_limit``
-    seen items share one list depth; heavier users get their own (never more
-    than the number of items).
+    seed, fewer than n, or seen items).  Users are grouped into geometric
+    tiers of seen-item counts and each tier reads the lists to its own depth.
     """
     sim = similarity if similarity is not None else item_similarity(
         train, user_col, item_col, rating_col, mean_key, chunk)
@@ -250,7 +261,7 @@ def recommend_unseen_first(train: DataFrame, n: int = 20, user_col: str = "user_
     seeds = (rated.groupBy(F.col(user_col), F.col(item_col).alias("seed"))
              .agg(F.count(F.lit(1)).alias("w")))
     out = None
-    for tier, deepest in _tiers(n_seen, "_s", light_limit):
+    for tier, deepest in _tiers(n_seen, "_s", tier_bounds):
         nb = item_neighbours(sim, n + int(deepest)).select(
             F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim",
             F.col("rank").alias("_nr"))

@@ -53,8 +53,8 @@ def test_recommend_unseen_invariants(spark, planted):
     train, _ = planted
     model = als.fit_als(train, rank=2, max_iter=5, reg=0.1, seed=3)
     users = train.select("user_id").distinct()
-    for light_limit in (1000, 5):  # second setting sends most users down the heavy path
-        recs = als.recommend_unseen(model, train, users, 5, light_limit=light_limit)
+    for bounds in ((1000,), (4, 8, 16)):  # the second splits users over several tiers
+        recs = als.recommend_unseen(model, train, users, 5, tier_bounds=bounds)
         assert recs.join(train, ["user_id", "movie_code"], "left_semi").count() == 0
         per_user = recs.groupBy("user_id").agg(F.count("*").alias("n"), F.max("rank").alias("m"))
         assert per_user.where("n != 5 or m != 5").count() == 0

@@ -168,11 +168,11 @@ def test_user_subset_equals_filtered_full_result(spark):
     assert sorted(map(tuple, sub.collect())) == sorted(map(tuple, full.collect()))
 
 
-@pytest.mark.parametrize("light_limit", [1000, 2])
-def test_unseen_first_equals_brute_force(spark, light_limit):
+@pytest.mark.parametrize("bounds", [(64, 256), (1, 2, 4)])
+def test_unseen_first_equals_brute_force(spark, bounds):
     train = spark.createDataFrame(random_ratings(13), SCHEMA)
     sim = itemcf.item_similarity(train)
-    got = itemcf.recommend_unseen_first(train, 4, similarity=sim, light_limit=light_limit)
+    got = itemcf.recommend_unseen_first(train, 4, similarity=sim, tier_bounds=bounds)
     # unpruned: every neighbour of every rated row, seen items removed, then the top 4
     cand = itemcf.item_cf_candidates(train, itemcf.item_neighbours(sim, None))
     cand = cand.join(train.select("user_id", "movie_id"), ["user_id", "movie_id"], "left_anti")
