@@ -279,6 +279,11 @@ def item_neighbours(c: Ctx):
     return itemcf.item_neighbours(c.similarity, TOP_N)
 
 
+def item_neighbours_all(c: Ctx):
+    """Every co-rated pair in both directions (no per-item limit)."""
+    return itemcf.item_neighbours(c.similarity)
+
+
 def item_cf_candidates(c: Ctx):
     return itemcf.item_cf_candidates(c.train, itemcf.item_neighbours(c.similarity, TOP_N))
 
@@ -465,6 +470,7 @@ _ALL = [
     genre_match, genre_top10, sql_popular_items, sql_popular_items_by_month, sql_avg_rating,
     dense_code, rating_code, split_hash, split_random, users_min_rated,
     rating_with_item_mean, rating_mean_key_mixed, item_similarity, item_neighbours,
+    item_neighbours_all,
     item_cf_candidates, item_cf_top30, item_cf_top30_dedup, item_cf_unseen, item_cf_unseen_first,
     seen_multiset_diff,
     matched_multiset, explode_recs, array_ops, shared_users, unseen_items, decode_recs,

@@ -319,6 +319,9 @@ select t.user_id, t.movie_id, t.user_rating, m.mean from train t
 join (select user_id, avg(user_rating) as mean from train group by user_id) m on m.user_id = t.movie_id""")
 SQL["item_similarity"] = _with("select item_a, item_b, sim from sim", True)
 SQL["item_neighbours"] = _with("select item, neighbour, sim, rank from nb30", True)
+SQL["item_neighbours_all"] = _with(
+    "select item_a as item, item_b as neighbour, sim from sim "
+    "union all select item_b, item_a, sim from sim", True)
 SQL["item_cf_candidates"] = _with("select user_id, movie_id, seed, sim from cand", True)
 SQL["item_cf_top30"] = _with("select user_id, rank, movie_id, seed, sim from top30", True)
 SQL["item_cf_top30_dedup"] = _with(r"""
