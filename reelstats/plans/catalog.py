@@ -16,8 +16,8 @@ from reelstats.functions.scalars import (
     epoch_to_year_month, strip_brackets, truncate_toward_zero,
 )
 from reelstats.operators import als, clean, coding, dashboard, evaluate, itemcf, profile, serve, stats
-from reelstats.session import materialize, scratch_path
 from reelstats.plans import sql_text
+from reelstats.session import materialize, scratch_path
 from reelstats.sources import fixtures, io
 
 KS = (10, 20, 30)
@@ -462,22 +462,30 @@ def eval_als(c: Ctx):
 
 
 _ALL = [
+    # profiling and cleaning
     profile_counts, profile_duplicates, profile_nulls, profile_distinct, profile_anomaly_any_col,
     profile_rating_labels, avg_activity_per_user, avg_activity_per_item, top10_by_raters,
     clean_dedupe, clean_drop_null_all, clean_drop_null_any, clean_labels, clean_rating,
     attr_repair, typed_ratings, year_month, distinct_tags,
+    # statistics
     popular_items, popular_items_by_month, popular_topn_per_month, avg_rating, movies_with_avg,
     genre_match, genre_top10, sql_popular_items, sql_popular_items_by_month, sql_avg_rating,
+    # coding and splits
     dense_code, rating_code, split_hash, split_random, users_min_rated,
+    # item-CF
     rating_with_item_mean, rating_mean_key_mixed, item_similarity, item_neighbours,
-    item_neighbours_all,
-    item_cf_candidates, item_cf_top30, item_cf_top30_dedup, item_cf_unseen, item_cf_unseen_first,
-    seen_multiset_diff,
-    matched_multiset, explode_recs, array_ops, shared_users, unseen_items, decode_recs,
+    item_neighbours_all, item_cf_candidates, item_cf_top30, item_cf_top30_dedup, item_cf_unseen,
+    item_cf_unseen_first, seen_multiset_diff, matched_multiset, explode_recs, array_ops,
+    shared_users, unseen_items, decode_recs,
+    # evaluation
     eval_macro_at_k, eval_micro_at_k, rmse_item_mean, format_metrics, truncate_rating,
+    # dashboard
     rating_histogram, dashboard_totals, releases_by_month, releases_pivot, genre_preference,
-    recent_top10, poster_popular50, poster_recent50, poster_rated50, scan_delimited,
-    parse_tuple_text, als_predict, rmse_als, als_grid, als_top30, als_top20, eval_als,
+    recent_top10, poster_popular50, poster_recent50, poster_rated50,
+    # sources
+    scan_delimited, parse_tuple_text,
+    # ALS
+    als_predict, rmse_als, als_grid, als_top30, als_top20, eval_als,
 ]
 
 QUERIES = {fn.__name__: _q(fn) for fn in _ALL}
