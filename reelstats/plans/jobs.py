@@ -138,6 +138,30 @@ def recommend(store: Store, n: int = 20, users: list[int] | None = None) -> None
                              "prediction", "movie_rating"), T_ALS_RECS)
 
 
+def recommend_from_text(spark: SparkSession, user_codes: str, item_codes: str, train_text: str,
+                        model_path: str, names: DataFrame, users: DataFrame | None = None,
+                        n: int = 10, name_col: str = "name") -> DataFrame:
+    """Top ``n`` unseen items per user from tuple-text inputs and a saved ALS model.
+
+    ``user_codes`` / ``item_codes``: lines ``(id,code)``; ``train_text``: lines
+    ``(user_code,item_code,rating)``; ``names``: (item id, ``name_col``) rows, e.g.
+    from ``io.read_jdbc``.  Output: user id, item id, item name and the
+    predicted rating truncated to an integer, as the serving step expects.
+    """
+    ucodes = io.read_tuple_text(spark, user_codes, ["string", "int"], ["user_key", "user_id"])
+    icodes = io.read_tuple_text(spark, item_codes, ["string", "int"], ["item_key", "movie_code"])
+    train = io.read_tuple_text(spark, train_text, ["int", "int", "double"],
+                               ["user_id", "movie_code", "user_rating"])
+    model = als.load_model(model_path)
+    targets = users if users is not None else train.select("user_id").distinct()
+    recs = als.recommend_unseen(model, train, targets, n)
+    id_col = names.columns[0]
+    out = (recs.join(ucodes, "user_id", "left").join(icodes, "movie_code", "left")
+           .join(names.withColumnRenamed(id_col, "item_key"), "item_key", "left"))
+    return out.select("user_key", "item_key", F.col(name_col).alias("item_name"),
+                      F.col("prediction").try_cast("int").alias("rating"), "rank")
+
+
 def dashboard_step(store: Store, out: str, poster_path: str | None = None, sep: str = "$") -> None:
     """JSON datasets of the dashboard under ``out``."""
     movies, ratings, tags = store.read(T_MOVIE_CLEAN), store.read(T_RATING_CLEAN), store.read(T_TAG_CLEAN)

@@ -54,3 +54,33 @@ def test_jobs_end_to_end(spark):
     hist = [json.loads(r.value) for r in spark.read.text(f"{out}/userRL").collect()]
     assert sum(d["y"] for d in hist) == QUERIES["typed_ratings"](spark, SF001).count()
     assert os.path.isdir(local_path(f"{out}/PosterRecent"))
+
+
+def test_recommend_from_text_inputs(spark):
+    from reelstats.operators import als, coding
+    from reelstats.plans.catalog import Ctx
+    c = Ctx(spark, SF001)
+    ratings = c.ratings
+    root = scratch_path(spark, "text-inputs")
+    users = coding.dense_code(ratings, "user_id", "code").select(
+        F.col("user_id").cast("string").alias("key"), "code")
+    items = c.codes.select(F.col("movie_id").cast("string").alias("key"), F.col("movie_code").alias("code"))
+    tuple_text = lambda df, cols: df.select(
+        F.concat(F.lit("("), F.concat_ws(",", *[F.col(x).cast("string") for x in cols]), F.lit(")")).alias("v"))
+    tuple_text(users, ["key", "code"]).write.text(f"{root}/userZipCode")
+    tuple_text(items, ["key", "code"]).write.text(f"{root}/itemZipCode")
+    coded = (ratings.join(users.withColumnRenamed("key", "uk").withColumnRenamed("code", "uc"),
+                          F.col("user_id").cast("string") == F.col("uk"))
+             .join(c.codes, "movie_id"))
+    tuple_text(coded, ["uc", "movie_code", "user_rating"]).write.text(f"{root}/train_data")
+    train = coded.select(F.col("uc").alias("user_id"), "movie_code", "user_rating")
+    als.save_model(als.fit_als(train, rank=4, max_iter=3, reg=0.1, seed=1), f"{root}/model")
+    names = c.movies_raw.select("movie_id", F.col("movie_name").alias("name"))
+    got = jobs.recommend_from_text(spark, f"{root}/userZipCode", f"{root}/itemZipCode",
+                                   f"{root}/train_data", f"{root}/model", names, n=10)
+    n_users = users.count()
+    assert got.count() == 10 * n_users
+    assert got.where("item_name is null or user_key is null or rating is null").count() == 0
+    seen = coded.select(F.col("user_id").cast("string").alias("user_key"),
+                        F.col("movie_id").cast("string").alias("item_key"))
+    assert got.join(seen, ["user_key", "item_key"], "left_semi").count() == 0
