@@ -13,17 +13,21 @@ def dense_code(df: DataFrame, col: str, code_col: str = "code",
     """Map each distinct non-null value of ``col`` to 1..n in sorted order.
 
     Same result as sorting the distinct values and numbering them, without a
-    single-partition window: the distinct values are range-partitioned, each
-    range is numbered locally, and a per-range offset (one row per range,
-    a bounded table) is added.
+    single-partition window: the distinct values are range-partitioned and
+    sorted inside each range, numbered by position, and a per-range offset
+    (one row per range, a bounded table) is added.  One shuffle for the
+    ranges; no shuffle for the numbering.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # monotonically_increasing_id() keeps the record number within a partition in
+    # its lower 33 bits, so inside a sorted range partition it is the position.
     ids = (df.select(F.col(col)).where(F.col(col).isNotNull()).distinct()
-           .repartitionByRange(n, F.col(col))
-           .withColumn("_part", F.spark_partition_id()))
-    local = ids.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(F.col(col))))
+           .repartitionByRange(n, F.col(col)).sortWithinPartitions(col)
+           .select(col, F.spark_partition_id().alias("_part"),
+                   F.monotonically_increasing_id().alias("_mid")))
+    local = ids.select(col, "_part", (F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33)
+                                      + 1).alias("_local"))
     sizes = ids.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.withColumn(
         "_offset",
