@@ -33,8 +33,7 @@ T_MOVIE_CLEAN, T_RATING_CLEAN, T_TAG_CLEAN = "MovieExpPre", "RatingExpPre", "Tag
 T_PROFILE = "Profile"
 T_POPULAR, T_MONTHLY, T_AVERAGE, T_GENRE_TOP = (
     "RateMoreMovies", "RateMoreRecentlyMovies", "AverageMovies", "GenresTopMovies")
-T_CODE, T_CODES, T_TRAIN, T_TEST, T_CHECK = (
-    "RatingCode", "MovieCode", "RatingTrain", "RatingTest", "RatingCheck")
+T_CODE, T_CODES = "RatingCode", "MovieCode"   # RatingCode is partitioned by split
 T_ITEM_MODEL, T_ALS_GRID, T_ALS_BEST, T_ALS_MODEL = (
     "ItemModel", "ALSGrid", "ALSBestParam", "ALSBestModel")
 T_ITEM_EVAL, T_ALS_EVAL = "ItemEval", "ALSEval"
@@ -58,6 +57,10 @@ class Store:
         io.write_table(df, self.path(name), partition_by=partition_by)
         return self.read(name)
 
+    def split(self, part: str) -> DataFrame:
+        """One part of the coded ratings (a partition of the table: pruned, not copied)."""
+        return self.read(T_CODE).where(F.col("split") == part).drop("split")
+
 
 def ingest(spark: SparkSession, store: Store, movie_path: str, rating_path: str, tag_path: str,
            sep: str = "$") -> None:
@@ -90,15 +93,14 @@ def features(store: Store, split: str = "hash", seed: int = 123, genre_n: int =
         "movie_code", "user_id", "user_rating", "time_stamp", "movie_id")
     parts = (coding.hash_split(coded) if split == "hash"
              else coding.random_split(coded, (0.8, 0.1, 0.1), seed))
-    all_parts = store.write(parts, T_CODE, partition_by=["split"])
-    for part, name in (("train", T_TRAIN), ("test", T_TEST), ("check", T_CHECK)):
-        store.write(all_parts.where(F.col("split") == part).drop("split"), name)
+    # one table partitioned by part; train / test / check are its partitions
+    store.write(parts, T_CODE, partition_by=["split"])
 
 
 def models(store: Store, top_n: int = 30, ranks=als.REFERENCE_RANKS, regs=als.REFERENCE_REGS,
            iters=als.REFERENCE_ITERS, seed: int = 42) -> None:
     """Item-CF top lists per user; ALS grid search, best parameters and best model."""
-    train, check = store.read(T_TRAIN), store.read(T_CHECK)
+    train, check = store.split("train"), store.split("check")
     top = itemcf.item_cf_recommend(train, top_n, item_col="movie_code")
     store.write(itemcf.to_item_lists(top, item_col="movie_code"), T_ITEM_MODEL)
     grid = store.write(als.grid_search(train, check, ranks, regs, iters, seed), T_ALS_GRID)
@@ -109,7 +111,7 @@ def models(store: Store, top_n: int = 30, ranks=als.REFERENCE_RANKS, regs=als.RE
 
 def evaluate_step(store: Store, ks=(10, 20, 30)) -> None:
     """Macro metrics for item-CF (min 1 test rating), micro metrics for ALS (min 2)."""
-    train, test = store.read(T_TRAIN), store.read(T_TEST)
+    train, test = store.split("train"), store.split("test")
     item_recs = itemcf.explode_item_lists(store.read(T_ITEM_MODEL), item_col="movie_code")
     store.write(evaluate.eval_macro_at_k(item_recs, test, ks, 1, item_col="movie_code"), T_ITEM_EVAL)
     model = als.load_model(store.path(T_ALS_MODEL))
@@ -121,7 +123,7 @@ def evaluate_step(store: Store, ks=(10, 20, 30)) -> None:
 
 def recommend(store: Store, n: int = 20, users: list[int] | None = None) -> None:
     """Top ``n`` unseen movies per user with names, from both models."""
-    train, codes = store.read(T_TRAIN), store.read(T_CODES)
+    train, codes = store.split("train"), store.read(T_CODES)
     movies = store.read(T_MOVIE_CLEAN)
     target = serve.for_users(train, users) if users else train
     lists = store.read(T_ITEM_MODEL)

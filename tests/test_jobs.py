@@ -27,7 +27,7 @@ def test_jobs_end_to_end(spark):
     # the stored statistics equal the catalogue queries over the same data
     assert rows_of(store.read(jobs.T_POPULAR)) == rows_of(QUERIES["popular_items"](spark, SF001))
     assert rows_of(store.read(jobs.T_AVERAGE)) == rows_of(QUERIES["avg_rating"](spark, SF001))
-    parts = {n: store.read(n).count() for n in (jobs.T_TRAIN, jobs.T_TEST, jobs.T_CHECK)}
+    parts = {n: store.split(n).count() for n in ("train", "test", "check")}
     assert sum(parts.values()) == QUERIES["typed_ratings"](spark, SF001).count()
 
     jobs.models(store, top_n=30, ranks=(4,), regs=(0.1, 1.0), iters=(3,))
