@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstats.llm import exact
+from reelstats.llm import arrowfile, exact, packing, pieces
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +15,23 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(documents(spark, sf_dir))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_and_decode(documents(spark, sf_dir))
+
+
+def op6_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
+def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrowfile.read_documents(arrowfile.write_sequences(documents(spark, sf_dir)))
+
+
 LLM_QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_hilbert_packing": op6_hilbert_packing,
+    "op9_arrow_sequences": op9_arrow_sequences,
 }
 
 LLM_SQL = {
