@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstats.llm import arrowfile, exact, packing, pieces
+from reelstats.llm import arrowfile, exact, imatch, near, packing, pieces, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,10 +15,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(documents(spark, sf_dir))
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_join(documents(spark, sf_dir))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_and_decode(documents(spark, sf_dir))
 
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(documents(spark, sf_dir))
+
+
 def op6_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -27,13 +35,22 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrowfile.read_documents(arrowfile.write_sequences(documents(spark, sf_dir)))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(documents(spark, sf_dir), with_text=False)
+
+
 LLM_QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_imatch": op3_imatch,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_hilbert_packing": op6_hilbert_packing,
     "op9_arrow_sequences": op9_arrow_sequences,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 LLM_SQL = {
+    "op1_ngram_jaccard_join": near.SQL_NEAR,
     "op4_exact_dedup": exact.SQL_EXACT,
+    "op10_substring_dedup": substring.SQL_SUBSTRING,
 }
