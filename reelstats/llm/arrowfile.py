@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstats.llm.tokens import END_ID, TokenEncoder, default_path, id_kind
+from reelstats.llm.tokens import END_ID, TOKEN_SLICE, TokenEncoder, default_path, id_kind
 from reelstats.llm.words import slices, texts_of
 from reelstats.session import materialize, scratch_path
 
@@ -91,7 +91,7 @@ def write_part(folder: str, tokenizer: str, seq_len: int, per_batch: int, end_id
         out = docs = None
         pending, held, total, n_docs, n_seq = [], 0, 0, 0, 0
         block = seq_len * per_batch
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=TOKEN_SLICE):
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = pa.ipc.new_file(fs.open_output_stream(f"{root}/{name}.arrow"), schema)

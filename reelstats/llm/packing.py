@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstats.llm.tokens import END_ID, TokenEncoder, default_path, id_kind
+from reelstats.llm.tokens import END_ID, TOKEN_SLICE, TokenEncoder, default_path, id_kind
 from reelstats.llm.words import binary_column, slices, texts_of
 from reelstats.session import materialize
 
@@ -85,7 +85,7 @@ def encode_docs(tokenizer: str, end_id: int):
     def run(batches):
         encoder = TokenEncoder(tokenizer)
         kind = id_kind(encoder.vocab_size)
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=TOKEN_SLICE):
             ids, offsets = encoder.encode(texts_of(batch), end_id)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(curve_keys(ids, offsets)),

@@ -1,22 +1,26 @@
-"""Token ids of whole texts with the tokenizers library, by distinct white-space chunk.
-
-The word-level tokenizers used here never merge across white space: their
-normaliser works character by character (NFC composes nothing with a space) and
-their split pattern matches no white space.  Encoding every distinct chunk once
-and gathering the ids therefore gives the library's ids of the whole text; the
-tests compare both on whole tables.
+"""Token ids of whole texts with the tokenizers library, by distinct chunk.
+
+The tokenizer lower-cases, splits at white space and between letters and marks,
+and merges inside words only: its normaliser works character by character (NFC
+composes nothing with a space) and its split pattern matches no white space.
+Encoding every distinct chunk of a slice once and gathering the ids therefore
+gives the library's ids of the whole text; the tests compare both on whole
+tables and on odd texts.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from reelstats.llm.words import Words
 
 END_ID = 1
+TOKEN_SLICE = 16 << 20  # bytes of text encoded at once
 
 
 def default_path() -> str:
@@ -32,38 +36,64 @@ def id_kind(vocab_size: int) -> str:
 class TokenEncoder:
     """Encodes slices of texts; one instance per task."""
 
-    CHUNKS = 20_000
+    GROUP, CALL = 100, 20_000  # words joined into one string; words of one library call
+    # a letter and a mark after it are separate words for the tokenizer
+    CUT = r"(\pL)([.,!?;:%&#$*()])"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.vocab_size = self.tokenizer.get_vocab_size()
-
-    def chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of every chunk, flat, and the number of ids of each."""
-        flat, counts = [], []
-        for at in range(0, len(chunks), self.CHUNKS):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks[at:at + self.CHUNKS],
-                                                                   add_special_tokens=False)]
-            counts.append(np.fromiter(map(len, ids), np.int32, len(ids)))
-            flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(counts[-1].sum())))
-        if not flat:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int32)
-        return np.concatenate(flat), np.concatenate(counts)
+        self.is_end = np.zeros(self.vocab_size, bool)
+        self.is_end[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of every text, flat, and the number of ids of each."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())), counts
+
+    def words_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters only, many to a library string: each word's last id ends a word."""
+        groups = [words[a:a + self.GROUP] for a in range(0, len(words), self.GROUP)]
+        flat, counts = self.library([" ".join(g) for g in groups])
+        ends = np.flatnonzero(self.is_end[flat])
+        per_group = np.add.reduceat(self.is_end[flat], np.cumsum(counts) - counts, dtype=np.int64)
+        if (per_group != [len(g) for g in groups]).any():  # a letter that falls apart when normalised
+            return self.library(words)
+        return flat, np.diff(np.append(-1, ends))
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of every distinct chunk: flat, and each chunk's start and number."""
+        letters = pc.utf8_is_alpha(chunks).to_numpy(zero_copy_only=False)
+        start, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        flat, at = [], 0
+        for members, encode in ((np.flatnonzero(letters), self.words_ids), (np.flatnonzero(~letters), self.library)):
+            for a in range(0, len(members), self.CALL):
+                part = members[a:a + self.CALL]
+                ids, counts = encode(chunks.take(pa.array(part)).to_pylist())
+                start[part], size[part] = at + np.cumsum(counts) - counts, counts
+                flat.append(ids)
+                at += len(ids)
+        return np.concatenate(flat) if flat else np.zeros(0, np.uint32), start, size
 
     def encode(self, texts: pa.Array, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, each followed by ``end_id``; and the row offsets."""
-        words = Words(texts)
-        flat, counts = self.chunk_ids(words.vocab.to_pylist())
-        starts = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[:-1]
+        # fewer distinct chunks, the same ids; texts that may hold special tokens stay as they are
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), self.CUT, r"\1 \2")
+        words = Words(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
+        flat, start, counts = self.chunk_ids(words.vocab)
         size = counts[words.codes]
-        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        ends = np.concatenate([[0], np.cumsum(size)])
         per_doc = ends[words.offsets]
-        ids = flat[np.arange(ends[-1]) - np.repeat(ends[:-1] - starts[words.codes], size)]
+        ids = flat[np.arange(ends[-1]) + np.repeat(start[words.codes] - ends[:-1], size)]
         if end_id is None:
             return ids, per_doc
         n = len(texts)
-        out = np.full(len(ids) + n, end_id, np.uint32)
-        out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(per_doc))] = ids
+        out = np.empty(len(ids) + n, np.uint32)
+        ends = per_doc[1:] + np.arange(n)
+        body = np.ones(len(out), bool)
+        body[ends] = False
+        out[body], out[ends] = ids, end_id
         return out, per_doc + np.arange(n + 1)
