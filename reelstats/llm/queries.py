@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstats.llm import arrowfile, exact, imatch, near, packing, pieces, substring
+from reelstats.llm import arrowfile, exact, imatch, licenses, near, packing, pieces, pii, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +27,18 @@ def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(documents(spark, sf_dir))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.label_documents(documents(spark, sf_dir))
+
+
 def op6_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.label_documents(documents(spark, sf_dir))
+
+
 def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrowfile.read_documents(arrowfile.write_sequences(documents(spark, sf_dir)))
 
@@ -44,7 +52,9 @@ LLM_QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_imatch": op3_imatch,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_hilbert_packing": op6_hilbert_packing,
+    "op7_pii": op7_pii,
     "op9_arrow_sequences": op9_arrow_sequences,
     "op10_substring_dedup": op10_substring_dedup,
 }
@@ -52,5 +62,6 @@ LLM_QUERIES = {
 LLM_SQL = {
     "op1_ngram_jaccard_join": near.SQL_NEAR,
     "op4_exact_dedup": exact.SQL_EXACT,
+    "op5_license_scan": licenses.sql(),
     "op10_substring_dedup": substring.SQL_SUBSTRING,
 }
