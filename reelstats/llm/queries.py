@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstats.llm import arrowfile, exact, imatch, licenses, near, packing, pieces, pii, substring
+from reelstats.llm import arrowfile, exact, imatch, licenses, near, packing, pieces, pii, quality, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.label_documents(documents(spark, sf_dir))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality.score_documents(documents(spark, sf_dir), labels).drop("tie")
+
+
 def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrowfile.read_documents(arrowfile.write_sequences(documents(spark, sf_dir)))
 
@@ -55,6 +60,7 @@ LLM_QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_hilbert_packing": op6_hilbert_packing,
     "op7_pii": op7_pii,
+    "op8_quality": op8_quality,
     "op9_arrow_sequences": op9_arrow_sequences,
     "op10_substring_dedup": op10_substring_dedup,
 }
