@@ -5,16 +5,15 @@ from __future__ import annotations
 import itertools
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.operators.evaluate import rmse
-from reelstats.operators.itemcf import TIER_BOUNDS, _tiers
 from reelstats.operators.stats import top_n_per_group
+from reelstats.session import materialize
 
-# Grid of the original model search: 3 ranks x 4 lambdas x 2 iteration counts.
+# The grid of the original model search, 3 ranks x 4 lambdas x 2 iteration counts.
 REFERENCE_RANKS = (10, 20, 30)
 REFERENCE_REGS = (0.01, 0.1, 1.0, 1.2)
 REFERENCE_ITERS = (10, 20)
@@ -32,9 +31,16 @@ def fit_als(train: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user_col,
               itemCol=item_col, ratingCol=rating_col, implicitPrefs=False, nonnegative=False,
               coldStartStrategy="drop", checkpointInterval=checkpoint_interval)
-    if num_blocks:
-        als = als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
-    return als.fit(train)
+    blocks = num_blocks or default_blocks(train)
+    return als.setNumUserBlocks(blocks).setNumItemBlocks(blocks).fit(train)
+
+
+def default_blocks(df: DataFrame, least: int = 10) -> int:
+    """Blocks of users and of items: as many as the cluster runs tasks at once."""
+    try:
+        return max(least, df.sparkSession.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -48,14 +54,13 @@ def grid_search(train: DataFrame, check: DataFrame, ranks=REFERENCE_RANKS,
                 rating_col: str = "user_rating", parallelism: int = 1) -> DataFrame:
     """One row per fit: (order, rank, max_iter, reg, rmse) in the original loop order.
 
-    The inputs are persisted for the duration of the search and released
-    after.  With ``parallelism > 1`` independent fits run as concurrent Spark
+    The inputs are written once to the shared folder, so a lost executor costs a
+    read, not a recomputation.  With ``parallelism > 1`` independent fits run as concurrent Spark
     jobs (each fit is seeded, so the results do not change).
     """
     spark = train.sparkSession
     cols = [user_col, item_col, rating_col]
-    tr = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    ck = check.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    tr, ck = materialize(train.select(*cols), "grid-train"), materialize(check.select(*cols), "grid-check")
     combos = list(enumerate(itertools.product(ranks, regs, iters)))
 
     def run(item):
@@ -64,15 +69,11 @@ def grid_search(train: DataFrame, check: DataFrame, ranks=REFERENCE_RANKS,
         value = rmse(predict(model, ck), rating_col).first()["rmse"]
         return (order, int(rank), int(it), float(reg), float(value) if value is not None else None)
 
-    try:
-        if parallelism > 1:
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                rows = list(pool.map(run, combos))
-        else:
-            rows = [run(c) for c in combos]
-    finally:
-        tr.unpersist()
-        ck.unpersist()
+    if parallelism > 1:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            rows = list(pool.map(run, combos))
+    else:
+        rows = [run(c) for c in combos]
     return spark.createDataFrame(
         rows, "order int, rank int, max_iter int, reg double, rmse double")
 
@@ -95,30 +96,33 @@ def recommend_for_users(model: ALSModel, users: DataFrame, k: int,
 
 
 def recommend_unseen(model: ALSModel, seen: DataFrame, users: DataFrame, n: int = 20,
-                     user_col: str = "user_id", item_col: str = "movie_code",
-                     tier_bounds=TIER_BOUNDS) -> DataFrame:
+                     user_col: str = "user_id", item_col: str = "movie_code") -> DataFrame:
     """Top ``n`` items per user among items the user has not rated.
 
-    Exact: the best ``n`` unseen items are among the best ``n + s`` items where
-    ``s`` is the user's number of rated items.  Users are grouped into
-    geometric tiers of ``s``; each tier makes one request of ``n + max s`` in
-    the tier (never more than the number of items).  Every request is a
-    distributed block product.
+    Exact by widening: every user is served to depth ``2 n`` and rated items are
+    removed; only users with fewer than ``n`` items left are served again, to
+    twice the depth, until the catalogue ends.  Every request is a distributed
+    block product, and one user with a long history deepens nobody else's.
     """
-    seen_items = seen.select(user_col, item_col).distinct()
-    counts = seen_items.groupBy(user_col).agg(F.count(F.lit(1)).alias("_s"))
-    wanted = users.select(user_col).distinct().join(counts, user_col, "left").fillna(0, ["_s"])
+    seen_items = materialize(seen.select(user_col, item_col).distinct(), "seen-items")
     n_items = model.itemFactors.count()
-    out = None
-    for part, top_s in _tiers(wanted, "_s", tier_bounds):
-        k = int(min(n_items, n + top_s))
-        recs = recommend_for_users(model, part, k, user_col, item_col)
-        out = recs if out is None else out.unionByName(recs)
-    if out is None:
-        return recommend_for_users(model, users.limit(0), n, user_col, item_col)
-    kept = out.join(seen_items, [user_col, item_col], "left_anti").withColumnRenamed("rank", "_r0")
-    ranked = top_n_per_group(kept, [user_col], [F.asc("_r0")], n)
-    return ranked.select(user_col, "rank", item_col, "prediction")
+    open_users = materialize(users.select(user_col).distinct(), "open-users")
+    out, depth = None, 2 * n
+    while True:
+        k = int(min(n_items, depth))
+        recs = recommend_for_users(model, open_users, k, user_col, item_col)
+        kept = recs.join(seen_items, [user_col, item_col], "left_anti").withColumnRenamed("rank", "_r0")
+        ranked = materialize(top_n_per_group(kept, [user_col], [F.asc("_r0")], n)
+                             .select(user_col, "rank", item_col, "prediction"), "unseen-items")
+        done = ranked.where(F.col("rank") == n).select(user_col)
+        if k >= n_items:
+            return ranked if out is None else out.unionByName(ranked)
+        part = ranked.join(done, user_col, "left_semi")
+        out = part if out is None else out.unionByName(part)
+        open_users = materialize(open_users.join(done, user_col, "left_anti"), "open-users")
+        if open_users.isEmpty():
+            return out
+        depth *= 2
 
 
 def save_model(model: ALSModel, path: str) -> None:

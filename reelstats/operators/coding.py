@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelstats.session import materialize
+
 SPLIT_NAMES = ("train", "test", "check")
 
 
@@ -13,29 +15,34 @@ def dense_code(df: DataFrame, col: str, code_col: str = "code",
     """Map each distinct non-null value of ``col`` to 1..n in sorted order.
 
     Same result as sorting the distinct values and numbering them, without a
-    single-partition window: the distinct values are range-partitioned and
-    sorted inside each range, numbered by position, and a per-range offset
-    (one row per range, a bounded table) is added.  One shuffle for the
-    ranges; no shuffle for the numbering.
+    single-partition window (see ``number_rows``).
+    """
+    n = num_partitions
+    ids = df.select(F.col(col)).where(F.col(col).isNotNull()).distinct()
+    return number_rows(ids, [F.col(col)], code_col, n).withColumn(code_col, F.col(code_col).cast("int"))
+
+
+def number_rows(df: DataFrame, order: list, number_col: str = "position", num_partitions: int | None = None) -> DataFrame:
+    """Add the position 1..n of every row in a total order, without a single-partition window.
+
+    Range bounds are sampled, so two evaluations of the ranges can differ: the
+    sorted ranges are written once, and positions and range sizes are read from
+    that copy.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # monotonically_increasing_id() keeps the record number within a partition in
     # its lower 33 bits, so inside a sorted range partition it is the position.
-    ids = (df.select(F.col(col)).where(F.col(col).isNotNull()).distinct()
-           .repartitionByRange(n, F.col(col)).sortWithinPartitions(col)
-           .select(col, F.spark_partition_id().alias("_part"),
-                   F.monotonically_increasing_id().alias("_mid")))
-    local = ids.select(col, "_part", (F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33)
-                                      + 1).alias("_local"))
-    sizes = ids.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.withColumn(
-        "_offset",
-        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.select("_part", F.coalesce("_offset", F.lit(0)).alias("_offset"))
+    rows = materialize(
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()), "ranges")
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     # one row per range partition: bounded by the partition count
-    coded = local.join(F.broadcast(offsets), "_part")
-    return coded.select(F.col(col), (F.col("_offset") + F.col("_local")).cast("int").alias(code_col))
+    place = F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33) + 1
+    return (rows.join(F.broadcast(offsets), "_part")
+            .select(*df.columns, (F.col("_offset") + place).alias(number_col)))
 
 
 def apply_code(df: DataFrame, codes: DataFrame, col: str, code_col: str) -> DataFrame:
@@ -43,18 +50,10 @@ def apply_code(df: DataFrame, codes: DataFrame, col: str, code_col: str) -> Data
     return df.join(codes, col)
 
 
-def code_ratings(ratings: DataFrame, item_col: str = "movie_id",
-                 code_col: str = "movie_code") -> tuple[DataFrame, DataFrame]:
-    """Ratings with a dense item code; returns (coded ratings, code table)."""
-    codes = dense_code(ratings, item_col, code_col)
-    coded = apply_code(ratings, codes, item_col, code_col)
-    return coded, codes
-
-
 def hash_bucket(user_col: str = "user_id", item_col: str = "movie_id") -> F.Column:
-    """Stable bucket 0..9 of a (user, item) pair."""
-    h = F.col(user_col).cast("bigint") * 7919 + F.col(item_col).cast("bigint") * 104729
-    return F.pmod(h, F.lit(10))
+    """Stable bucket 0..9 of a (user, item) pair: the first 32 bits of md5(user:item), modulo 10."""
+    pair = F.concat_ws(":", F.col(user_col).cast("string"), F.col(item_col).cast("string"))
+    return F.conv(F.substring(F.md5(pair), 1, 8), 16, 10).cast("bigint") % 10
 
 
 def hash_split(df: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
@@ -69,14 +68,18 @@ def hash_split(df: DataFrame, user_col: str = "user_id", item_col: str = "movie_
 
 def random_split(df: DataFrame, weights=(0.8, 0.1, 0.1), seed: int = 123,
                  col: str = "split") -> DataFrame:
-    """``randomSplit`` with a seed, labelled and stacked back into one frame.
+    """A seeded random split: one draw per row, cut at the cumulated weights.
 
-    The parts depend on the input partitioning; use ``hash_split`` for a
-    split that is stable everywhere.
+    Every row is in exactly one part.  The draw depends on the input
+    partitioning; use ``hash_split`` for a split that is stable everywhere, and
+    write this one once before reading its parts.
     """
-    parts = df.randomSplit(list(weights), seed)
-    out = None
-    for name, part in zip(SPLIT_NAMES, parts):
-        labelled = part.withColumn(col, F.lit(name))
-        out = labelled if out is None else out.unionByName(labelled)
-    return out
+    total, below = float(sum(weights)), 0.0
+    label = F.lit(SPLIT_NAMES[-1])
+    cuts = []
+    for name, weight in zip(SPLIT_NAMES[:-1], weights):
+        below += weight / total
+        cuts.append((name, below))
+    for name, cut in reversed(cuts):
+        label = F.when(F.col("_draw") < cut, F.lit(name)).otherwise(label)
+    return df.withColumn("_draw", F.rand(seed)).withColumn(col, label).drop("_draw")

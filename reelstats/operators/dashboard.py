@@ -57,6 +57,13 @@ def releases_by_month(movies: DataFrame, date_col: str = "movie_release_date") -
             .groupBy("year", "month").agg(F.count(F.lit(1)).alias("count_num")))
 
 
+def release_labels(releases: DataFrame) -> DataFrame:
+    """The stored form: year and month as labelled text, in calendar order."""
+    return (releases.orderBy("year", "month")
+            .select(F.concat("year", F.lit("年")).alias("year_data"), F.concat("month", F.lit("月")).alias("month_data"),
+                    "count_num"))
+
+
 def releases_pivot(movies: DataFrame, date_col: str = "movie_release_date") -> DataFrame:
     """Wide form: one row per year, one column per month m01..m12."""
     per = releases_by_month(movies, date_col)

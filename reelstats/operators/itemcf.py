@@ -30,11 +30,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelstats.operators.skew import split_join
 from reelstats.operators.stats import top_n_per_group
+from reelstats.session import materialize
 
 DEFAULT_CHUNK = 2048
-# Largest heavy-user table that is broadcast (rows); larger ones are shuffle-joined.
-HEAVY_BROADCAST_ROWS = 1_000_000
 
 
 def users_min_rated(df: DataFrame, n: int, user_col: str = "user_id") -> DataFrame:
@@ -43,7 +43,7 @@ def users_min_rated(df: DataFrame, n: int, user_col: str = "user_id") -> DataFra
         return df.where(F.col(user_col).isNotNull()) if n == 1 else df
     keep = (df.groupBy(user_col).agg(F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") >= n).select(user_col))
-    return df.join(keep, user_col, "left_semi")
+    return split_join(df, keep, user_col, "left_semi").select(*df.columns)
 
 
 def item_means(train: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
@@ -73,19 +73,12 @@ def co_rating_sums(rows: DataFrame, user_col: str = "user_id", item_col: str = "
     r = (rows.groupBy(F.col(user_col).alias("u"), F.col(item_col).alias("i"),
                       F.col(rating_col).alias("r"))
          .agg(F.count(F.lit(1)).alias("w")))
-    # Only users with more than ``chunk`` distinct (item, rating) rows are split.
-    # They are found with a map-side combined count; the common case (none)
-    # needs no join at all.
+    # Only users with more than ``chunk`` distinct (item, rating) rows are split
+    # (found with a map-side combined count).
     heavy = (r.groupBy("u").agg(F.count(F.lit(1)).alias("_n"))
              .where(F.col("_n") > chunk)
              .select("u", F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("nb")))
-    n_heavy = heavy.count()
-    if n_heavy == 0:
-        with_nb = r.withColumn("nb", F.lit(1))
-    else:
-        side = F.broadcast(heavy) if n_heavy <= HEAVY_BROADCAST_ROWS else heavy
-        with_nb = (r.join(side, "u", "left")
-                   .withColumn("nb", F.coalesce(F.col("nb"), F.lit(1))))
+    with_nb = split_join(r, heavy, "u", "left").withColumn("nb", F.coalesce(F.col("nb"), F.lit(1)))
     bucketed = with_nb.select("u", "i", "r", "w", "nb",
                               F.pmod(F.xxhash64("i"), F.col("nb")).cast("int").alias("b"))
     left = bucketed.select("u", F.col("b").alias("b1"),
@@ -149,7 +142,7 @@ def weighted_candidates(train: DataFrame, neighbours: DataFrame, user_col: str =
              .groupBy(F.col(user_col), F.col(item_col).alias("seed"))
              .agg(F.count(F.lit(1)).alias("w")))
     nb = neighbours.select(F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim")
-    return seeds.join(nb, "seed").select(user_col, item_col, "seed", "sim", "w")
+    return split_join(seeds, nb, "seed").select(user_col, item_col, "seed", "sim", "w")
 
 
 def item_cf_candidates(train: DataFrame, neighbours: DataFrame, user_col: str = "user_id",
@@ -215,67 +208,47 @@ def remove_seen(recs: DataFrame, seen: DataFrame, n: int = 20, user_col: str = "
                                                          if c not in (user_col, "rank")])
 
 
-TIER_BOUNDS = (64, 256, 1024, 4096)
-
-
-def _tiers(counts: DataFrame, col: str, bounds=TIER_BOUNDS):
-    """Split users by ``col`` into geometric tiers: [(rows, max count in tier)].
-
-    Every tier is served at the depth its largest member needs, so a user
-    never gets more than ~4x the depth it needs; one aggregate finds all
-    tier maxima.  Empty tiers are skipped.
-    """
-    edges = [None, *sorted(bounds), None]
-    conds = []
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        c = F.lit(True)
-        if lo is not None:
-            c = c & (F.col(col) > lo)
-        if hi is not None:
-            c = c & (F.col(col) <= hi)
-        conds.append(c)
-    top = counts.agg(*[F.max(F.when(c, F.col(col))).alias(f"t{i}")
-                       for i, c in enumerate(conds)]).first()
-    return [(counts.where(c), int(top[f"t{i}"])) for i, c in enumerate(conds)
-            if top[f"t{i}"] is not None]
-
-
 def recommend_unseen_first(train: DataFrame, n: int = 20, user_col: str = "user_id",
                            item_col: str = "movie_id", rating_col: str = "user_rating",
                            mean_key: str = "item", min_rated: int = 1,
-                           chunk: int = DEFAULT_CHUNK, similarity: DataFrame | None = None,
-                           tier_bounds=TIER_BOUNDS) -> DataFrame:
+                           chunk: int = DEFAULT_CHUNK, similarity: DataFrame | None = None) -> DataFrame:
     """Top ``n`` candidate rows per user after removing already rated items.
 
-    Exact without full neighbour lists: a row from seed s can only reach a
-    user's top ``n`` unseen rows if its rank in s's list is at most
-    ``n + seen`` (the rows ahead of it are either unseen rows of the same
-    seed, fewer than n, or seen items).  Users are grouped into geometric
-    tiers of seen-item counts and each tier reads the lists to its own depth.
+    Exact without full neighbour lists: of one (user, seed) only the first ``n``
+    unseen neighbours can reach the user's top ``n``.  The ranked lists are
+    written once; every (user, seed) reads its list to depth ``n``, and only
+    those that are still short of ``n`` unseen rows, because their user has seen
+    the rest, read on to twice the depth, as often as needed.  A user who has
+    seen most of the catalogue deepens no other user's lists.
     """
     sim = similarity if similarity is not None else item_similarity(
         train, user_col, item_col, rating_col, mean_key, chunk)
     rated = users_min_rated(train, min_rated, user_col)
     seen = rated.select(user_col, item_col).distinct()
-    n_seen = seen.groupBy(user_col).agg(F.count(F.lit(1)).alias("_s"))
-    seeds = (rated.groupBy(F.col(user_col), F.col(item_col).alias("seed"))
-             .agg(F.count(F.lit(1)).alias("w")))
-    out = None
-    for tier, deepest in _tiers(n_seen, "_s", tier_bounds):
-        nb = item_neighbours(sim, n + int(deepest)).select(
-            F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim",
-            F.col("rank").alias("_nr"))
-        cand = (seeds.join(tier, user_col).join(nb, "seed")
-                .where(F.col("_nr") <= F.col("_s") + n)
-                .join(seen, [user_col, item_col], "left_anti"))
-        top = top_n_per_group(cand, [user_col], [F.desc("sim"), F.asc(item_col), F.asc("seed")],
-                              n, rank_col="_r0")
-        part = _expand_ranks(top, user_col, n).select(user_col, "rank", item_col, "seed", "sim")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return seeds.select(user_col, F.lit(0).alias("rank"), F.col("seed").alias(item_col),
-                            "seed", F.lit(0.0).alias("sim")).limit(0)
-    return out
+    both = item_neighbours(sim)
+    order = Window.partitionBy("item").orderBy(F.desc("sim"), F.asc("neighbour"))
+    lists = materialize(both.withColumn("_nr", F.row_number().over(order)).select(
+        F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim", "_nr"), "ranked-lists")
+    length = lists.groupBy("seed").agg(F.max("_nr").alias("_length"))
+    seeds = split_join(
+        rated.groupBy(F.col(user_col), F.col(item_col).alias("seed")).agg(F.count(F.lit(1)).alias("w")), length, "seed")
+    short = materialize(seeds.withColumn("_have", F.lit(0).cast("long")), "open-seeds")
+    found, low, high = None, 0, n
+    while True:
+        part = lists.where((F.col("_nr") > low) & (F.col("_nr") <= high))
+        rows = materialize(split_join(short, part, "seed").join(seen, [user_col, item_col], "left_anti")
+                           .select(user_col, item_col, "seed", "sim", "w"), "unseen-rows")
+        found = rows if found is None else found.unionByName(rows)
+        more = rows.groupBy(user_col, "seed").agg(F.count(F.lit(1)).alias("_more"))
+        short = materialize(
+            short.where(F.col("_length") > high).join(more, [user_col, "seed"], "left")
+            .withColumn("_have", F.col("_have") + F.coalesce("_more", F.lit(0))).drop("_more")
+            .where(F.col("_have") < n), "open-seeds")
+        if short.isEmpty():
+            break
+        low, high = high, 2 * high
+    top = top_n_per_group(found, [user_col], [F.desc("sim"), F.asc(item_col), F.asc("seed")], n, rank_col="_r0")
+    return _expand_ranks(top, user_col, n).select(user_col, "rank", item_col, "seed", "sim")
 
 
 def seen_multiset_diff(recs: DataFrame, seen: DataFrame, user_col: str = "user_id",

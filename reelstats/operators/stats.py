@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstats.functions.scalars import epoch_to_year_month, strip_brackets
+from reelstats.operators.skew import split_join
 
 
 def popular_items(ratings: DataFrame, item_col: str = "movie_id") -> DataFrame:
@@ -68,33 +69,38 @@ def distinct_tags(tags: DataFrame, exclude: list[str] | None = None) -> DataFram
 
 
 def _substrings(text: F.Column, max_len: F.Column) -> F.Column:
-    """All distinct substrings of ``text`` up to ``max_len`` characters."""
+    """All distinct substrings of ``text`` up to ``max_len`` characters, the empty one included."""
     n = F.length(text)
-    return F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(F.lit(1), F.least(max_len, n - i + 1)),
-                              lambda j: F.substring(text, i, j)))))
+    parts = F.flatten(F.transform(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: F.transform(F.sequence(F.lit(0), F.greatest(F.least(max_len, n - i + 1), F.lit(0))),
+                              lambda j: F.substring(text, i, j))))
+    return F.array_distinct(parts)
+
+
+def matching_types(genres: DataFrame, types: DataFrame, type_col: str = "movie_type") -> DataFrame:
+    """(type, genre) for every distinct type that contains the genre, whatever the case.
+
+    Containment is an equi-join instead of a cartesian product: each distinct
+    type is expanded into its substrings no longer than the longest genre.
+    """
+    g = genres.select("genre", F.lower("genre").alias("_key"))
+    longest = g.agg(F.coalesce(F.max(F.length("_key")), F.lit(0)).alias("n")).scalar()
+    distinct = types.where(F.col(type_col).isNotNull()).select(type_col).distinct().withColumn("_longest", longest)
+    keys = _substrings(F.lower(F.col(type_col)), F.col("_longest"))
+    parts = distinct.select(type_col, F.explode(keys).alias("_key"))
+    return parts.join(g, "_key").select(type_col, "genre")
 
 
 def genre_match(genres: DataFrame, movies: DataFrame, genre_col: str = "genre",
                 type_col: str = "movie_type") -> DataFrame:
     """(genre, movie) where lower(type) contains lower(genre); null types never match.
 
-    Containment is answered by an equi-join instead of a cartesian product:
-    each movie type is expanded into its distinct substrings no longer than the
-    longest genre, and those are joined to the lower-cased genres.  The
-    expansion is bounded by (type length x longest genre), both whole texts.
+    The distinct types are matched to the genres first, a small table; the movies
+    join it on their type, the rows of frequent types dealt over tasks.
     """
-    g = genres.select(F.col(genre_col).alias("genre"),
-                      F.lower(F.col(genre_col)).alias("_key"))
-    # one scalar: the longest genre (bounds the substring expansion)
-    max_len = g.agg(F.max(F.length("_key")).alias("m")).first()["m"] or 0
-    typed = movies.where(F.col(type_col).isNotNull())
-    # the empty string is contained in every type, so it is one of the keys too
-    keys = F.array_union(_substrings(F.lower(F.col(type_col)), F.lit(int(max_len))),
-                         F.array(F.lit("")))
-    parts = typed.withColumn("_key", F.explode(keys))
-    return parts.join(g, "_key").drop("_key")
+    matches = matching_types(genres.select(F.col(genre_col).alias("genre")), movies, type_col)
+    return split_join(movies, matches, type_col).select(*movies.columns, "genre")
 
 
 def genre_top_n(movies: DataFrame, tags: DataFrame, averages: DataFrame, n: int = 10,

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelstats.functions.scalars import (
     epoch_to_year_month, strip_brackets, truncate_toward_zero,
 )
 from reelstats.operators import als, clean, coding, dashboard, evaluate, itemcf, profile, serve, stats
+from reelstats.operators.skew import split_join
 from reelstats.plans import sql_text
 from reelstats.session import materialize, scratch_path
 from reelstats.sources import fixtures, io
@@ -24,9 +25,10 @@ KS = (10, 20, 30)
 TOP_N = 30          # item-CF rows per user
 SERVE_N = 20        # recommendations shown per user
 DIGITS = 6          # rounding of reported metric percentages
-# Best ALS parameters of the original grid search (rank, iterations, lambda).
+# Best ALS parameters of the original grid search (rank, iterations, lambda).
 ALS_RANK, ALS_ITERS, ALS_REG = 20, 20, 0.1
 ALS_SEED = 42
+SHRINK = (0, 1, 2, 5, 10, 20, 50)  # grid of the shrunken item means
 GRID_PARALLELISM = 4  # concurrent ALS fits in the grid search
 
 
@@ -62,7 +64,9 @@ class Ctx:
 
     # model inputs
     @cached_property
-    def ratings(self): return fixtures.ratings(self.spark, self.sf_dir)
+    def ratings(self):
+        # one join and dedupe for the codes, the coded ratings and the split
+        return materialize(fixtures.ratings(self.spark, self.sf_dir), "ratings")
     @cached_property
     def split(self):
         # written once, partitioned by part: the model queries read it many times
@@ -180,7 +184,12 @@ def attr_repair(c: Ctx):
 
 
 def typed_ratings(c: Ctx):
-    return c.ratings
+    return fixtures.ratings(c.spark, c.sf_dir)
+
+
+def rejected_ratings(c: Ctx):
+    """Rows that the typed ratings leave out because an id or the rating does not parse."""
+    return clean.rejected_ratings(clean.dedupe(c.ratings_raw))
 
 
 def year_month(c: Ctx):
@@ -227,6 +236,27 @@ def genre_top10(c: Ctx):
     return stats.genre_top_n(c.movies_attr, c.tags_clean, stats.avg_rating(c.ratings_clean), 10)
 
 
+def genre_top10_lists(c: Ctx):
+    """The nested form, its lists as ordered text."""
+    lists = stats.genre_top_n_lists(genre_top10(c))
+    ids = F.transform("items", lambda x: x["movie_id"].cast("string"))
+    return lists.select("movie_type", F.size("items").alias("n_items"), F.array_join(ids, ",").alias("movie_ids"))
+
+
+def popular_items_ranked(c: Ctx):
+    """The stored order as positions, so that it is part of the result."""
+    return coding.number_rows(stats.popular_items(c.ratings_clean), [F.desc("count"), F.asc("movie_id")])
+
+
+def popular_items_by_month_ranked(c: Ctx):
+    return coding.number_rows(stats.popular_items_by_month(c.ratings_clean),
+                              [F.desc("year_month"), F.desc("count"), F.asc("movie_id")])
+
+
+def avg_rating_ranked(c: Ctx):
+    return coding.number_rows(stats.avg_rating(c.ratings_clean), [F.desc("avg"), F.asc("movie_id")])
+
+
 def sql_popular_items(c: Ctx):
     return sql_text.popular_items_sql(c.ratings_clean)
 
@@ -252,10 +282,43 @@ def split_hash(c: Ctx):
     return c.split
 
 
+def split_balance(c: Ctx):
+    """Rows and users per part, and users (of those with three or more) whose items share one last digit."""
+    users = c.split.groupBy("split", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("movie_id").alias("items"),
+        F.count_distinct(F.col("movie_id") % 10).alias("digits"))
+    many = F.col("items") >= 3
+    return users.groupBy("split").agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_users"), F.count(F.when(many, 1)).alias("n_users_3"),
+        F.count(F.when(many & (F.col("digits") == 1), 1)).alias("n_one_digit"))
+
+
 def split_random(c: Ctx):
     return coding.random_split(c.ratings, (0.8, 0.1, 0.1), 123)
 
 
+def split_random_checks(c: Ctx):
+    """Rows of the random split against its input: none lost, none doubled, three parts."""
+    parts = materialize(coding.random_split(c.ratings, (0.8, 0.1, 0.1), 123), "random-split")
+    cols = c.ratings.columns
+    return _checks({
+        "rows": parts.agg(F.count(F.lit(1)).alias("value")),
+        "parts": parts.agg(F.count_distinct("split").alias("value")),
+        "lost": c.ratings.exceptAll(parts.select(*cols)).agg(F.count(F.lit(1)).alias("value")),
+        "doubled": parts.select(*cols).exceptAll(c.ratings).agg(F.count(F.lit(1)).alias("value")),
+    })
+
+
+def _checks(counts: dict[str, DataFrame]) -> DataFrame:
+    """(name, value) rows of one-row counts."""
+    out = None
+    for name, df in counts.items():
+        row = df.select(F.lit(name).alias("name"), F.coalesce(F.col("value").cast("bigint"), F.lit(0).cast("bigint"))
+                        .alias("value"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def users_min_rated(c: Ctx):
     return itemcf.users_min_rated(c.test, 2)
 
@@ -263,12 +326,12 @@ def users_min_rated(c: Ctx):
 # ---------------------------------------------------------------- item-CF
 def rating_with_item_mean(c: Ctx):
     m = itemcf.item_means(c.train).withColumnRenamed("item", "movie_id")
-    return c.train.join(m, "movie_id").select("user_id", "movie_id", "user_rating", "mean")
+    return split_join(c.train, m, "movie_id").select("user_id", "movie_id", "user_rating", "mean")
 
 
 def rating_mean_key_mixed(c: Ctx):
     m = itemcf.item_means(c.train, mean_key="user").withColumnRenamed("item", "movie_id")
-    return c.train.join(m, "movie_id").select("user_id", "movie_id", "user_rating", "mean")
+    return split_join(c.train, m, "movie_id").select("user_id", "movie_id", "user_rating", "mean")
 
 
 def item_similarity(c: Ctx):
@@ -285,7 +348,10 @@ def item_neighbours_all(c: Ctx):
 
 
 def item_cf_candidates(c: Ctx):
-    return itemcf.item_cf_candidates(c.train, itemcf.item_neighbours(c.similarity, TOP_N))
+    """Every neighbour of every rated row (whole lists), per user and candidate: rows, seeds, best similarity."""
+    cand = itemcf.weighted_candidates(c.train, itemcf.item_neighbours(c.similarity))
+    return cand.groupBy("user_id", "movie_id").agg(
+        F.sum("w").alias("n_rows"), F.count(F.lit(1)).alias("n_seeds"), F.max("sim").alias("best_sim"))
 
 
 def item_cf_top30(c: Ctx):
@@ -305,6 +371,14 @@ def item_cf_unseen_first(c: Ctx):
     return itemcf.recommend_unseen_first(c.train, SERVE_N, similarity=c.similarity)
 
 
+def recs_for_users(c: Ctx):
+    """Serving a given set of users: the customers of one market segment."""
+    customers = fixtures.table(c.spark, c.sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
+    users = customers.select(F.col("c_custkey").cast("int").alias("user_id"))
+    top = itemcf.item_cf_recommend(c.train, TOP_N, similarity=c.similarity, users=users)
+    return itemcf.remove_seen(top, serve.for_users(c.train, users), SERVE_N)
+
+
 def seen_multiset_diff(c: Ctx):
     return itemcf.seen_multiset_diff(c.top30, c.train)
 
@@ -349,11 +423,37 @@ def decode_recs(c: Ctx):
     return named.select("user_id", "rank", "movie_id", "movie_name", "movie_type")
 
 
+def missing_names(c: Ctx):
+    """Recommendations whose name cannot be resolved from a table that lacks the movies without a type."""
+    named = c.movies_attr.where(F.col("movie_type").isNotNull())
+    return serve.missing_names(serve.attach_names(c.unseen20, named))
+
+
 # ---------------------------------------------------------------- evaluation
 def eval_macro_at_k(c: Ctx):
     return evaluate.eval_macro_at_k(c.top30, c.test, KS, 1, digits=DIGITS)
 
 
+def eval_macro_multiset(c: Ctx):
+    """Macro metrics on rows as they are: repeated recommendations and test rows count as often as they occur."""
+    return evaluate.eval_macro_at_k(c.top30, c.test, KS, 1, digits=DIGITS, multiset=True)
+
+
+def grid_argmin(c: Ctx):
+    """First-best over a grid with an exact answer: item means shrunk toward the global mean."""
+    items = c.train.groupBy("movie_id").agg(F.sum("user_rating").alias("s"), F.count(F.lit(1)).alias("n"))
+    mean = c.train.agg(F.avg("user_rating").alias("mu")).scalar()
+    grid = F.posexplode(F.array(*[F.lit(float(r)) for r in SHRINK])).alias("order", "reg")
+    rows = split_join(c.check, items, "movie_id").withColumn("mu", mean).select("user_rating", "s", "n", "mu", grid)
+    pred = (F.col("s") + F.col("reg") * F.col("mu")) / (F.col("n") + F.col("reg"))
+    err = F.col("user_rating") - pred
+    fits = (rows.groupBy("order", "reg").agg(F.round(F.sqrt(F.avg(err * err)), DIGITS).alias("rmse"))
+            .withColumn("rank", F.lit(0)).withColumn("max_iter", F.lit(0)))
+    best = als.best_params(fits).select("reg", F.lit(True).alias("is_best"))
+    return (fits.join(F.broadcast(best), "reg", "left").fillna(False, ["is_best"])
+            .select("order", "reg", "rmse", "is_best"))
+
+
 def eval_micro_at_k(c: Ctx):
     return evaluate.eval_micro_at_k(c.top30, c.train, c.test, KS, 2, digits=DIGITS)
 
@@ -424,6 +524,42 @@ def parse_tuple_text(c: Ctx):
                                ["id", "code"])
 
 
+def table_round_trip(c: Ctx):
+    """Cleaned movies stored as a table, replaced and read back."""
+    path = scratch_path(c.spark, "stored-movies")
+    io.write_table(c.movies_clean.limit(0), path)
+    io.write_table(c.movies_clean, path)
+    return io.read_table(c.spark, path)
+
+
+def list_round_trip(c: Ctx):
+    """The item-CF model stored as one list per user, read back and expanded."""
+    path = scratch_path(c.spark, "item-lists")
+    io.save_item_lists(itemcf.to_item_lists(c.top30), path)
+    return itemcf.explode_item_lists(io.load_item_lists(c.spark, path))
+
+
+def tuple_text_round_trip(c: Ctx):
+    """Codes as tuple text files, read back with types."""
+    path = scratch_path(c.spark, "code-text")
+    io.write_text(fixtures.code_text(c.spark, c.sf_dir), path)
+    return io.read_tuple_text(c.spark, path, ["string", "int"], ["id", "code"])
+
+
+def metrics_text_round_trip(c: Ctx):
+    """Metric lines written as text and read back."""
+    path = scratch_path(c.spark, "metrics-text")
+    io.write_text(format_metrics(c), path)
+    return c.spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def dashboard_json_round_trip(c: Ctx):
+    """Releases per month as the dashboard's array of objects, read back."""
+    path = scratch_path(c.spark, "releases-json")
+    io.write_json_array(dashboard.release_labels(dashboard.releases_by_month(c.movies_clean)), path)
+    return io.read_json_array(c.spark, path, "year_data string, month_data string, count_num bigint")
+
+
 # ---------------------------------------------------------------- ALS (rows-only checks)
 def als_predict(c: Ctx):
     return als.predict(c.als_model, c.coded_check).select(
@@ -461,31 +597,85 @@ def eval_als(c: Ctx):
                                     item_col="movie_code", digits=DIGITS)
 
 
+def als_checks(c: Ctx):
+    """Properties of the served lists, predictions and the stored model that hold whatever the factors are."""
+    n_items = c.coded_train.select("movie_code").distinct()
+    users = c.coded_test.select("user_id").distinct()
+    top = materialize(als.recommend_for_users(c.als_model, users, TOP_N), "als-top")
+    new = materialize(als.recommend_unseen(c.als_model, c.coded_train, c.coded_train.select("user_id").distinct(),
+                                           SERVE_N), "als-new")
+    pred = materialize(als.predict(c.als_model, c.coded_check).select("user_id", "movie_code", "prediction"),
+                       "als-predictions")
+    path = scratch_path(c.spark, "als-model")
+    als.save_model(c.als_model, path)
+    again = als.predict(als.load_model(path), c.coded_check).select("user_id", "movie_code", "prediction")
+    by_user = Window.partitionBy("user_id").orderBy("rank")
+
+    def rows(df): return df.agg(F.count(F.lit(1)).alias("value"))
+    def n_users(df): return df.agg(F.count_distinct("user_id").alias("value"))
+    def gaps(df):
+        per = df.groupBy("user_id").agg(F.count_distinct("rank").alias("n"), F.max("rank").alias("top"),
+                                        F.count(F.lit(1)).alias("rows"))
+        return rows(per.where("n <> top or n <> rows"))
+    def rising(df):
+        return rows(df.withColumn("before", F.lag("prediction").over(by_user)).where("prediction > before"))
+
+    return _checks({
+        "items": rows(n_items),
+        "top30_users": n_users(top), "top30_rows": rows(top), "top30_rank_gaps": gaps(top),
+        "top30_rising": rising(top),
+        "top20_users": n_users(new), "top20_rows": rows(new), "top20_rank_gaps": gaps(new),
+        "top20_rising": rising(new),
+        "top20_seen": rows(new.join(c.coded_train, ["user_id", "movie_code"], "left_semi")),
+        "predicted_pairs": rows(pred),
+        "saved_differences": rows(pred.exceptAll(again)),
+    })
+
+
+def als_grid_checks(c: Ctx):
+    """The grid search: all fits scored, one best, none better and none as good before it."""
+    grid = materialize(als_grid(c), "als-grid")
+    best = grid.where("is_best").select(F.col("rmse").alias("b_rmse"), F.col("order").alias("b_order"),
+                                        F.lit(1).alias("one"))
+    against = grid.withColumn("one", F.lit(1)).join(F.broadcast(best), "one")
+    return _checks({
+        "fits": grid.agg(F.count(F.lit(1)).alias("value")),
+        "combinations": grid.agg(F.count_distinct("rank", "max_iter", "reg").alias("value")),
+        "without_rmse": grid.where("rmse is null").agg(F.count(F.lit(1)).alias("value")),
+        "best": best.agg(F.count(F.lit(1)).alias("value")),
+        "better": against.where("rmse < b_rmse or (rmse = b_rmse and order < b_order)").agg(
+            F.count(F.lit(1)).alias("value")),
+    })
+
+
 _ALL = [
     # profiling and cleaning
     profile_counts, profile_duplicates, profile_nulls, profile_distinct, profile_anomaly_any_col,
     profile_rating_labels, avg_activity_per_user, avg_activity_per_item, top10_by_raters,
     clean_dedupe, clean_drop_null_all, clean_drop_null_any, clean_labels, clean_rating,
-    attr_repair, typed_ratings, year_month, distinct_tags,
+    attr_repair, typed_ratings, rejected_ratings, year_month, distinct_tags,
     # statistics
     popular_items, popular_items_by_month, popular_topn_per_month, avg_rating, movies_with_avg,
-    genre_match, genre_top10, sql_popular_items, sql_popular_items_by_month, sql_avg_rating,
+    genre_match, genre_top10, genre_top10_lists, popular_items_ranked, popular_items_by_month_ranked,
+    avg_rating_ranked, sql_popular_items, sql_popular_items_by_month, sql_avg_rating,
     # coding and splits
-    dense_code, rating_code, split_hash, split_random, users_min_rated,
+    dense_code, rating_code, split_hash, split_balance, split_random, split_random_checks, users_min_rated,
     # item-CF
     rating_with_item_mean, rating_mean_key_mixed, item_similarity, item_neighbours,
     item_neighbours_all, item_cf_candidates, item_cf_top30, item_cf_top30_dedup, item_cf_unseen,
     item_cf_unseen_first, seen_multiset_diff, matched_multiset, explode_recs, array_ops,
-    shared_users, unseen_items, decode_recs,
+    shared_users, unseen_items, decode_recs, recs_for_users, missing_names,
     # evaluation
-    eval_macro_at_k, eval_micro_at_k, rmse_item_mean, format_metrics, truncate_rating,
+    eval_macro_at_k, eval_macro_multiset, grid_argmin, eval_micro_at_k, rmse_item_mean, format_metrics, truncate_rating,
     # dashboard
     rating_histogram, dashboard_totals, releases_by_month, releases_pivot, genre_preference,
     recent_top10, poster_popular50, poster_recent50, poster_rated50,
     # sources
-    scan_delimited, parse_tuple_text,
+    scan_delimited, parse_tuple_text, table_round_trip, list_round_trip, tuple_text_round_trip,
+    metrics_text_round_trip, dashboard_json_round_trip,
     # ALS
-    als_predict, rmse_als, als_grid, als_top30, als_top20, eval_als,
+    als_predict, rmse_als, als_grid, als_top30, als_top20, eval_als, als_checks,
+    als_grid_checks,
 ]
 
 QUERIES = {fn.__name__: _q(fn) for fn in _ALL}

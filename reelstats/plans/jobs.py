@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstats.operators import als, clean, coding, dashboard, evaluate, itemcf, profile, serve, stats
+from reelstats.operators.skew import split_join
+from reelstats.session import materialize
 from reelstats.sources import io
 
 # Stored table names, as the dashboard and downstream tools know them.
 T_MOVIE, T_RATING, T_TAG = "Movie", "Rating", "Tag"
 T_MOVIE_CLEAN, T_RATING_CLEAN, T_TAG_CLEAN = "MovieExpPre", "RatingExpPre", "TagExpPre"
-T_PROFILE = "Profile"
+T_PROFILE, T_REJECTED, T_UNRESOLVED = "Profile", "RatingRejected", "RecommendUnresolved"
 T_POPULAR, T_MONTHLY, T_AVERAGE, T_GENRE_TOP = (
     "RateMoreMovies", "RateMoreRecentlyMovies", "AverageMovies", "GenresTopMovies")
 T_CODE, T_CODES = "RatingCode", "MovieCode"   # RatingCode is partitioned by split
@@ -87,12 +89,14 @@ def features(store: Store, split: str = "hash", seed: int = 123, genre_n: int =
     store.write(stats.popular_items_by_month(ratings), T_MONTHLY)
     averages = store.write(stats.avg_rating(ratings), T_AVERAGE)
     store.write(stats.genre_top_n_lists(stats.genre_top_n(movies, tags, averages, genre_n)), T_GENRE_TOP)
+    # rows that no model can read are kept as a table of their own, with their number in the profile
+    store.write(clean.rejected_ratings(ratings, rating_is_label=False), T_REJECTED)
     typed = clean.typed_ratings(ratings, require_all=True, rating_is_label=False)
     codes = store.write(coding.dense_code(typed, "movie_id", "movie_code"), T_CODES)
     coded = coding.apply_code(typed, codes, "movie_id", "movie_code").select(
         "movie_code", "user_id", "user_rating", "time_stamp", "movie_id")
     parts = (coding.hash_split(coded) if split == "hash"
-             else coding.random_split(coded, (0.8, 0.1, 0.1), seed))
+             else coding.random_split(materialize(coded, "coded"), (0.8, 0.1, 0.1), seed))
     # one table partitioned by part; train / test / check are its partitions
     store.write(parts, T_CODE, partition_by=["split"])
 
@@ -132,12 +136,15 @@ def recommend(store: Store, n: int = 20, users: list[int] | None = None) -> None
     top = itemcf.explode_item_lists(lists, item_col="movie_code")
     unseen = itemcf.remove_seen(top, train, n, item_col="movie_code")
     named = serve.attach_names(serve.decode_items(unseen, codes), movies)
-    store.write(named.select("user_id", "rank", "movie_id", "movie_name", "movie_type"), T_ITEM_RECS)
+    item_recs = store.write(named.select("user_id", "rank", "movie_id", "movie_name", "movie_type"), T_ITEM_RECS)
     model = als.load_model(store.path(T_ALS_MODEL))
     recs = als.recommend_unseen(model, train, target.select("user_id"), n)
     named = serve.with_truncated_rating(serve.attach_names(serve.decode_items(recs, codes), movies))
-    store.write(named.select("user_id", "rank", "movie_id", "movie_name", "movie_type",
-                             "prediction", "movie_rating"), T_ALS_RECS)
+    als_recs = store.write(named.select("user_id", "rank", "movie_id", "movie_name", "movie_type",
+                                        "prediction", "movie_rating"), T_ALS_RECS)
+    missing = [serve.missing_names(df).withColumn("model", F.lit(name))
+               for name, df in (("item_cf", item_recs), ("als", als_recs))]
+    store.write(missing[0].unionByName(missing[1]), T_UNRESOLVED)
 
 
 def recommend_from_text(spark: SparkSession, user_codes: str, item_codes: str, train_text: str,
@@ -158,8 +165,12 @@ def recommend_from_text(spark: SparkSession, user_codes: str, item_codes: str, t
     targets = users if users is not None else train.select("user_id").distinct()
     recs = als.recommend_unseen(model, train, targets, n)
     id_col = names.columns[0]
-    out = (recs.join(ucodes, "user_id", "left").join(icodes, "movie_code", "left")
-           .join(names.withColumnRenamed(id_col, "item_key"), "item_key", "left"))
+    # one key per code and one name per key: the number of recommendations never changes
+    ucodes = ucodes.groupBy("user_id").agg(F.min("user_key").alias("user_key"))
+    icodes = icodes.groupBy("movie_code").agg(F.min("item_key").alias("item_key"))
+    items = names.groupBy(F.col(id_col).alias("item_key")).agg(F.min(name_col).alias(name_col))
+    out = split_join(split_join(split_join(recs, ucodes, "user_id", "left"), icodes, "movie_code", "left"),
+                     items, "item_key", "left")
     return out.select("user_key", "item_key", F.col(name_col).alias("item_name"),
                       F.col("prediction").try_cast("int").alias("rating"), "rank")
 
@@ -170,9 +181,10 @@ def dashboard_step(store: Store, out: str, poster_path: str | None = None, sep:
     typed = clean.typed_ratings(ratings, require_all=True, rating_is_label=False)
     sets = {
         "totals": dashboard.totals(typed, movies, tags),
-        "userRL": dashboard.rating_histogram(typed).select("name", "y"),
-        "RateMoreMoviesTop10": dashboard.top_by_raters(movies, 10),
-        "MoviesDate": dashboard.releases_by_month(movies),
+        "userRL": dashboard.rating_histogram(typed).select("name", "y").orderBy("name"),
+        "RateMoreMoviesTop10": dashboard.top_by_raters(movies, 10).select(
+            "movie_name", F.col("rating_people_num").try_cast("int").alias("rating_people_num")),
+        "MoviesDate": dashboard.release_labels(dashboard.releases_by_month(movies)),
         "GenrePreference": dashboard.genre_preference(tags),
         "RecentTop10": dashboard.recent_top(movies, 50, 10),
     }
@@ -182,7 +194,7 @@ def dashboard_step(store: Store, out: str, poster_path: str | None = None, sep:
         sets["PosterRecent"] = dashboard.poster_recent(movies, posters)
         sets["PosterRated"] = dashboard.poster_rated(movies, posters)
     for name, df in sets.items():
-        io.write_json(df, f"{out.rstrip('/')}/{name}")
+        io.write_json_array(df, f"{out.rstrip('/')}/{name}")
 
 
 def spark_of(df: DataFrame) -> SparkSession:

@@ -68,7 +68,8 @@ ratings as (
 ratings_split as (
   select user_id, movie_id, user_rating, time_stamp,
          case when h < 8 then 'train' when h = 8 then 'test' else 'check' end as split
-  from (select *, (cast(user_id as bigint) * 7919 + cast(movie_id as bigint) * 104729) % 10 as h
+  from (select *, cast('0x' || substring(md5(cast(user_id as varchar) || ':' || cast(movie_id as varchar)), 1, 8)
+                     as bigint) % 10 as h
         from ratings) x),
 train as (select user_id, movie_id, user_rating, time_stamp from ratings_split where split = 'train'),
 test as (select user_id, movie_id, user_rating, time_stamp from ratings_split where split = 'test'),
@@ -116,7 +117,7 @@ nb as (
 nb30 as (select * from nb where rank <= 30),
 cand as (
   select t.user_id, n.neighbour as movie_id, t.movie_id as seed, n.sim
-  from train t join nb30 n on n.item = t.movie_id),
+  from train t join nb n on n.item = t.movie_id),
 top30 as (
   select user_id, rank, movie_id, seed, sim from (
     select *, cast(row_number() over (partition by user_id order by sim desc, movie_id, seed) as int)
@@ -322,7 +323,9 @@ SQL["item_neighbours"] = _with("select item, neighbour, sim, rank from nb30", Tr
 SQL["item_neighbours_all"] = _with(
     "select item_a as item, item_b as neighbour, sim from sim "
     "union all select item_b, item_a, sim from sim", True)
-SQL["item_cf_candidates"] = _with("select user_id, movie_id, seed, sim from cand", True)
+SQL["item_cf_candidates"] = _with(
+    "select user_id, movie_id, count(*) as n_rows, count(distinct seed) as n_seeds, max(sim) as best_sim "
+    "from cand group by user_id, movie_id", True)
 SQL["item_cf_top30"] = _with("select user_id, rank, movie_id, seed, sim from top30", True)
 SQL["item_cf_top30_dedup"] = _with(r"""
 , best as (
@@ -413,3 +416,92 @@ SQL["parse_tuple_text"] = _with(r"""
 select try_cast(split_part(substring(value, 2, length(value) - 2), ',', 1) as varchar) as id,
        try_cast(split_part(substring(value, 2, length(value) - 2), ',', 2) as int) as code
 from code_text""")
+
+SQL["rejected_ratings"] = _with(r"""
+select * from (select distinct * from ratings_raw) x
+where try_cast(user_id as int) is null or try_cast(movie_id as int) is null
+   or try_cast(substring(user_rating, 8, 1) as double) is null""")
+SQL["genre_top10_lists"] = (
+    "select movie_type, cast(count(*) as int) as n_items, string_agg(cast(movie_id as varchar), ',' order by rank) "
+    "as movie_ids from (" + SQL["genre_top10"] + ") t group by movie_type")
+for _name, _order in (("popular_items", "count desc, movie_id nulls first"),
+                      ("popular_items_by_month", "year_month desc nulls last, count desc, movie_id nulls first"),
+                      ("avg_rating", "avg desc nulls last, movie_id nulls first")):
+    SQL[f"{_name}_ranked"] = f"select *, row_number() over (order by {_order}) as position from ({SQL[_name]}) t"
+SQL["split_balance"] = _with(r"""
+select split, cast(sum(n) as bigint) as n_rows, count(*) as n_users, count(*) filter (where items >= 3) as n_users_3,
+       count(*) filter (where items >= 3 and digits = 1) as n_one_digit
+from (select split, user_id, count(*) as n, count(distinct movie_id) as items,
+             count(distinct movie_id % 10) as digits
+      from ratings_split group by split, user_id) x
+group by split""")
+SQL["split_random_checks"] = _with(r"""
+select 'rows' as name, count(*) as value from ratings
+union all select 'parts', 3 union all select 'lost', 0 union all select 'doubled', 0""")
+SQL["recs_for_users"] = _with(r"""
+select user_id, rank, movie_id, seed, sim from unseen20
+where user_id in (select c_custkey from customer where c_mktsegment = 'BUILDING')""", True)
+SQL["missing_names"] = _with(r"""
+select count(*) as n_missing from unseen20 u
+where not exists (select 1 from movies_attr m where try_cast(m.movie_id as int) = u.movie_id
+                  and m.movie_type is not null and m.movie_name is not null)""", True)
+_MACRO_ROWS = r"""
+, tr as (select user_id, movie_id, count(*) as t from test group by 1, 2),
+tn as (select user_id, sum(t) as n_test from tr where user_id in (select user_id from top30) group by 1),
+rr as (
+  select user_id, movie_id, count(*) filter (where rank <= 10) as r10, count(*) filter (where rank <= 20) as r20,
+         count(*) filter (where rank <= 30) as r30 from top30 group by 1, 2),
+hu as (
+  select user_id, sum(least(t, r10)) as h10, sum(least(t, r20)) as h20, sum(least(t, r30)) as h30
+  from tr join rr using (user_id, movie_id) group by 1),
+su as (
+  select user_id, count(*) filter (where rank <= 10) as s10, count(*) filter (where rank <= 20) as s20,
+         count(*) filter (where rank <= 30) as s30 from top30 group by 1),
+w as (
+  select count(*) as n_users,
+         avg(coalesce(h10, 0) / n_test * 100.0) as r10, avg(coalesce(h10, 0) / s10 * 100.0) as p10,
+         avg(coalesce(h20, 0) / n_test * 100.0) as r20, avg(coalesce(h20, 0) / s20 * 100.0) as p20,
+         avg(coalesce(h30, 0) / n_test * 100.0) as r30, avg(coalesce(h30, 0) / s30 * 100.0) as p30
+  from tn join su using (user_id) left join hu using (user_id))
+"""
+SQL["eval_macro_multiset"] = _with(_MACRO_ROWS + _k_rows(r"""
+select cast({k} as int) as k, n_users, round(r{k}, 6) as recall, round(p{k}, 6) as precision,
+       round(2 * p{k} * r{k} / (p{k} + r{k}), 6) as f1 from w"""), True)
+SQL["grid_argmin"] = _with(r"""
+, g("order", reg) as (values (0, 0.0::double), (1, 1.0::double), (2, 2.0::double), (3, 5.0::double), (4, 10.0::double),
+                      (5, 20.0::double), (6, 50.0::double)),
+it as (select movie_id, sum(user_rating) as s, count(*) as n from train group by movie_id),
+mu as (select avg(user_rating) as mu from train),
+fit as (
+  select g."order", g.reg, round(sqrt(avg(power(c.user_rating - (it.s + g.reg * mu.mu) / (it.n + g.reg), 2))), 6) as rmse
+  from chk c join it using (movie_id), mu, g group by g."order", g.reg)
+select cast("order" as int) as "order", reg, rmse,
+       "order" = (select "order" from fit order by rmse, "order" limit 1) as is_best
+from fit""")
+SQL["table_round_trip"] = SQL["clean_labels"]
+SQL["list_round_trip"] = SQL["explode_recs"]
+SQL["tuple_text_round_trip"] = SQL["parse_tuple_text"]
+SQL["metrics_text_round_trip"] = SQL["format_metrics"]
+SQL["dashboard_json_round_trip"] = (
+    "select cast(year as varchar) || '年' as year_data, cast(month as varchar) || '月' as month_data, count_num from ("
+    + SQL["releases_by_month"] + ") t")
+SQL["als_checks"] = _with(r"""
+, n as (select count(distinct movie_id) as n from train),
+seen as (select user_id, count(distinct movie_id) as s from train group by user_id),
+tu as (select distinct user_id from test where user_id in (select user_id from train))
+select 'items' as name, n as value from n
+union all select 'top30_users', count(*) from tu
+union all select 'top30_rows', cast(count(*) * least(30, max(n.n)) as bigint) from tu, n
+union all select 'top30_rank_gaps', 0
+union all select 'top30_rising', 0
+union all select 'top20_users', count(*) from seen, n where s < n.n
+union all select 'top20_rows', cast(sum(least(20, n.n - s)) as bigint) from seen, n
+union all select 'top20_rank_gaps', 0
+union all select 'top20_rising', 0
+union all select 'top20_seen', 0
+union all select 'predicted_pairs', count(*) from chk
+  where user_id in (select user_id from train) and movie_id in (select movie_id from train)
+union all select 'saved_differences', 0""")
+SQL["als_grid_checks"] = r"""
+select 'fits' as name, 24::bigint as value union all select 'combinations', 24 union all select 'without_rmse', 0
+union all select 'best', 1 union all select 'better', 0"""

@@ -66,8 +66,8 @@ def build_session(master: str | None = None, app: str = "reelstats",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's value is always used when present.  Only when nothing is
-    configured (local runs and tests) a fresh folder is created and registered.
+    The cluster's value is always used when present, and required there.  Only
+    local runs and tests without one get a fresh folder.
     """
     try:
         sc = spark.sparkContext
@@ -81,6 +81,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        # a folder of one machine serves only where driver and tasks share that machine
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="reelstats-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

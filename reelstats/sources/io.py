@@ -95,20 +95,32 @@ def load_item_lists(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_small_text(df: DataFrame, path: str, max_rows: int = 10000) -> None:
-    """One text file for a tiny result (metrics, parameters).
+def write_text(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Text lines, the columns joined by ``sep``: as many files as the result has partitions.
 
-    Refuses inputs above ``max_rows`` so a large table is never funnelled
-    through one task.
+    Aggregated results (metrics, parameters) have one partition and so one file.
     """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"write_small_text is for small results, got more than {max_rows} rows")
     if len(df.columns) != 1:
-        df = df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns]).alias("value"))
-    df.coalesce(1).write.mode("overwrite").text(path)
+        df = df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value"))
+    df.write.mode("overwrite").text(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """JSON lines (one object per row) for the dashboard datasets."""
+    """JSON lines (one object per row)."""
     df.write.mode("overwrite").json(path)
+
+
+def write_json_array(df: DataFrame, path: str, order: list | None = None) -> None:
+    """One text file with an array of objects, as a dashboard loads it.
+
+    For aggregated datasets whose size does not grow with the ratings (levels,
+    months, top lists).
+    """
+    rows = df.orderBy(*order) if order else df
+    numbered = rows.select(F.struct(F.monotonically_increasing_id().alias("_i"), F.struct("*").alias("row")).alias("r"))
+    text = F.to_json(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["row"]))
+    numbered.agg(text.alias("value")).write.mode("overwrite").text(path)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("multiLine", True).json(path)

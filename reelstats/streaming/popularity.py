@@ -47,8 +47,8 @@ def finalized_monthly_counts(ratings: DataFrame, delay: str = "31 days",
     Event time is the rating's epoch seconds.  A month is closed when the
     stream has seen events ``delay`` after the month's first day; its counts
     are then written once (append mode) and its state is dropped, so the
-    state holds only the open months.  Ratings for a closed month that
-    arrive later are late data and are not counted.
+    state holds only the open months.  Ratings for a closed month that arrive
+    later do not change it; ``late_rows`` reports how many there were.
     """
     event = F.timestamp_seconds(F.col(ts_col).try_cast("bigint"))
     return (ratings.withColumn("month_start", F.date_trunc("month", event))
@@ -58,6 +58,11 @@ def finalized_monthly_counts(ratings: DataFrame, delay: str = "31 days",
             .withColumn("year_month", epoch_to_year_month(F.unix_seconds("month_start"))))
 
 
+def late_rows(query) -> int:
+    """Rows that a query with a watermark left out so far because their month was closed."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
 def run_append(counts: DataFrame, target: str, checkpoint: str | None = None,
                available_now: bool = True, processing_time: str | None = None):
     """Append closed results to a parquet folder (exactly once through the checkpoint)."""

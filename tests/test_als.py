@@ -53,12 +53,16 @@ def test_recommend_unseen_invariants(spark, planted):
     train, _ = planted
     model = als.fit_als(train, rank=2, max_iter=5, reg=0.1, seed=3)
     users = train.select("user_id").distinct()
-    for bounds in ((1000,), (4, 8, 16)):  # the second splits users over several tiers
-        recs = als.recommend_unseen(model, train, users, 5, tier_bounds=bounds)
-        assert recs.join(train, ["user_id", "movie_code"], "left_semi").count() == 0
-        per_user = recs.groupBy("user_id").agg(F.count("*").alias("n"), F.max("rank").alias("m"))
-        assert per_user.where("n != 5 or m != 5").count() == 0
-        assert per_user.count() == users.count()
+    recs = als.recommend_unseen(model, train, users, 5)
+    assert recs.join(train, ["user_id", "movie_code"], "left_semi").count() == 0
+    per_user = recs.groupBy("user_id").agg(F.count("*").alias("n"), F.max("rank").alias("m"))
+    assert per_user.where("n != 5 or m != 5").count() == 0
+    assert per_user.count() == users.count()
+    # a user who has seen all items but three gets those three, everybody else's list stays
+    heavy = spark.createDataFrame([(2, i, 3.0) for i in range(1, 28)], "user_id int, movie_code int, user_rating double")
+    again = als.recommend_unseen(model, train.select("user_id", "movie_code", "user_rating").unionByName(heavy), users, 5)
+    assert {r.movie_code for r in again.where("user_id = 2").collect()} <= {28, 29, 30}
+    assert sorted(map(tuple, again.where("user_id <> 2").collect())) == sorted(map(tuple, recs.where("user_id <> 2").collect()))
     # exactness: equals ranking every unseen item directly
     u = 1
     seen = {r.movie_code for r in train.where(f"user_id = {u}").collect()}
@@ -102,4 +106,6 @@ def test_parallel_grid_equals_sequential(spark, planted):
     kw = dict(ranks=(1, 2), regs=(0.1,), iters=(2, 3), seed=5)
     a = als.grid_search(train, check, parallelism=1, **kw).orderBy("order").collect()
     b = als.grid_search(train, check, parallelism=3, **kw).orderBy("order").collect()
-    assert [tuple(r) for r in a] == [tuple(r) for r in b]
+    assert [tuple(r)[:4] for r in a] == [tuple(r)[:4] for r in b]
+    # the error is an average of partial sums, whose order is not fixed
+    assert [r.rmse for r in a] == pytest.approx([r.rmse for r in b], rel=1e-12)

@@ -1,5 +1,7 @@
 """Sources and sinks round trips."""
 
+import json
+
 import pytest
 
 from reelstats.operators import itemcf
@@ -44,14 +46,25 @@ def test_item_lists_round_trip(spark):
     assert back == {1: [5, 3], 2: [9]}
 
 
-def test_small_text_refuses_large(spark):
-    with pytest.raises(ValueError):
-        io.write_small_text(spark.range(0, 50), scratch_path(spark, "big"), max_rows=10)
+def test_text_lines_of_any_size(spark):
+    path = scratch_path(spark, "lines")
+    io.write_text(spark.range(0, 50_000).selectExpr("cast(id as string) as value"), path)
+    assert spark.read.text(path).count() == 50_000
     path = scratch_path(spark, "small")
-    io.write_small_text(spark.createDataFrame([(10, 0.5)], "k int, p double"), path)
+    io.write_text(spark.createDataFrame([(10, 0.5)], "k int, p double"), path)
     assert [r.value for r in spark.read.text(path).collect()] == ["10,0.5"]
 
 
+def test_json_array_is_one_document_in_order(spark):
+    path = scratch_path(spark, "array")
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, None)], "k int, v string").repartition(3)
+    io.write_json_array(df, path, ["k"])
+    (line,) = [r.value for r in spark.read.text(path).collect()]
+    assert [d["k"] for d in json.loads(line)] == [1, 2, 3]
+    assert sorted(map(tuple, io.read_json_array(spark, path, "k int, v string").collect()), key=lambda r: r[0]) == [
+        (1, "a"), (2, None), (3, "c")]
+
+
 def test_jdbc_reader_passes_options(spark):
     # No database exists here: an unknown JDBC scheme fails inside Spark's JDBC
     # source while resolving the schema, which shows the options reach it.

@@ -168,11 +168,15 @@ def test_user_subset_equals_filtered_full_result(spark):
     assert sorted(map(tuple, sub.collect())) == sorted(map(tuple, full.collect()))
 
 
-@pytest.mark.parametrize("bounds", [(64, 256), (1, 2, 4)])
-def test_unseen_first_equals_brute_force(spark, bounds):
-    train = spark.createDataFrame(random_ratings(13), SCHEMA)
+@pytest.mark.parametrize("heavy", [False, True])
+def test_unseen_first_equals_brute_force(spark, heavy):
+    rows = random_ratings(13)
+    if heavy:  # one user has rated nearly every item
+        items = sorted({r[1] for r in rows})
+        rows = [r for r in rows if r[0] != 1] + [(1, i, 3.0) for i in items[:-2]]
+    train = spark.createDataFrame(rows, SCHEMA)
     sim = itemcf.item_similarity(train)
-    got = itemcf.recommend_unseen_first(train, 4, similarity=sim, tier_bounds=bounds)
+    got = itemcf.recommend_unseen_first(train, 4, similarity=sim)
     # unpruned: every neighbour of every rated row, seen items removed, then the top 4
     cand = itemcf.item_cf_candidates(train, itemcf.item_neighbours(sim, None))
     cand = cand.join(train.select("user_id", "movie_id"), ["user_id", "movie_id"], "left_anti")

@@ -51,8 +51,17 @@ def test_jobs_end_to_end(spark):
 
     out = scratch_path(spark, "web_data")
     jobs.dashboard_step(store, out, f"{raw}/Poster")
-    hist = [json.loads(r.value) for r in spark.read.text(f"{out}/userRL").collect()]
+    (hist,) = [json.loads(r.value) for r in spark.read.text(f"{out}/userRL").collect()]
     assert sum(d["y"] for d in hist) == QUERIES["typed_ratings"](spark, SF001).count()
+    (dates,) = [json.loads(r.value) for r in spark.read.text(f"{out}/MoviesDate").collect()]
+    assert set(dates[0]) == {"year_data", "month_data", "count_num"}
+    (top,) = [json.loads(r.value) for r in spark.read.text(f"{out}/RateMoreMoviesTop10").collect()]
+    assert len(top) == 10 and set(top[0]) == {"movie_name", "rating_people_num"}
+    counts = [d["rating_people_num"] for d in top]
+    assert counts == sorted(counts, reverse=True)
+    rejected = store.read(jobs.T_REJECTED).count()
+    assert rejected + sum(parts.values()) == store.read(jobs.T_RATING_CLEAN).count() and rejected > 0
+    assert {r.model: r.n_missing for r in store.read(jobs.T_UNRESOLVED).collect()} == {"item_cf": 0, "als": 0}
     assert os.path.isdir(local_path(f"{out}/PosterRecent"))
 
 

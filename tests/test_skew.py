@@ -8,7 +8,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from reelstats.operators import itemcf
+from reelstats.operators import evaluate, itemcf, serve
+from reelstats.operators.skew import split_join
 from reelstats.plans.catalog import Ctx
 from tests.conftest import SF001
 
@@ -53,3 +54,63 @@ def test_hot_user_similarity_and_top_n_equal_plain_sql(spark):
         where rn <= 10""").fetchall()
     got_top = [tuple(r) for r in top.select("user_id", "rank", "movie_id", "seed", "sim").collect()]
     assert sorted(got_top) == sorted(tuple(r) for r in want_top)
+
+
+def hot_ratings(spark):
+    """One user and one item hold a third of the rows each."""
+    train = Ctx(spark, SF001).train.select("user_id", "movie_id", "user_rating")
+    return (train.withColumn("user_id", F.when(F.col("movie_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+            .withColumn("movie_id", F.when(F.col("user_id") % 3 == 1, F.lit(7)).otherwise(F.col("movie_id"))))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_split_join_equals_a_plain_join(spark, how):
+    left = hot_ratings(spark)
+    right = left.groupBy("movie_id").agg(F.avg("user_rating").alias("mean")).where("movie_id % 5 <> 0")
+    got, want = split_join(left, right, "movie_id", how), left.join(right, "movie_id", how)
+    cols = want.columns
+    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.collect()))
+    nulls = left.unionByName(left.limit(5).withColumn("movie_id", F.lit(None).cast("int")))
+    got, want = split_join(nulls, right, "movie_id", how), nulls.join(right, "movie_id", how)
+    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.collect()))
+
+
+def test_hot_key_is_dealt_over_tasks(spark):
+    left = spark.range(30_000).select((F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id"))).alias("k"), "id")
+    right = spark.range(30_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(old, ("-1", "64", "false")):
+            spark.conf.set(k, v)
+        for join, most in ((split_join(left, right, "k"), 3_000), (left.join(right, "k"), 100_000)):
+            sizes = [r["count"] for r in join.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            assert sum(sizes) == 30_000
+            assert max(sizes) <= most
+        assert max(sizes) > 9_000  # the plain join puts the hot key into one task
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_min_activity_means_and_candidates_with_hot_keys(spark):
+    hot = hot_ratings(spark)
+    kept = itemcf.users_min_rated(hot, 3)
+    keep = {r.user_id for r in hot.groupBy("user_id").count().where("count >= 3").collect()}
+    assert kept.columns == hot.columns
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in hot.collect() if r.user_id in keep)
+    pred = evaluate.item_mean_predictions(hot, hot)
+    means = {r.movie_id: r.m for r in hot.groupBy("movie_id").agg(F.avg("user_rating").alias("m")).collect()}
+    assert pred.count() == hot.count()
+    assert all(r.prediction == pytest.approx(means[r.movie_id]) for r in pred.collect())
+
+
+def test_repeated_ids_do_not_multiply_recommendations(spark):
+    recs = spark.createDataFrame([(1, 1, 10), (1, 2, 11), (2, 1, 12)], "user_id int, rank int, movie_id int")
+    movies = spark.createDataFrame([("10", "b", "t2"), ("10", "a", "t1"), ("10", None, "t0"), ("11", "c", None),
+                                    ("x", "bad id", None)], "movie_id string, movie_name string, movie_type string")
+    got = {(r.user_id, r.movie_id): (r.movie_name, r.movie_type) for r in serve.attach_names(recs, movies).collect()}
+    assert got == {(1, 10): ("a", "t1"), (1, 11): ("c", None), (2, 12): (None, None)}
+    codes = spark.createDataFrame([(10, 1), (10, 1), (9, 1)], "movie_id int, movie_code int")
+    coded = spark.createDataFrame([(1, 1, 1), (1, 2, 5)], "user_id int, rank int, movie_code int")
+    assert {(r.movie_code, r.movie_id) for r in serve.decode_items(coded, codes).collect()} == {(1, 9), (5, None)}

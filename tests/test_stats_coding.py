@@ -74,3 +74,49 @@ def test_releases_pivot_fills_zero(spark):
                               "movie_release_date string")
     rows = {r.year: r for r in dashboard.releases_pivot(m).collect()}
     assert rows[2020].m01 == 2 and rows[2020].m02 == 0 and rows[2021].m12 == 1
+
+
+def test_split_is_not_tied_to_a_digit(spark):
+    df = spark.createDataFrame([(u, i) for u in range(300) for i in range(40)], "user_id int, movie_id int")
+    s = coding.hash_split(df)
+    share = {r.split: r["count"] / 12000 for r in s.groupBy("split").count().collect()}
+    assert abs(share["train"] - 0.8) < 0.02 and abs(share["test"] - 0.1) < 0.02
+    digits = (s.where("split = 'test'").groupBy("user_id")
+              .agg(F.count("*").alias("n"), F.count_distinct(F.col("movie_id") % 10).alias("d")).where("n >= 3"))
+    assert digits.where("d = 1").count() < 0.1 * digits.count()
+
+
+def test_dense_code_without_shuffle_reuse(spark):
+    """Codes are contiguous even when no exchange is shared between two reads of the ranges."""
+    import os
+
+    from reelstats.plans.catalog import Ctx
+    sf = "/root/testdata/sf0.1"
+    assert os.path.isdir(sf)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        codes = coding.dense_code(Ctx(spark, sf).ratings, "movie_id", "movie_code")
+        row = codes.agg(F.count("*").alias("n"), F.count_distinct("movie_code").alias("d"),
+                        F.min("movie_code").alias("lo"), F.max("movie_code").alias("hi")).first()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert row.n > 10_000 and (row.d, row.lo, row.hi) == (row.n, 1, row.n)
+
+
+def test_genre_match_expands_distinct_types_only(spark):
+    movies = spark.createDataFrame([(str(i), "Cold/Steel" if i % 2 else "Warm") for i in range(4000)],
+                                   "movie_id string, movie_type string")
+    genres = spark.createDataFrame([("old",), ("warm",), ("",), ("x",)], "genre string")
+    got = stats.genre_match(genres, movies)
+    assert {(r.genre, r["count"]) for r in got.groupBy("genre").count().collect()} == {
+        ("old", 2000), ("warm", 2000), ("", 4000)}
+    assert "substring" not in stats.split_join(movies, movies.limit(0), "movie_type")._jdf.queryExecution().toString()
+
+
+def test_random_split_loses_and_doubles_nothing(spark):
+    from reelstats.session import materialize
+    df = spark.range(20_000).withColumn("v", F.col("id") % 7)
+    s = materialize(coding.random_split(df, (0.8, 0.1, 0.1), 5), "random-split-test")
+    assert s.select("id", "v").exceptAll(df).count() == 0 and df.exceptAll(s.select("id", "v")).count() == 0
+    share = {r.split: r["count"] / 20_000 for r in s.groupBy("split").count().collect()}
+    assert abs(share["train"] - 0.8) < 0.02 and set(share) == set(coding.SPLIT_NAMES)
