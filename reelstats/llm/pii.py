@@ -42,13 +42,14 @@ BASE = {
     "card": r"[0-9](?=[\x20-]?[0-9])[0-9]*+(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-LOOSE = {
-    "email": r"(?:\G|(?<![\pL0-9._%+-]))[\pL0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[\pL0-9-]{1,63}+"
-             r"(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[\pL0-9-]{1,63}+){1,8}+",
-    "ip": r"(?:\G|(?<![0-9]))[0-9]{1,4}+(?:[.:,][0-9]{1,4}+){3}+(?![0-9])",
-    "card": r"(?:\G|(?<![0-9]))[0-9]{3,6}+(?:[\x20./-]?[0-9]{2,6}+){2,5}+(?![0-9])",
-    "phone": r"(?:\+|\b00|\(0)[0-9][\x20()./0-9-]{6,22}[0-9]",
-}
+LOOSE = [
+    ("email", r"(?:\G|(?<![\pL0-9._%+-]))[\pL0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[\pL0-9-]{1,63}+"
+              r"(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[\pL0-9-]{1,63}+){1,8}+"),
+    ("ip", r"(?:\G|(?<![0-9]))[0-9]{1,4}+(?:[.:,][0-9]{1,4}+){3}+(?![0-9])"),
+    ("card", r"(?:\G|(?<![0-9]))[0-9]{3,6}+(?:[\x20./-]?[0-9]{2,6}+){2,5}+(?![0-9])"),
+    ("phone", r"(?:\+|\b00)[1-9][0-9]{0,2}[\x20.-]?\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])"),
+    ("phone", r"(?:\+|\b00)[1-9][0-9]{0,2}[\x20.-]\(?[0-9]{1,4}\)?(?:[\x20.-][0-9]{2,4}){1,4}(?![0-9.])"),
+]
 CONTEXT = 24
 CUES = r"(?i)(?:phone|tel|call|fax|mobile|mail|contact|card|visa|account|host|server|ip)\W*$"
 
@@ -101,7 +102,7 @@ def proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tie"), text.alias("text"))
     rows = rows.withColumn("rid", F.monotonically_increasing_id())
-    patterns = [(k, True, BASE[k]) for k in KINDS] + [(k, False, LOOSE[k]) for k in KINDS]
+    patterns = [(k, True, BASE[k]) for k in KINDS] + [(k, False, pattern) for k, pattern in LOOSE]
     # a cheap test spares most texts the pattern
     guard = {"email": F.col("text").rlike(r"@|[(\[]at[)\]]"), "ip": F.col("has_digit"), "card": F.col("has_digit"),
              "phone": F.col("has_digit")}

@@ -188,3 +188,24 @@ def test_plans_hold_no_python(spark):
     for name in ("op5_license_scan", "op7_pii"):
         plan = queries.LLM_QUERIES[name](spark, SF001)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_trees_find_what_the_base_pattern_swallows(spark):
+    """A phone number and an address in a row are one failing base match; the proposals hold the phone alone."""
+    import random
+    rng = random.Random(8)
+
+    def n(k):
+        return "".join(rng.choice("0123456789") for _ in range(k))
+
+    texts = []
+    for _ in range(300):
+        texts += [f"word +1 ({n(3)}) 555-{n(4)} word", f"some {n(16)} number", f"x{n(2)}@mail{n(1)}.example.com here",
+                  f"at {rng.randint(1, 255)}.{rng.randint(1, 255)}.1.{rng.randint(1, 255)} host"]
+    texts.append("Des +1 (826) 555-4081 190.137.223.204 du")
+    rows = {r.doc_id: r for r in pii.label_documents(frame(spark, texts)).where("doc_id is not null").collect()}
+    last = rows[len(texts) - 1]
+    assert (last.n_phone, last.n_ip) == (0, 1)
+    assert last.spans == "phone:4:21,ip:22:37"
+    plain = [rows[i] for i in range(1, 1200, 4)]  # sixteen digits: redacted when the checksum holds
+    assert all(r.spans == "" or r.n_card == 1 for r in plain)
