@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelstats.operators.skew import split_join
 from reelstats.session import materialize
 
 SPLIT_NAMES = ("train", "test", "check")
@@ -46,8 +47,8 @@ def number_rows(df: DataFrame, order: list, number_col: str = "position", num_pa
 
 
 def apply_code(df: DataFrame, codes: DataFrame, col: str, code_col: str) -> DataFrame:
-    """Attach the code of ``col`` (inner join on the distinct code table)."""
-    return df.join(codes, col)
+    """Attach the code of ``col`` (inner join on the distinct code table; frequent items dealt over tasks)."""
+    return split_join(df, codes, col).select(*df.columns, code_col)
 
 
 def hash_bucket(user_col: str = "user_id", item_col: str = "movie_id") -> F.Column:

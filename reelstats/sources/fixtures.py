@@ -125,11 +125,5 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_ratings(raw, require_all=True)
 
 
-def ratings_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean ratings with a stable 80/10/10 ``split`` column."""
-    from reelstats.operators.coding import hash_split
-    return hash_split(ratings(spark, sf_dir))
-
-
 def split_part_of(df: DataFrame, name: str) -> DataFrame:
     return df.where(F.col("split") == name).drop("split")

@@ -74,9 +74,19 @@ def read_tuple_text(spark: SparkSession, path: str, types: list[str], names: lis
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, user: str | None = None,
-              password: str | None = None, **options) -> DataFrame:
-    """A table from a JDBC database (driver jar must be on the classpath)."""
+              password: str | None = None, partition: tuple[str, object, object, int] | None = None,
+              **options) -> DataFrame:
+    """A table from a JDBC database (driver jar must be on the classpath).
+
+    ``partition`` = (numeric or date column, lower, upper, number): the range is
+    read by that many tasks, each with its own connection; rows outside the
+    bounds belong to the first and last task.  Without it one task reads all.
+    """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    if partition is not None:
+        column, lower, upper, number = partition
+        reader = (reader.option("partitionColumn", column).option("lowerBound", str(lower))
+                  .option("upperBound", str(upper)).option("numPartitions", number))
     if user is not None:
         reader = reader.option("user", user)
     if password is not None:
