@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +22,8 @@ BASE_CONF = {
 }
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Starting point for large clusters (hundreds of executors, tens of TB of input).
 # Shuffles start wide and AQE merges small partitions toward the advisory size,
 # so the same job also runs well on small inputs.  Skewed join partitions
@@ -108,10 +111,26 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with freed_shuffles(spark):
+        writer.parquet(path)
     return spark.read.parquet(path)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Let Spark delete the shuffle files of the queries run inside as soon as each has ended.
+
+    The written copy replaces them; otherwise they stay until the driver
+    happens to collect its garbage, which on a long job is disk for nothing.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path
