@@ -26,11 +26,13 @@ its own neighbour; an empty table gives no rows; other columns never matter.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -191,11 +193,11 @@ def neighbours(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataF
                        F.col(text_col).alias("text"))
     share = [i / parts for i in range(1, parts)]
     cuts = sorted(set(rows.where("doc_id is not null").approxQuantile("doc_id", share, 0.2 / parts))) if share else []
-    bucket = F.lit(0)
-    if cuts:
-        bucket = F.coalesce(F.array_size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]),
-                                                  lambda c: c < F.col("doc_id"))), F.lit(0))
-    rows = rows.withColumn("bucket", bucket.cast("int"))
+    # a binary search in the ranges, missing ids below all others; equal ids share a range
+    ranges = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="place", outputCol="range")
+    rows = rows.withColumn("place", F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf)))
+    rows = ((ranges.transform(rows) if cuts else rows.withColumn("range", F.lit(0.0)))
+            .withColumn("bucket", F.col("range").cast("int")).drop("place", "range"))
     # one row per range: bounded by the number of ranges
     tops = rows.groupBy("bucket").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "tie"))
                                       .alias("top")).orderBy("bucket").collect()
@@ -255,6 +257,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lex = lexicon(docs, text_col, least, most)
     ranged = neighbours(docs, id_col, text_col, parts).select("bucket", "after", "doc_id", "tie", "text")
-    return (ranged.mapInArrow(packed_texts(), PACKED).repartition(parts, "bucket")
+    return (ranged.mapInArrow(packed_texts(), PACKED).repartitionById(parts, F.col("bucket"))
             .sortWithinPartitions("bucket", "after", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
             .mapInArrow(print_pairs(lex), PRINTS))
