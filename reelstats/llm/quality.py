@@ -30,7 +30,7 @@ from reelstats.llm.graph import spread_join
 from reelstats.llm.words import Words, slices, texts_of
 from reelstats.session import materialize
 
-# At most so many labelled documents are fitted on, one in HELD_OUT kept for the threshold.
+# About so many labelled documents are fitted on, one in HELD_OUT of them kept for the threshold.
 SAMPLE_ROWS, HELD_OUT, LOST, RIDGE = 20_000, 4, 0.002, 1.0
 FEATURES = ["log_words", "word_length", "upper", "digits", "symbols", "marks", "foreign", "bars", "marked_words",
             "distinct", "top_word", "runs", "line_length", "repeated_lines"]
@@ -90,7 +90,7 @@ def text_features(texts: pa.Array) -> np.ndarray:
 
 
 def feature_rows(batches):
-    for batch in slices(batches):
+    for batch in slices(batches, max_bytes=4 << 20):
         x = text_features(texts_of(batch))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
         yield pa.RecordBatch.from_arrays(
@@ -114,6 +114,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int
     return weights, float(w[-1] - weights @ mean)
 
 
+def sample_by_hash(df: DataFrame, key: F.Column, rows: int) -> DataFrame:
+    """About ``rows`` rows (all, if there are fewer) with a hash ``key`` below a bound; adds ``key``.
+
+    Every task keeps its share, so nothing but the sample leaves the tasks.
+    """
+    share = min(1.0, rows / max(df.count(), 1))
+    return df.withColumn("key", key).where(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def logit(p: F.Column) -> F.Column:
     return F.log(p / (1 - p))
 
@@ -151,14 +160,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: F.Column | None =
              .agg(F.avg(label_col).alias("label")))
     labelled = rows.join(known, "doc_id", "left")
 
-    # a bounded sample of labelled documents, the same whatever the partitioning
-    key = F.xxhash64("doc_id", "tie")
-    sample = (labelled.where("label is not null").withColumn("key", key).orderBy("key", "rid").limit(sample_rows)
-              .select("key", "label", "features").toPandas())
+    # a bounded sample of labelled documents by a hash, the same whatever the partitioning
+    sample = sample_by_hash(labelled.where("label is not null"), F.xxhash64("doc_id", "tie"), sample_rows)
+    sample = sample.select("key", "label", "features").toPandas().sort_values("key", kind="stable")
     fitted, weights, intercept, cut = False, np.zeros(len(FEATURES)), 0.0, 0.0
     if len(sample):
         x, y = np.stack(sample["features"].to_numpy()), sample["label"].to_numpy(np.float64)
-        held = sample["key"].to_numpy() % HELD_OUT == 0
+        held = (sample["key"].to_numpy().view(np.uint64) >> np.uint64(30)) % np.uint64(HELD_OUT) == 0
         fitted = len(np.unique(y[~held] >= 0.5)) == 2
         if fitted:
             weights, intercept = fit_logistic(x[~held], y[~held])
