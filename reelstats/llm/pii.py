@@ -27,6 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelstats.llm.quality import sample_by_hash
 from reelstats.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -53,7 +54,7 @@ LOOSE = [
 CONTEXT = 24
 CUES = r"(?i)(?:phone|tel|call|fax|mobile|mail|contact|card|visa|account|host|server|ip)\W*$"
 
-# Training: candidates sampled in order of a hash, a fixed share of them held out for calibration.
+# Training: about so many candidates sampled by a hash, one in HELD_OUT of them held out for calibration.
 SAMPLE_ROWS, HELD_OUT, PRECISION = 8000, 4, 0.97
 TREES, DEPTH = 8, 3
 
@@ -166,9 +167,9 @@ def score_candidates(candidates: DataFrame, sample_rows: int = SAMPLE_ROWS, prec
     # a bounded sample, the same whatever the partitioning
     key = F.xxhash64("doc_id", "tie", "kind", "start", "end")
     sample = materialize(
-        found.withColumn("label", F.col("is_base").cast("double")).withColumn("key", key)
-        .orderBy("key", "rid").limit(sample_rows).coalesce(1)
-        .withColumn("held_out", F.pmod(F.col("key"), F.lit(HELD_OUT)) == 0)
+        sample_by_hash(found.withColumn("label", F.col("is_base").cast("double")), key, sample_rows)
+        .withColumn("held_out", F.pmod(F.shiftrightunsigned("key", 30), F.lit(HELD_OUT)) == 0)
+        .repartition(1).sortWithinPartitions("key", "kind", "start", "end")
         .select("kind", "label", "held_out", *FEATURES), "pii-sample")
     classes = sample.where("not held_out").agg(F.count_distinct("label")).first()[0]
     if classes < 2:
@@ -227,7 +228,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                .withColumn("island", F.sum("new").over(order))
                .groupBy("rid", "doc_id", "tie", "island")
                .agg(F.min("start").alias("start"), F.max("end").alias("end"),
-                    F.min_by("kind", F.struct("start", -F.col("end"))).alias("kind")))
+                    F.min_by("kind", F.struct("start", -F.col("end"), "kind")).alias("kind")))
     # rows of one id and text have the same spans
     per_doc = (islands.groupBy("rid", "doc_id", "tie")
                .agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("cuts"))
