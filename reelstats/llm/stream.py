@@ -33,11 +33,15 @@ def sorted_groups(batches, keys: list[str]):
         yield held, np.append(starts, held.num_rows)
 
 
-def meeting_rows(keys: list[str], keep: list[str]):
+def meeting_rows(keys: list[str], keep: list[str], always: str | None = None):
     """Task function on a stream sorted by ``keys``: rows whose keys a neighbouring row shares.
 
+    Rows with a true (non-zero) value in the key column ``always`` pass in any case.
     Only one row is held over from batch to batch, so a key may have any number of rows.
     """
+    def passing(table: pa.Table, meets: np.ndarray) -> pa.Array:
+        return pa.array(meets if always is None else meets | (table.column(always).to_numpy() != 0))
+
     def run(batches):
         held, tied = None, False
         for batch in batches:
@@ -51,8 +55,8 @@ def meeting_rows(keys: list[str], keep: list[str]):
             tied = bool(meets[-1])
             meets[:-1] |= same
             held = table.slice(table.num_rows - 1)
-            yield from (table.slice(0, table.num_rows - 1).filter(pa.array(meets[:-1]))
-                        .select(keep).combine_chunks().to_batches())
-        if held is not None and tied:
-            yield from held.select(keep).combine_chunks().to_batches()
+            done = table.slice(0, table.num_rows - 1)
+            yield from done.filter(passing(done, meets[:-1])).select(keep).combine_chunks().to_batches()
+        if held is not None:
+            yield from held.filter(passing(held, np.array([tied]))).select(keep).combine_chunks().to_batches()
     return run

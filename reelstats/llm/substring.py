@@ -122,9 +122,8 @@ def anchor_rows(window: int, period: int, cover):
 
 def repeated(rows: DataFrame, parts: int) -> DataFrame:
     """Starts that occur more than once: met in the sort, or known before."""
-    met = (rows.where("alone = 0").repartition(parts, "k1", "k2").sortWithinPartitions("k1", "k2")
-           .mapInArrow(meeting_rows(["k1", "k2"], ["doc_id", "tie", "at", "n"]), STARTS))
-    return met.unionByName(rows.where("alone = 1").select("doc_id", "tie", "at", "n"))
+    return (rows.repartition(parts, "k1", "k2").sortWithinPartitions("k1", "k2", "alone")
+            .mapInArrow(meeting_rows(["k1", "k2", "alone"], ["doc_id", "tie", "at", "n"], always="alone"), STARTS))
 
 
 def words_kept(text: str, drop: np.ndarray | None) -> tuple[int, int, bytes]:
@@ -222,12 +221,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = keyed(docs, id_col, text_col)
-    anchors = repeated(texts.mapInArrow(anchor_rows(window, period, cover), MEET), parts)
-    joined = materialize(on_document(texts, per_document(anchors)).select("doc_id", "tie", "text", "at", "n")
+    # every step is written, which frees the shuffle files of the one before
+    anchors = materialize(per_document(repeated(
+        texts.mapInArrow(anchor_rows(window, period, cover), MEET), parts)), "repeated-anchors")
+    joined = materialize(on_document(texts, anchors).select("doc_id", "tie", "text", "at", "n")
                          .mapInArrow(candidates(window, period), JOINED), "candidates")
     open_docs = joined.where("text is not null")
-    starts = repeated(open_docs.select("doc_id", "tie", "text", "at").mapInArrow(window_rows(window), MEET), parts)
-    changed = (on_document(open_docs.select("doc_id", "tie", "text"), per_document(starts))
+    starts = materialize(per_document(repeated(
+        open_docs.select("doc_id", "tie", "text", "at").mapInArrow(window_rows(window), MEET), parts)),
+        "repeated-windows")
+    changed = (on_document(open_docs.select("doc_id", "tie", "text"), starts)
                .mapInArrow(remove_words(window, with_text), RESULT))
     if with_text:
         # settled documents lose nothing: their words come from the table again
