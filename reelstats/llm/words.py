@@ -120,7 +120,3 @@ def binary_column(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     ends = pa.array((offsets * width).astype(np.int64), pa.int64())
     data = pa.py_buffer(np.ascontiguousarray(flat).tobytes())
     return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, ends.buffers()[1], data])
-
-
-def with_columns(batch: pa.RecordBatch, names: list[str], arrays: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(arrays), names=list(names))

@@ -136,6 +136,22 @@ def test_matched_prefix_reaches_the_target_recall():
         near.matched_digits(trees=1)
 
 
+def test_no_link_near_the_threshold_is_lost(spark):
+    """Pairs at similarity 0.815: 200 words, four of them changed far apart."""
+    rng = random.Random(11)
+    data = []
+    for pair in range(300):
+        text = [f"{pair}_{rng.randrange(10 ** 6)}" for _ in range(200)]
+        other = list(text)
+        for at in (20, 70, 120, 170):
+            other[at] = "changed"
+        a, b = gram_set(" ".join(text)), gram_set(" ".join(other))
+        assert len(a & b) / len(a | b) == 176 / 216
+        data += [(2 * pair, " ".join(text)), (2 * pair + 1, " ".join(other))]
+    rows = near.near_join(frame(spark, data)).collect()
+    assert all(r.n_links == 1 and r.class_id == r.doc_id - r.doc_id % 2 and r.class_docs == 2 for r in rows)
+
+
 def test_minhash_digits_estimate_similarity():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
