@@ -417,7 +417,8 @@ def unseen_items(c: Ctx):
 def decode_recs(c: Ctx):
     """Item-CF on dense codes, unseen top 20, decoded to ids and names."""
     top = itemcf.item_cf_recommend(c.coded_train, TOP_N, item_col="movie_code")
-    unseen = itemcf.remove_seen(top, c.coded_train, SERVE_N, item_col="movie_code")
+    # read for the frequent items as well as for the joins
+    unseen = materialize(itemcf.remove_seen(top, c.coded_train, SERVE_N, item_col="movie_code"), "unseen-recs")
     decoded = serve.decode_items(unseen, c.coded[1])
     named = serve.attach_names(decoded, c.movies_attr)
     return named.select("user_id", "rank", "movie_id", "movie_name", "movie_type")
@@ -426,7 +427,7 @@ def decode_recs(c: Ctx):
 def missing_names(c: Ctx):
     """Recommendations whose name cannot be resolved from a table that lacks the movies without a type."""
     named = c.movies_attr.where(F.col("movie_type").isNotNull())
-    return serve.missing_names(serve.attach_names(c.unseen20, named))
+    return serve.missing_names(serve.attach_names(materialize(c.unseen20, "unseen-recs"), named))
 
 
 # ---------------------------------------------------------------- evaluation

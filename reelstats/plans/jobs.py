@@ -134,7 +134,7 @@ def recommend(store: Store, n: int = 20, users: list[int] | None = None) -> None
     if users:
         lists = serve.for_users(lists, users)
     top = itemcf.explode_item_lists(lists, item_col="movie_code")
-    unseen = itemcf.remove_seen(top, train, n, item_col="movie_code")
+    unseen = materialize(itemcf.remove_seen(top, train, n, item_col="movie_code"), "unseen-recs")
     named = serve.attach_names(serve.decode_items(unseen, codes), movies)
     item_recs = store.write(named.select("user_id", "rank", "movie_id", "movie_name", "movie_type"), T_ITEM_RECS)
     model = als.load_model(store.path(T_ALS_MODEL))
