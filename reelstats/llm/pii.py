@@ -3,10 +3,11 @@
 1. Generators propose spans of whole texts: the fixed base pattern of each kind
    and a looser one of high recall; spans may overlap.
 2. Features of format and context describe every distinct span.
-3. Boosted trees, trained on a bounded sample of the corpus's own candidates
-   (positive: a valid base match), give each span a probability.
-4. Per kind, the smallest probability at which held-out candidates reach the
-   target precision selects further spans.  Valid base matches always stay.
+3. Boosted trees, trained on a bounded sample of the corpus's own candidates of
+   every kind and label (positive: a valid base match), give each span a probability.
+4. Per kind, the smallest probability at which the candidates outside the fit, all
+   of them, reach the target precision selects further spans.  Valid base matches
+   always stay.
 
 Places are code points, the end exclusive.  Text is cut by each pattern; the
 running lengths of the pieces and matches of a document give the places.
@@ -27,7 +28,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstats.llm.quality import sample_by_hash
 from reelstats.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -54,7 +54,8 @@ LOOSE = [
 CONTEXT = 24
 CUES = r"(?i)(?:phone|tel|call|fax|mobile|mail|contact|card|visa|account|host|server|ip)\W*$"
 
-# Training: about so many candidates sampled by a hash, one in HELD_OUT of them held out for calibration.
+# Training: at most about so many candidates sampled by a hash, dealt over the kinds and labels; one in HELD_OUT of a
+# kind and label at least, and all beyond the sample, are for calibration.
 SAMPLE_ROWS, HELD_OUT, PRECISION = 8000, 4, 0.97
 TREES, DEPTH = 8, 3
 
@@ -160,38 +161,58 @@ def described(spans: DataFrame) -> DataFrame:
                            *[F.coalesce(features[name].cast("double"), F.lit(0.0)).alias(name) for name in FEATURES])
 
 
+def fit_shares(counts: dict[tuple, int], rows: int) -> dict[tuple, float]:
+    """Share of each stratum that is fitted on: equal numbers of rows, what small strata leave going to larger ones.
+
+    One in HELD_OUT rows of a stratum stays outside the fit, however small it is.
+    """
+    out, left = {}, float(rows)
+    for i, (stratum, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        take = min(n * (1 - 1 / HELD_OUT), left / (len(counts) - i))
+        out[stratum] = take / n
+        left -= take
+    return out
+
+
 def score_candidates(candidates: DataFrame, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> DataFrame:
     """Add ``selected``: valid base spans, and candidates whose probability reaches their kind's threshold."""
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    found = candidates.where("kind is not null")
-    # a bounded sample, the same whatever the partitioning
-    key = F.xxhash64("doc_id", "tie", "kind", "start", "end")
-    sample = materialize(
-        sample_by_hash(found.withColumn("label", F.col("is_base").cast("double")), key, sample_rows)
-        .withColumn("held_out", F.pmod(F.shiftrightunsigned("key", 30), F.lit(HELD_OUT)) == 0)
-        .repartition(1).sortWithinPartitions("key", "kind", "start", "end")
-        .select("kind", "label", "held_out", *FEATURES), "pii-sample")
-    classes = sample.where("not held_out").agg(F.count_distinct("label")).first()[0]
+    labelled = candidates.withColumn("label", F.col("is_base").cast("double"))
+    # two strata a kind
+    counts = {(r.kind, r.label): r.n for r in labelled.where("label is not null").groupBy("kind", "label")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = fit_shares(counts, sample_rows)
+
+    def of_stratum(values: dict[tuple, float]) -> F.Column:
+        return F.coalesce(*[F.when((F.col("kind") == k) & (F.col("label") == y), F.lit(v))
+                            for (k, y), v in values.items()], F.lit(0.0))
+
+    # a bounded sample of every stratum, the same whatever the partitioning
+    labelled = (labelled.withColumn("key", F.xxhash64("doc_id", "tie", "kind", "start", "end"))
+                .withColumn("fitted", F.pmod("key", F.lit(1 << 30)) < of_stratum(shares) * (1 << 30)))
+    sample = materialize(labelled.where("fitted").repartition(1).sortWithinPartitions("key", "kind", "start", "end")
+                         .select("label", *FEATURES), "pii-sample")
+    classes = sample.agg(F.count_distinct("label")).first()[0]
     if classes < 2:
         return candidates.withColumn("selected", F.coalesce("is_base", F.lit(False)))
-    model = (GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=17)
-             .fit(assembler.transform(sample.where("not held_out"))))
-
-    def with_probability(df: DataFrame) -> DataFrame:
-        return (model.transform(assembler.transform(df))
-                .withColumn("probability", F.round(vector_to_array("probability")[1], 6))
-                .drop("features", "rawPrediction", "prediction"))
-
-    # calibration: the smallest probability from which on the held-out candidates are precise enough
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=17).fit(assembler.transform(sample))
+    scored = materialize(
+        model.transform(assembler.transform(labelled))
+        .withColumn("probability", F.round(vector_to_array("probability")[1], 6))
+        .drop("features", "rawPrediction", "prediction", "key", *FEATURES), "pii-scored")
+
+    # calibration: the smallest probability from which on the candidates outside the fit are precise enough;
+    # each stands for its stratum, of which the fit took a share
+    weight = of_stratum({stratum: 1 / (1 - share) for stratum, share in shares.items()})
     order = Window.partitionBy("kind").orderBy(F.desc("probability"))
-    levels = (with_probability(sample.where("held_out")).groupBy("kind", "probability")
-              .agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"))
+    levels = (scored.where("label is not null and not fitted").groupBy("kind", "probability")
+              .agg(F.sum(F.col("label") * weight).alias("good"), F.sum(weight).alias("n"))
               .withColumn("share", F.sum("good").over(order) / F.sum("n").over(order)))
     thresholds = levels.where(F.col("share") >= precision).groupBy("kind").agg(F.min("probability").alias("threshold"))
     # one row per kind
-    scored = with_probability(candidates).join(F.broadcast(thresholds), "kind", "left")
     chosen = F.col("is_base") | (F.col("probability") >= F.col("threshold"))
-    return scored.withColumn("selected", F.coalesce(chosen, F.lit(False)))
+    return (scored.join(F.broadcast(thresholds), "kind", "left")
+            .withColumn("selected", F.coalesce(chosen, F.lit(False))).drop("label", "fitted"))
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

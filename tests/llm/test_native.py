@@ -209,3 +209,30 @@ def test_trees_find_what_the_base_pattern_swallows(spark):
     assert last.spans == "phone:4:21,ip:22:37"
     plain = [rows[i] for i in range(1, 1200, 4)]  # sixteen digits: redacted when the checksum holds
     assert all(r.spans == "" or r.n_card == 1 for r in plain)
+
+
+def test_rare_kinds_keep_their_threshold_among_many_numbers(spark):
+    """A small fit sample and a table full of numbers: each kind's threshold comes from all its candidates."""
+    import random
+    rng = random.Random(3)
+
+    def n(k):
+        return "".join(rng.choice("0123456789") for _ in range(k))
+
+    texts = [" ".join(f"w {n(2)}" for _ in range(100)) for _ in range(200)]
+    texts += [f"word +1 ({n(3)}) 555-{n(4)} word" for _ in range(200)]
+    texts += ["Des +1 (826) 555-4081 190.137.223.204 du"] * 3
+    candidates = pii.described(pii.proposals(frame(spark, texts), "doc_id", "text"))
+    for rows in (100, 8000):
+        got = pii.score_candidates(candidates, sample_rows=rows).where("selected")
+        spans = {(r.doc_id, r.kind, r.start, r.end) for r in got.collect()}
+        assert {(i, "phone", 4, 21) for i in range(400, 403)} <= spans
+        assert not [s for s in spans if s[0] is not None and 5 < s[0] < 200]
+
+
+def test_fit_shares_are_bounded_and_leave_a_rest():
+    counts = {("card", 0.0): 10**9, ("email", 1.0): 186, ("ip", 1.0): 4, ("phone", 1.0): 10**6}
+    shares = pii.fit_shares(counts, 8000)
+    assert sum(shares[s] * n for s, n in counts.items()) == pytest.approx(8000)
+    assert shares[("ip", 1.0)] == shares[("email", 1.0)] == 0.75 and max(shares.values()) < 1
+    assert shares[("phone", 1.0)] * 10**6 == pytest.approx(shares[("card", 0.0)] * 10**9)
