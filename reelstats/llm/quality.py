@@ -9,8 +9,9 @@
    toward the global rate.
 3. A document's log odds are its evidence's, shifted by those of its path against
    the global rate, without the document's own share in its site's sums.
-4. Documents below a threshold go; it is set on held-out labelled documents so
-   that at most ``LOST`` of the good ones fall below it.
+4. Documents below a threshold go; it is set on the final scores of all labelled
+   documents outside the fit, so that at most ``LOST`` of the good ones fall below
+   it.  Where nearly all labels are bad, documents go even if a few say good.
 
 Defined results: null is empty text; a missing host or path counts as one site
 with an empty name; documents labelled more than once count with their mean;
@@ -30,8 +31,11 @@ from reelstats.llm.graph import spread_join
 from reelstats.llm.words import Words, slices, texts_of
 from reelstats.session import materialize
 
-# About so many labelled documents are fitted on, one in HELD_OUT of them kept for the threshold.
+# About so many labelled documents are sampled for the fit, one in HELD_OUT of them left out of it.
 SAMPLE_ROWS, HELD_OUT, LOST, RIDGE = 20_000, 4, 0.002, 1.0
+# Wrong labels: documents go where at most RARE of the labels are good, if that costs at most NOISE of the good ones.
+# The threshold is searched on levels of STEP log odds.
+RARE, NOISE, STEP = 0.02, 0.01, 0.001
 FEATURES = ["log_words", "word_length", "upper", "digits", "symbols", "marks", "foreign", "bars", "marked_words",
             "distinct", "top_word", "runs", "line_length", "repeated_lines"]
 KEPT = "rid long, doc_id long, tie long, host string, path string, features array<double>"
@@ -114,13 +118,30 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int
     return weights, float(w[-1] - weights @ mean)
 
 
-def sample_by_hash(df: DataFrame, key: F.Column, rows: int) -> DataFrame:
-    """About ``rows`` rows (all, if there are fewer) with a hash ``key`` below a bound; adds ``key``.
+def rejection_cut(levels: np.ndarray, good: np.ndarray, total: np.ndarray) -> float:
+    """Score below which documents go, from the labelled documents (and good ones of them) at ascending levels.
 
-    Every task keeps its share, so nothing but the sample leaves the tasks.
+    At most LOST of the good ones are below it.  Where labels are so rarely good that they are rather wrong
+    (isotonic share of at most RARE), documents go in any case, if that costs at most NOISE of the good ones.
     """
-    share = min(1.0, rows / max(df.count(), 1))
-    return df.withColumn("key", key).where(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30)))
+    if not good.sum():
+        return -np.inf
+    below = np.cumsum(good) - good
+    cut = levels[np.flatnonzero(below <= LOST * good.sum())[-1]] - 0.5
+    blocks: list[list[float]] = []  # good, all, last place
+    for i, (g, n) in enumerate(zip(good.tolist(), total.tolist())):
+        blocks.append([g, n, i])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            g, n, last = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + g, blocks[-1][1] + n, last]
+    lost, seen = 0.0, 0.0
+    for g, n, last in blocks:
+        lost, seen = lost + g, seen + n
+        if g > RARE * n or lost > NOISE * good.sum():
+            break
+        if (lost + 1) / (seen + 2) <= RARE:
+            cut = max(cut, levels[last] + STEP)
+    return float(min(cut, 0.0))
 
 
 def logit(p: F.Column) -> F.Column:
@@ -161,21 +182,23 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: F.Column | None =
     labelled = rows.join(known, "doc_id", "left")
 
     # a bounded sample of labelled documents by a hash, the same whatever the partitioning
-    sample = sample_by_hash(labelled.where("label is not null"), F.xxhash64("doc_id", "tie"), sample_rows)
-    sample = sample.select("key", "label", "features").toPandas().sort_values("key", kind="stable")
-    fitted, weights, intercept, cut = False, np.zeros(len(FEATURES)), 0.0, 0.0
+    share = min(1.0, sample_rows / max(labelled.where("label is not null").count(), 1))
+    key = F.xxhash64("doc_id", "tie")
+    labelled = labelled.withColumn("in_fit", F.col("label").isNotNull()
+                                   & (F.pmod(key, F.lit(1 << 30)) < int(share * (1 << 30)))
+                                   & (F.pmod(F.shiftrightunsigned(key, 30), F.lit(HELD_OUT)) != 0))
+    sample = (labelled.where("in_fit").select(key.alias("key"), "label", "features").toPandas()
+              .sort_values("key", kind="stable"))
+    fitted, weights, intercept = False, np.zeros(len(FEATURES)), 0.0
     if len(sample):
         x, y = np.stack(sample["features"].to_numpy()), sample["label"].to_numpy(np.float64)
-        held = (sample["key"].to_numpy().view(np.uint64) >> np.uint64(30)) % np.uint64(HELD_OUT) == 0
-        fitted = len(np.unique(y[~held] >= 0.5)) == 2
+        fitted = len(np.unique(y >= 0.5)) == 2
         if fitted:
-            weights, intercept = fit_logistic(x[~held], y[~held])
-            good = (x[held] @ weights + intercept)[y[held] >= 0.5]
-            cut = min(float(np.quantile(good, LOST)) - 0.5, 0.0) if len(good) else -np.inf
+            weights, intercept = fit_logistic(x, y)
 
     linear = F.aggregate(F.zip_with("features", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b),
                          F.lit(float(intercept)), lambda a, b: a + b)
-    scored = labelled.select("rid", "doc_id", "tie", "host", "path", "label",
+    scored = labelled.select("rid", "doc_id", "tie", "host", "path", "label", "in_fit",
                              F.greatest(F.least(linear, F.lit(12.0)), F.lit(-12.0)).alias("z"))
     scored = scored.withColumn("y", F.coalesce("label", expit(F.col("z")) if fitted else F.lit(None).cast("double")))
     paths = materialize(scored.groupBy("host", "path").agg(F.sum("y").alias("s"), F.count("y").alias("n"))
@@ -202,9 +225,21 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: F.Column | None =
     placed = placed.withColumn("path_rate", F.greatest(F.least(path_rate, F.lit(0.999)), F.lit(0.001)))
     base = float(np.log(mean / (1 - mean)))
     total_z = (F.col("z") if fitted else F.lit(base)) + logit(F.col("path_rate")) - base
-    return placed.select(
-        "doc_id", "tie", (expit(F.col("z")) if fitted else F.lit(mean)).alias("evidence"), "host_rate", "path_rate",
-        expit(total_z).alias("score"), (total_z >= cut if fitted else F.lit(True)).alias("kept"))
+    final = placed.select("doc_id", "tie", (expit(F.col("z")) if fitted else F.lit(mean)).alias("evidence"),
+                          "host_rate", "path_rate", total_z.alias("total_z"), "label", "in_fit")
+    kept = F.lit(True)
+    if fitted:
+        final = materialize(final, "quality-scores")
+        # a bounded number of levels, whatever the number of labels
+        levels = (final.where("label is not null and not in_fit")
+                  .groupBy(F.floor(F.col("total_z") / STEP).alias("level"))
+                  .agg(F.count_if(F.col("label") >= 0.5).alias("good"), F.count(F.lit(1)).alias("n"))
+                  .toPandas().sort_values("level"))
+        kept = F.col("total_z") >= rejection_cut(levels["level"].to_numpy(np.float64) * STEP,
+                                                 levels["good"].to_numpy(np.float64),
+                                                 levels["n"].to_numpy(np.float64))
+    return final.select("doc_id", "tie", "evidence", "host_rate", "path_rate", expit(F.col("total_z")).alias("score"),
+                        kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

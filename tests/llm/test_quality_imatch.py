@@ -164,3 +164,42 @@ def test_rejected_documents_go(spark):
     assert {r.doc_id for r in kept.collect()} == want
     clean = {r.doc_id for r in labels.where("quality = 1").collect()}
     assert len(clean & want) >= 0.98 * len(clean)
+
+
+def test_cut_holds_on_bad_heavy_and_good_heavy_sources(spark):
+    """Good documents of a hot bad source stay, plain junk goes there and mostly on a good one."""
+    rng = random.Random(12)
+    rows, labels, junk = [], [], []
+    for i in range(6000):
+        source = "bad" if i % 3 == 0 else "good" if i % 3 == 1 else f"s{i % 20}"
+        good = rng.random() < {"bad": 0.1, "good": 0.95}.get(source, 0.85)
+        marks = rng.uniform(0, 0.55) if good else rng.uniform(0.35, 1)
+        if marks > 0.9:
+            junk.append(i)
+        words = ["%#" if rng.random() < marks else rng.choice(["plain", "words", "here", "and", "there"])
+                 for _ in range(40)]
+        rows.append((i, " ".join(words), source, "en"))
+        labels.append((i, int(good)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in quality.score_documents(docs, lab, sample_rows=1000).collect()}
+    clean = [i for i, y in labels if y]
+    assert sum(not kept[i] for i in clean) <= 0.004 * len(clean)
+    hot = [i for i in clean if i % 3 == 0]
+    assert sum(not kept[i] for i in hot) <= 0.1 * len(hot)
+    for k in (0, 1):
+        some = [kept[i] for i in junk if i % 3 == k]
+        # a good source speaks for its documents: there only most of the junk goes
+        assert len(some) > 10 and sum(some) <= (0.4 if k else 0.0) * len(some)
+
+
+def test_wrong_labels_do_not_pull_the_cut():
+    levels = np.arange(-10, 10, 0.5)
+    bad = np.where(levels < -4, 200.0, 0.0)
+    good = np.where(levels > 0, 1000.0, 0.0)
+    good[2:7] = 12  # 60 of 20,000 good labels are on junk, 0.3 %
+    bad[levels < -4] += 600
+    assert -5 < quality.rejection_cut(levels, good, good + bad) <= 0
+    assert quality.rejection_cut(levels, np.zeros(40), bad) == -np.inf
+    few = np.where(levels < -9, 5.0, 0.0)  # too few bad labels to tell: the good ones alone decide
+    assert quality.rejection_cut(levels, good * (levels > 0), good * (levels > 0) + few) == 0
