@@ -4,7 +4,9 @@
    and a looser one of high recall; spans may overlap.
 2. Features of format and context describe every distinct span.
 3. Boosted trees, trained on a bounded sample of the corpus's own candidates of
-   every kind and label (positive: a valid base match), give each span a probability.
+   every kind and label, give each span a probability.  The labels are weak: a span
+   is positive if it is a valid base match or, undisguised, passes the format check
+   of its kind, negative if it fails it; a span that proves neither is in no sample.
 4. Per kind, the smallest probability at which the candidates outside the fit, all
    of them, reach the target precision selects further spans.  Valid base matches
    always stay.
@@ -14,7 +16,7 @@ running lengths of the pieces and matches of a document give the places.
 
 Defined results: null is empty text; documents without a span have zero counts;
 repeated rows give repeated results; a sample with one class only selects
-nothing beyond the base matches; an empty table gives no rows; other columns
+the spans that are valid by their format; an empty table gives no rows; other columns
 never matter.
 """
 
@@ -93,6 +95,33 @@ def small_parts(match: F.Column) -> F.Column:
         "^(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"))
 
 
+def plain(kind: F.Column, match: F.Column) -> F.Column:
+    """A match as it is written undisguised: (at) as @, (dot) as a dot, a leading 00 as +."""
+    mail = F.regexp_replace(F.regexp_replace(match, r"\x20?(?:\(at\)|\[at\])\x20?", "@"),
+                            r"\x20?(?:\(dot\)|\[dot\])\x20?", ".")
+    return (F.when(kind == "email", mail).when(kind == "phone", F.regexp_replace(match, "^00", "+")).otherwise(match))
+
+
+def mixed_marks(match: F.Column) -> F.Column:
+    """Whether more than one kind of mark parts the digits."""
+    return F.regexp_replace(match, "[0-9]", "").rlike(r"^(.).*(?!\1).")
+
+
+def weak_label(kind: F.Column, match: F.Column) -> F.Column:
+    """Label of an undisguised loose match by its format alone: 1 passes, 0 fails, null if the form proves nothing.
+
+    Digit count, checksum and marks of one kind (card), digit count (phone), octet range (ip) and tail (email).  Nothing is proven
+    by octets in range between commas or colons, or by an address with blanks around its @.
+    """
+    n = F.length(digits(match))
+    octets = small_parts(F.regexp_replace(match, "[:,]", "."))
+    tail = match.rlike(r"\.\pL{2,24}$")
+    return (F.when(kind == "email", F.when(~tail, 0.0).when(~match.contains(" "), 1.0))
+            .when(kind == "ip", F.when(~octets, 0.0).when(~match.rlike("[:,]"), 1.0))
+            .when(kind == "card", (base_valid(kind, match) & ~mixed_marks(match)).cast("double"))
+            .otherwise(base_valid(kind, match).cast("double")))
+
+
 def _proposal(named: list[F.Column], z: F.Column, n: F.Column) -> F.Column:
     return F.struct(*named, n.alias("n"), z["match"].alias("match"), F.char_length(z["before"]).alias("gap"),
                     F.right(z["before"], F.lit(CONTEXT)).alias("left"),
@@ -131,15 +160,20 @@ def proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def described(spans: DataFrame) -> DataFrame:
     """One row per distinct span of a document, with its features; documents without spans keep a row of nulls."""
-    m = F.col("match")
+    m = F.col("plain")
     number = digits(m)
 
     def count(pattern: str) -> F.Column:
         return F.length(F.regexp_replace(m, pattern, ""))
 
     distinct = spans.groupBy("rid", "doc_id", "tie", "kind", "start", "end").agg(
-        F.max(F.col("is_base") & base_valid(F.col("kind"), m)).alias("is_base"),
-        F.first("match").alias("match"), F.first("left").alias("left"), F.first("right").alias("right"))
+        F.max(F.col("is_base") & base_valid(F.col("kind"), F.col("match"))).alias("is_base"),
+        F.first("match").alias("match"), F.first("left").alias("left"), F.first("right").alias("right"),
+        F.max("is_base").alias("by_base"))
+    distinct = distinct.withColumn("plain", plain(F.col("kind"), F.col("match")))
+    # a span that the base pattern matches is judged by the base rule alone
+    distinct = distinct.withColumn("label", F.when(F.col("by_base"), F.col("is_base").cast("double"))
+                                   .otherwise(weak_label(F.col("kind"), m)))
     octets = F.transform(F.split(m, "[.:,]"), lambda x: F.least(F.coalesce(F.try_to_number(
         F.left(F.regexp_replace(x, "[^0-9]", ""), F.lit(6)), F.lit("999999")).cast("double"), F.lit(0.0)),
         F.lit(1000.0)))
@@ -150,14 +184,15 @@ def described(spans: DataFrame) -> DataFrame:
         "n_groups": F.size(F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))),
         "first_digit": F.coalesce(F.try_to_number(F.left(number, F.lit(1)), F.lit("9")).cast("int"), F.lit(-1)),
         "has_at": m.contains("@").cast("int"), "has_plus": m.startswith("+").cast("int"),
-        "checksum": F.coalesce(F.when(F.length(number).between(10, 25), luhn(number)), F.lit(False)).cast("int"),
+        "checksum": F.coalesce(F.when(F.length(number).between(10, 25) & (F.col("by_base") | ~mixed_marks(m)),
+                                      luhn(number)), F.lit(False)).cast("int"),
         "top_octet": F.when(F.col("kind") == "ip", F.array_max(octets)).otherwise(0),
         "dotted_tail": m.rlike(r"\.[A-Za-z]{2,10}$").cast("int"), "cue": F.col("left").rlike(CUES).cast("int"),
         "glued_before": F.col("left").rlike(r"[\pL0-9]$").cast("int"),
         "glued_after": F.col("right").rlike(r"^[\pL0-9]").cast("int"),
         **{f"is_{k}": (F.col("kind") == k).cast("int") for k in KINDS},
     }
-    return distinct.select("rid", "doc_id", "tie", "kind", "start", "end", "is_base",
+    return distinct.select("rid", "doc_id", "tie", "kind", "start", "end", "is_base", "label",
                            *[F.coalesce(features[name].cast("double"), F.lit(0.0)).alias(name) for name in FEATURES])
 
 
@@ -177,9 +212,8 @@ def fit_shares(counts: dict[tuple, int], rows: int) -> dict[tuple, float]:
 def score_candidates(candidates: DataFrame, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> DataFrame:
     """Add ``selected``: valid base spans, and candidates whose probability reaches their kind's threshold."""
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    labelled = candidates.withColumn("label", F.col("is_base").cast("double"))
     # two strata a kind
-    counts = {(r.kind, r.label): r.n for r in labelled.where("label is not null").groupBy("kind", "label")
+    counts = {(r.kind, r.label): r.n for r in candidates.where("label is not null").groupBy("kind", "label")
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     shares = fit_shares(counts, sample_rows)
 
@@ -188,13 +222,13 @@ def score_candidates(candidates: DataFrame, sample_rows: int = SAMPLE_ROWS, prec
                             for (k, y), v in values.items()], F.lit(0.0))
 
     # a bounded sample of every stratum, the same whatever the partitioning
-    labelled = (labelled.withColumn("key", F.xxhash64("doc_id", "tie", "kind", "start", "end"))
+    labelled = (candidates.withColumn("key", F.xxhash64("doc_id", "tie", "kind", "start", "end"))
                 .withColumn("fitted", F.pmod("key", F.lit(1 << 30)) < of_stratum(shares) * (1 << 30)))
     sample = materialize(labelled.where("fitted").repartition(1).sortWithinPartitions("key", "kind", "start", "end")
                          .select("label", *FEATURES), "pii-sample")
     classes = sample.agg(F.count_distinct("label")).first()[0]
     if classes < 2:
-        return candidates.withColumn("selected", F.coalesce("is_base", F.lit(False)))
+        return candidates.withColumn("selected", F.coalesce(F.col("label") == 1, F.lit(False)))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=17).fit(assembler.transform(sample))
     scored = materialize(
         model.transform(assembler.transform(labelled))
