@@ -1,13 +1,13 @@
-"""N-gram Jaccard join with a MinHash LSH forest.
+"""N-gram Jaccard join with MinHash LSH.
 
 Documents are sets of word 5-grams (whole texts; a text of fewer words is one
 gram; an empty text is the empty set).  Documents with equal sets are one class.
 Each class gets ``trees`` labels of ``digits`` MinHash digits (one byte each); a
 label is a path in that tree's prefix trie, kept as a sorted table.  Two classes
-meet where their labels share a prefix.  The matched prefix starts at the full
-label and is shortened one digit at a time until pairs at the threshold meet in
-some tree with the target probability: the shorter the prefix, the surer the
-meeting and the larger the runs.
+meet where their labels share a prefix.  Its length is fixed, the same for all: the
+longest at which pairs at the threshold meet in some tree with the target
+probability.  This fixed-depth banding stands in for the adaptive descent of an
+LSH forest; no longer prefix is tried first and none is shortened from the data.
 
 Pairs are never expanded.  Inside a run the digits of all trees estimate the
 similarity; classes above a cut far below the threshold (over five standard
