@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstats.llm import arrowfile, exact, imatch, licenses, near, packing, pieces, pii, quality, substring
+from reelstats.llm import (
+    arrowfile, exact, imatch, licenses, near, packing, pieces, pii, quality, repair, simhash, substring, whitening,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +54,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(documents(spark, sf_dir), with_text=False)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
 LLM_QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_sentencepiece": op2_sentencepiece,
@@ -63,6 +77,9 @@ LLM_QUERIES = {
     "op8_quality": op8_quality,
     "op9_arrow_sequences": op9_arrow_sequences,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_simhash": op12_simhash,
+    "op13_whitening": op13_whitening,
 }
 
 LLM_SQL = {
@@ -70,4 +87,5 @@ LLM_SQL = {
     "op4_exact_dedup": exact.SQL_EXACT,
     "op5_license_scan": licenses.sql(),
     "op10_substring_dedup": substring.SQL_SUBSTRING,
+    "op11_conversation_repair": repair.sql(),
 }
