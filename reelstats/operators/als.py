@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import itertools
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.operators.evaluate import rmse
-from reelstats.operators.stats import top_n_per_group
+from reelstats.operators.innerproduct import BLOCK_ITEMS, top_products
 from reelstats.session import materialize
 
 # The grid of the original model search, 3 ranks x 4 lambdas x 2 iteration counts.
@@ -52,21 +53,32 @@ def grid_search(train: DataFrame, check: DataFrame, ranks=REFERENCE_RANKS,
                 regs=REFERENCE_REGS, iters=REFERENCE_ITERS, seed: int = 42,
                 user_col: str = "user_id", item_col: str = "movie_code",
                 rating_col: str = "user_rating", parallelism: int = 1) -> DataFrame:
-    """One row per fit: (order, rank, max_iter, reg, rmse) in the original loop order.
+    """One row per fit: (order, rank, max_iter, reg, rmse) in the original loop order (see ``grid_fit``)."""
+    return grid_fit(train, check, ranks, regs, iters, seed, user_col, item_col, rating_col, parallelism)[0]
+
+
+def grid_fit(train: DataFrame, check: DataFrame, ranks=REFERENCE_RANKS, regs=REFERENCE_REGS,
+             iters=REFERENCE_ITERS, seed: int = 42, user_col: str = "user_id", item_col: str = "movie_code",
+             rating_col: str = "user_rating", parallelism: int = 1) -> tuple[DataFrame, ALSModel | None]:
+    """The grid's rows and the model of its best fit, so that nobody has to fit it again.
 
     The inputs are written once to the shared folder, so a lost executor costs a
     read, not a recomputation.  With ``parallelism > 1`` independent fits run as concurrent Spark
-    jobs (each fit is seeded, so the results do not change).
+    jobs (each fit is seeded, so the results do not change).  Only the best model so far is held.
     """
     spark = train.sparkSession
     cols = [user_col, item_col, rating_col]
     tr, ck = materialize(train.select(*cols), "grid-train"), materialize(check.select(*cols), "grid-check")
     combos = list(enumerate(itertools.product(ranks, regs, iters)))
+    best, lock = [], Lock()
 
     def run(item):
         order, (rank, reg, it) = item
         model = fit_als(tr, rank, it, reg, seed, user_col, item_col, rating_col)
         value = rmse(predict(model, ck), rating_col).first()["rmse"]
+        with lock:  # on equal errors the earlier fit wins, as in ``best_params``
+            if value is not None and (not best or (value, order) < best[0][0]):
+                best[:] = [((value, order), model)]
         return (order, int(rank), int(it), float(reg), float(value) if value is not None else None)
 
     if parallelism > 1:
@@ -74,8 +86,8 @@ def grid_search(train: DataFrame, check: DataFrame, ranks=REFERENCE_RANKS,
             rows = list(pool.map(run, combos))
     else:
         rows = [run(c) for c in combos]
-    return spark.createDataFrame(
-        rows, "order int, rank int, max_iter int, reg double, rmse double")
+    grid = spark.createDataFrame(rows, "order int, rank int, max_iter int, reg double, rmse double")
+    return grid, best[0][1] if best else None
 
 
 def best_params(metrics: DataFrame) -> DataFrame:
@@ -85,9 +97,9 @@ def best_params(metrics: DataFrame) -> DataFrame:
             .select("b.rank", "b.max_iter", "b.reg", "b.rmse"))
 
 
-def recommend_for_users(model: ALSModel, users: DataFrame, k: int,
-                        user_col: str = "user_id", item_col: str = "movie_code") -> DataFrame:
-    """Top ``k`` items per user (seen items not removed): (user, rank, item, prediction)."""
+def library_for_users(model: ALSModel, users: DataFrame, k: int,
+                      user_col: str = "user_id", item_col: str = "movie_code") -> DataFrame:
+    """Spark ML's own top ``k`` items per user, from the whole product: (user, rank, item, prediction)."""
     recs = model.recommendForUserSubset(users.select(user_col).distinct(), k)
     return (recs.select(user_col, F.posexplode("recommendations").alias("pos", "rec"))
             .select(user_col, (F.col("pos") + 1).cast("int").alias("rank"),
@@ -95,34 +107,48 @@ def recommend_for_users(model: ALSModel, users: DataFrame, k: int,
                     F.col("rec.rating").cast("double").alias("prediction")))
 
 
-def recommend_unseen(model: ALSModel, seen: DataFrame, users: DataFrame, n: int = 20,
-                     user_col: str = "user_id", item_col: str = "movie_code") -> DataFrame:
+def _served(model: ALSModel, users: DataFrame, n: int, seen: DataFrame | None, user_col: str, item_col: str,
+            **options) -> DataFrame:
+    wanted = users.select(F.col(user_col).cast("int").alias("id")).distinct()
+    if seen is not None:
+        seen = seen.select(F.col(user_col).cast("int").alias("user"), F.col(item_col).cast("int").alias("item"))
+    return top_products(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, n, seen, **options)
+
+
+def _ranked(lists: DataFrame, user_col: str, item_col: str) -> DataFrame:
+    pairs = F.posexplode(F.arrays_zip("items", "scores")).alias("pos", "rec")
+    return lists.select(F.col("user").alias(user_col), pairs).select(
+        user_col, (F.col("pos") + 1).cast("int").alias("rank"), F.col("rec.items").alias(item_col),
+        F.col("rec.scores").cast("double").alias("prediction"))
+
+
+def recommend_for_users(model: ALSModel, users: DataFrame, k: int, user_col: str = "user_id",
+                        item_col: str = "movie_code", **options) -> DataFrame:
+    """Top ``k`` items per user (seen items not removed): (user, rank, item, prediction).
+
+    The same lists as ``library_for_users`` without the whole product (``operators.innerproduct``).
+    """
+    return _ranked(_served(model, users, k, None, user_col, item_col, **options), user_col, item_col)
+
+
+def recommend_unseen(model: ALSModel, seen: DataFrame, users: DataFrame, n: int = 20, user_col: str = "user_id",
+                     item_col: str = "movie_code", **options) -> DataFrame:
     """Top ``n`` items per user among items the user has not rated.
 
-    Exact by widening: every user is served to depth ``2 n`` and rated items are
-    removed; only users with fewer than ``n`` items left are served again, to
-    twice the depth, until the catalogue ends.  Every request is a distributed
-    block product, and one user with a long history deepens nobody else's.
+    One search by falling item norm with seen items skipped inside: no list is
+    served deeper than ``n``, whatever a user has seen.
     """
-    seen_items = materialize(seen.select(user_col, item_col).distinct(), "seen-items")
-    n_items = model.itemFactors.count()
-    open_users = materialize(users.select(user_col).distinct(), "open-users")
-    out, depth = None, 2 * n
-    while True:
-        k = int(min(n_items, depth))
-        recs = recommend_for_users(model, open_users, k, user_col, item_col)
-        kept = recs.join(seen_items, [user_col, item_col], "left_anti").withColumnRenamed("rank", "_r0")
-        ranked = materialize(top_n_per_group(kept, [user_col], [F.asc("_r0")], n)
-                             .select(user_col, "rank", item_col, "prediction"), "unseen-items")
-        done = ranked.where(F.col("rank") == n).select(user_col)
-        if k >= n_items:
-            return ranked if out is None else out.unionByName(ranked)
-        part = ranked.join(done, user_col, "left_semi")
-        out = part if out is None else out.unionByName(part)
-        open_users = materialize(open_users.join(done, user_col, "left_anti"), "open-users")
-        if open_users.isEmpty():
-            return out
-        depth *= 2
+    return _ranked(_served(model, users, n, seen, user_col, item_col, **options), user_col, item_col)
+
+
+def search_report(model: ALSModel, seen: DataFrame, users: DataFrame, n: int = 20, user_col: str = "user_id",
+                  item_col: str = "movie_code", block: int = BLOCK_ITEMS) -> DataFrame:
+    """(users, blocks, scored, share): (user, item block) pairs in all, and those that the search scored."""
+    lists = _served(model, users, n, seen, user_col, item_col, block=block)
+    blocks = model.itemFactors.agg(F.ceil(F.count(F.lit(1)) / block).alias("b")).scalar()
+    return lists.agg(F.count(F.lit(1)).alias("users"), F.sum("blocks").alias("scored")).select(
+        "users", (F.col("users") * blocks).alias("blocks"), "scored",
+        F.try_divide("scored", F.col("users") * blocks).alias("share"))
 
 
 def save_model(model: ALSModel, path: str) -> None:

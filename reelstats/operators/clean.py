@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reelstats.functions.scalars import (
-    NOT_PROVIDED, STARRING_LABEL, STARRING_WORD, WRITER_LABEL, all_of, any_not_null,
+    NOT_PROVIDED, STARRING_LABEL, STARRING_WORD, WRITER_LABEL, all_of, any_contains, any_not_null,
+    any_null,
     mark_truncated, rating_from_label, remove_literal,
 )
 
@@ -52,6 +53,54 @@ def clean_tables(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
     return m, r, t
 
 
+class StepCounts:
+    """Rows, incomplete rows and empty rows after each cleaning step, counted by the pass that writes the table.
+
+    ``mark`` puts a counter into the plan; the numbers are there when the frame
+    that holds it has been written, without a job of their own.
+    """
+
+    def __init__(self, table: str):
+        self.table, self.steps = table, []
+
+    def mark(self, df: DataFrame, step: str, cols: list[str] | None = None) -> DataFrame:
+        cols = cols or df.columns
+        seen = Observation()
+        self.steps.append((step, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(any_null(cols)).alias("n_any_null"),
+                          F.count_if(~any_not_null(cols)).alias("n_all_null"),
+                          F.count_if(any_contains([c for c, t in df.dtypes if t == "string"], ":")).alias("n_colon"))
+
+    def rows(self) -> list[tuple]:
+        """(table_name, step, n_rows, n_any_null, n_all_null, n_colon) in the order of the steps."""
+        out = []
+        for step, seen in self.steps:
+            n = seen.get
+            out.append((self.table, step, n["n_rows"], n["n_any_null"], n["n_all_null"], n["n_colon"]))
+        return out
+
+
+STEP_COUNTS = "table_name string, step string, n_rows long, n_any_null long, n_all_null long, n_colon long"
+
+
+def counted_clean(df: DataFrame, table: str, how: str = "all", finish=None) -> tuple[DataFrame, StepCounts]:
+    """Dedupe -> drop missing rows -> ``finish`` (label cleanup), every step counted on the way."""
+    counts = StepCounts(table)
+    out = counts.mark(dedupe(counts.mark(df, "raw")), "deduped")
+    out = counts.mark(drop_null_rows(out, how), "complete")
+    if finish is not None:
+        out = counts.mark(finish(out), "cleaned")
+    return out, counts
+
+
+def counted_tables(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
+                   how: str = "all") -> dict[str, tuple[DataFrame, StepCounts]]:
+    """``clean_tables`` with counters in every plan: table name -> (frame, counts)."""
+    return {"movies": counted_clean(movies, "movies", how, clean_movie_labels),
+            "ratings": counted_clean(ratings, "ratings", how, clean_rating_labels),
+            "tags": counted_clean(tags, "tags", how)}
+
+
 def attr_repair(movies: DataFrame) -> DataFrame:
     """Move starring lists out of the writer column and mark truncated lists.
 

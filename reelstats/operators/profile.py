@@ -37,6 +37,15 @@ def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def from_steps(steps: DataFrame) -> DataFrame:
+    """The profile of the raw tables from the stored counts of the cleaning steps (``clean.StepCounts``)."""
+    def of(step, col): return F.max(F.when(F.col("step") == step, F.col(col)))
+    raw = {c: of("raw", c).alias(c) for c in ("n_rows", "n_any_null", "n_all_null", "n_colon")}
+    return steps.groupBy("table_name").agg(
+        raw["n_rows"], of("deduped", "n_rows").alias("n_distinct"), raw["n_any_null"], raw["n_all_null"],
+        raw["n_colon"]).withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))
+
+
 def anomaly_rows(movies: DataFrame) -> DataFrame:
     """Movies with a ``:`` in any column, projected to the name columns.
 

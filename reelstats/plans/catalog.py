@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from reelstats.functions.scalars import (
     epoch_to_year_month, strip_brackets, truncate_toward_zero,
 )
-from reelstats.operators import als, clean, coding, dashboard, evaluate, itemcf, profile, serve, stats
+from reelstats.operators import (
+    als, bitmaps, clean, coding, dashboard, evaluate, itemcf, profile, serve, sketches, stats,
+)
 from reelstats.operators.skew import split_join
 from reelstats.plans import sql_text
 from reelstats.session import materialize, scratch_path
-from reelstats.sources import fixtures, io
+from reelstats.sources import bucketed, documents, fixtures, io
 
 KS = (10, 20, 30)
 TOP_N = 30          # item-CF rows per user
@@ -29,6 +31,8 @@ DIGITS = 6          # rounding of reported metric percentages
 ALS_RANK, ALS_ITERS, ALS_REG = 20, 20, 0.1
 ALS_SEED = 42
 SHRINK = (0, 1, 2, 5, 10, 20, 50)  # grid of the shrunken item means
+SQL_MONTHS, SQL_GENRE, SQL_USER = (199501, 199603), "widget", "4"  # arguments of the table functions' queries
+RATING_COLS = ("user_id", "movie_id", "user_rating", "time_stamp")
 GRID_PARALLELISM = 4  # concurrent ALS fits in the grid search
 
 
@@ -138,6 +142,45 @@ def profile_distinct(c: Ctx):
     return profile.distinct_counts(c.ratings_clean, c.tags_raw)
 
 
+def distinct_sketches(c: Ctx):
+    """Distinct users and movies per month, and over all months from the merged sketches, next to the exact counts."""
+    cols = ["user_id", "movie_id"]
+    months = materialize(sketches.monthly_sketches(c.ratings_clean, cols), "month-sketches")
+    all_months = sketches.merged(months, cols).withColumn("year_month", F.lit(0))
+    found = sketches.estimates(months, cols, ["year_month"]).unionByName(
+        sketches.estimates(all_months, cols, ["year_month"]))
+    month = epoch_to_year_month("time_stamp")
+    exact = [F.count_distinct(x).alias(x) for x in cols]
+    by_month = c.ratings_clean.groupBy(month.alias("year_month")).agg(*exact)
+    total = c.ratings_clean.agg(*exact).withColumn("year_month", F.lit(0))
+    truth = by_month.unionByName(total).unpivot(["year_month"], cols, "metric", "n_exact")
+    both = truth.withColumnsRenamed({"year_month": "_m", "metric": "_k"}).join(
+        found, F.col("_m").eqNullSafe(F.col("year_month")) & (F.col("_k") == F.col("metric")))
+    close = F.abs(F.col("estimate") - F.col("n_exact")) <= F.greatest(F.lit(1.0), 0.08 * F.col("n_exact"))
+    return both.select("year_month", "metric", "n_exact", close.alias("within"))
+
+
+def duplicate_sketches(c: Ctx):
+    """Distinct whole rows by a sketch of row hashes, next to the exact number."""
+    out = None
+    for name, df in _raw(c).items():
+        row = df.select(F.struct("*").alias("r"))
+        one = sketches.row_sketch(df).withColumn("table_name", F.lit(name)).join(
+            row.agg(F.count_distinct("r").alias("n_exact")), F.lit(True))
+        out = one if out is None else out.unionByName(one)
+    close = F.abs(F.col("n_distinct") - F.col("n_exact")) <= F.greatest(F.lit(1.0), 0.08 * F.col("n_exact"))
+    return out.select("table_name", "n_rows", "n_exact", close.alias("within"))
+
+
+def clean_step_counts(c: Ctx):
+    """Rows after every cleaning step, counted by the passes that write the cleaned tables."""
+    counts = []
+    for name, (df, steps) in clean.counted_tables(c.movies_raw, c.ratings_raw, c.tags_raw).items():
+        materialize(df, f"counted-{name}")
+        counts += steps.rows()
+    return c.spark.createDataFrame(counts, clean.STEP_COUNTS)
+
+
 def profile_anomaly_any_col(c: Ctx):
     return profile.anomaly_rows(c.movies_raw)
 
@@ -269,6 +312,18 @@ def sql_avg_rating(c: Ctx):
     return sql_text.avg_rating_sql(c.ratings_clean)
 
 
+def sql_top_of_month(c: Ctx):
+    return sql_text.top_of_month_sql(c.ratings_clean, c.movies_attr, SQL_MONTHS, 10)
+
+
+def sql_top_of_genre(c: Ctx):
+    return sql_text.top_of_genre_sql(c.ratings_clean, c.movies_attr, SQL_GENRE, 10)
+
+
+def sql_rated_by(c: Ctx):
+    return sql_text.rated_by_sql(c.ratings_clean, c.movies_attr, SQL_USER)
+
+
 # ---------------------------------------------------------------- coding / splits
 def dense_code(c: Ctx):
     return coding.dense_code(c.ratings, "movie_id", "movie_code")
@@ -414,13 +469,30 @@ def unseen_items(c: Ctx):
             .select("user_id", (n_items - F.col("n_rated")).alias("n_unseen")))
 
 
+def unseen_items_bitmap(c: Ctx):
+    """``unseen_items`` from bitmaps of the coded items: one per user and bucket of codes."""
+    return bitmaps.unseen_counts(c.coded_train, "user_id", "movie_code")
+
+
+def shared_users_bitmap(c: Ctx):
+    """``shared_users`` as the common keys of two sets of bitmaps."""
+    shared = bitmaps.shared_keys(c.test, c.top30, "user_id")
+    return shared.select(F.col("user_id").cast("int").alias("user_id"))
+
+
+def overlap_sizes(c: Ctx):
+    """Per user the size of the intersection of recommended and tested movies, as bit counts."""
+    recs = bitmaps.key_bitmaps(c.top30, "movie_id", ["user_id"])
+    test = bitmaps.key_bitmaps(c.test, "movie_id", ["user_id"])
+    return bitmaps.sizes(bitmaps.intersect(recs, test, ["user_id"]), ["user_id"], "n_common")
+
+
 def decode_recs(c: Ctx):
     """Item-CF on dense codes, unseen top 20, decoded to ids and names."""
     top = itemcf.item_cf_recommend(c.coded_train, TOP_N, item_col="movie_code")
-    # read for the frequent items as well as for the joins
+    # read for the frequent items as well as for the join
     unseen = materialize(itemcf.remove_seen(top, c.coded_train, SERVE_N, item_col="movie_code"), "unseen-recs")
-    decoded = serve.decode_items(unseen, c.coded[1])
-    named = serve.attach_names(decoded, c.movies_attr)
+    named = serve.decode_with_names(unseen, c.coded[1], c.movies_attr)
     return named.select("user_id", "rank", "movie_id", "movie_name", "movie_type")
 
 
@@ -561,6 +633,76 @@ def dashboard_json_round_trip(c: Ctx):
     return io.read_json_array(c.spark, path, "year_data string, month_data string, count_num bigint")
 
 
+def scan_rejects(c: Ctx):
+    """Delimited ratings of which some lines are broken: good and rejected lines against all lines."""
+    m, line = F.col("movie_id").cast("int") % 50, F.concat_ws("$", *[F.coalesce(x, F.lit("")) for x in RATING_COLS])
+    broken = (F.when(m == 0, F.concat_ws("$", "user_id", "movie_id")).when(m == 1, F.concat(line, F.lit("$more")))
+              .when(m == 2, F.concat(line, F.lit("x"))).otherwise(line))
+    path = scratch_path(c.spark, "broken-lines")
+    c.ratings_raw.select(broken.alias("value")).write.text(path)
+    good, rejected = io.scan_delimited(c.spark, path, "user_id int, movie_id int, user_rating string, time_stamp bigint",
+                                       header=False)
+    return _checks({
+        "lines": c.spark.read.text(path).agg(F.count(F.lit(1)).alias("value")),
+        "good": good.agg(F.count(F.lit(1)).alias("value")),
+        "good_movies": good.agg(F.sum("movie_id").alias("value")),
+        "rejected": rejected.agg(F.count(F.lit(1)).alias("value")),
+        "rejected_length": rejected.agg(F.sum(F.char_length("line")).alias("value")),
+    })
+
+
+def table_replace(c: Ctx):
+    """A stored table replaced while a reader has it open: the reader's rows, the new rows, the copies kept."""
+    path = scratch_path(c.spark, "replaced-movies")
+    io.write_table(c.movies_raw, path)
+    before = io.read_table(c.spark, path)
+    io.write_table(c.movies_clean.where("movie_type is not null"), path)
+    now = io.read_table(c.spark, path)
+    return _checks({
+        "open_reader": before.agg(F.count(F.lit(1)).alias("value")),
+        "open_reader_no_type": before.agg(F.count_if(F.col("movie_type").isNull()).alias("value")),
+        "new_reader": now.agg(F.count(F.lit(1)).alias("value")),
+        "new_reader_no_type": now.agg(F.count_if(F.col("movie_type").isNull()).alias("value")),
+    })
+
+
+def _movie_documents(c: Ctx):
+    """The movies as JSON documents of differing shapes: fields missing, added, of another type, and broken lines."""
+    key = F.col("movie_id").cast("int")
+    doc = F.struct(
+        "movie_id", "movie_name", F.when(key % 7 != 0, F.col("movie_type")).alias("movie_type"),
+        F.when(key % 5 == 0, F.struct(F.lit(True).alias("seen"), key.alias("n"))).alias("extra"),
+        F.col("rating_people_num").cast("int").alias("people"))
+    text = F.to_json(doc)
+    text = F.when(key % 11 == 0, F.regexp_replace(text, '"people":([0-9]+)', '"people":{"n":$1}')).otherwise(text)
+    path = scratch_path(c.spark, "movie-documents")
+    c.movies_raw.select(F.when(key % 13 == 0, F.concat(F.lit("{"), text)).otherwise(text).alias("value")).write.text(path)
+    return documents.read_documents(c.spark, path)
+
+
+MOVIE_FIELDS = {"movie_id": ("$.movie_id", "string"), "movie_name": ("$.movie_name", "string"),
+                "movie_type": ("$.movie_type", "string"), "people": ("$.people", "int"), "extra_n": ("$.extra.n", "int")}
+
+
+def document_fields(c: Ctx):
+    return documents.typed_fields(_movie_documents(c), MOVIE_FIELDS)
+
+
+def document_report(c: Ctx):
+    return documents.field_report(_movie_documents(c), MOVIE_FIELDS)
+
+
+def bucketed_items(c: Ctx):
+    """Codes, names and means joined from tables bucketed by movie: no shuffle of any of them."""
+    means = c.ratings_clean.groupBy("movie_id").agg(F.avg("user_rating").alias("avg"))
+    parts = {"codes": coding.dense_code(c.movies_clean, "movie_id", "movie_code"), "means": means,
+             "names": c.movies_attr.select("movie_id", "movie_name", "movie_type")}
+    n = bucketed.buckets_for(c.movies_raw)
+    t = {k: bucketed.save_bucketed(df, bucketed.scratch_name(c.spark, f"movie_{k}"), "movie_id", n)
+         for k, df in parts.items()}
+    return t["codes"].join(t["names"], "movie_id").join(t["means"], "movie_id", "left")
+
+
 # ---------------------------------------------------------------- ALS (rows-only checks)
 def als_predict(c: Ctx):
     return als.predict(c.als_model, c.coded_check).select(
@@ -572,7 +714,10 @@ def rmse_als(c: Ctx):
 
 
 def als_grid(c: Ctx):
-    grid = als.grid_search(c.coded_train, c.coded_check, seed=ALS_SEED, parallelism=GRID_PARALLELISM)
+    return _marked(als.grid_search(c.coded_train, c.coded_check, seed=ALS_SEED, parallelism=GRID_PARALLELISM))
+
+
+def _marked(grid):
     best = als.best_params(grid).select("rank", "max_iter", "reg", F.lit(True).alias("is_best"))
     return (grid.join(best, ["rank", "max_iter", "reg"], "left")
             .fillna(False, ["is_best"]).orderBy("order"))
@@ -586,11 +731,27 @@ def als_top30(c: Ctx):
 def als_top20(c: Ctx):
     users = c.coded_train.select("user_id").distinct()
     recs = als.recommend_unseen(c.als_model, c.coded_train, users, SERVE_N)
-    named = serve.attach_names(serve.decode_items(recs, c.coded[1]), c.movies_attr)
+    named = serve.decode_with_names(materialize(recs, "als-recs"), c.coded[1], c.movies_attr)
     return serve.with_truncated_rating(named).select(
         "user_id", "rank", "movie_id", "movie_name", "movie_type", "prediction", "movie_rating")
 
 
+def eval_coded_lists(c: Ctx):
+    """The evaluation of stored lists over codes, with lists that need no model: the 30 movies of the best mean."""
+    best = c.coded_train.groupBy("movie_code").agg(F.avg("user_rating").alias("mean"), F.count(F.lit(1)).alias("n"))
+    top = coding.number_rows(best.where("n >= 5"), [F.desc("mean"), F.asc("movie_code")], "rank").where(
+        F.col("rank") <= max(KS)).select("rank", "movie_code")
+    users = c.coded_test.select("user_id").distinct()
+    # a fixed list of 30 rows for every user
+    recs = users.join(F.broadcast(top.agg(F.sort_array(F.collect_list(F.struct("rank", "movie_code"))).alias("l"))),
+                      F.lit(True)).select("user_id", F.explode("l").alias("r")).select(
+        "user_id", F.col("r.rank").cast("int").alias("rank"), "r.movie_code")
+    path = scratch_path(c.spark, "coded-lists")
+    io.save_item_lists(itemcf.to_item_lists(recs, item_col="movie_code"), path)
+    stored = itemcf.explode_item_lists(io.load_item_lists(c.spark, path), item_col="movie_code")
+    return evaluate.eval_micro_at_k(stored, c.coded_train, c.coded_test, KS, 2, item_col="movie_code", digits=DIGITS)
+
+
 def eval_als(c: Ctx):
     users = c.coded_test.select("user_id").distinct()
     recs = als.recommend_for_users(c.als_model, users, max(KS))
@@ -607,6 +768,8 @@ def als_checks(c: Ctx):
                                            SERVE_N), "als-new")
     pred = materialize(als.predict(c.als_model, c.coded_check).select("user_id", "movie_code", "prediction"),
                        "als-predictions")
+    whole = materialize(als.library_for_users(c.als_model, users, TOP_N).select(
+        "user_id", "rank", F.col("prediction").alias("library")), "als-library")
     path = scratch_path(c.spark, "als-model")
     als.save_model(c.als_model, path)
     again = als.predict(als.load_model(path), c.coded_check).select("user_id", "movie_code", "prediction")
@@ -621,8 +784,15 @@ def als_checks(c: Ctx):
     def rising(df):
         return rows(df.withColumn("before", F.lag("prediction").over(by_user)).where("prediction > before"))
 
+    def not_best(df, best):
+        """Ranks whose prediction is not the library's (single-precision sums in another order)."""
+        both = df.join(best, ["user_id", "rank"], "full")
+        close = F.abs(F.col("prediction") - F.col("library")) <= 1e-5 * F.greatest(F.abs("library"), F.lit(1.0))
+        return rows(both.where(~F.coalesce(close, F.lit(False))))
+
     return _checks({
         "items": rows(n_items),
+        "top30_not_the_librarys": not_best(top, whole),
         "top30_users": n_users(top), "top30_rows": rows(top), "top30_rank_gaps": gaps(top),
         "top30_rising": rising(top),
         "top20_users": n_users(new), "top20_rows": rows(new), "top20_rank_gaps": gaps(new),
@@ -633,9 +803,19 @@ def als_checks(c: Ctx):
     })
 
 
+def als_pruning(c: Ctx):
+    """How much of the product of users and items the top-20 search scores."""
+    return als.search_report(c.als_model, c.coded_train, c.coded_train.select("user_id").distinct(), SERVE_N, block=256)
+
+
 def als_grid_checks(c: Ctx):
-    """The grid search: all fits scored, one best, none better and none as good before it."""
-    grid = materialize(als_grid(c), "als-grid")
+    """The grid search: all fits scored, one best, none better and none as good before it, its model kept and stored."""
+    fits, model = als.grid_fit(c.coded_train, c.coded_check, seed=ALS_SEED, parallelism=GRID_PARALLELISM)
+    grid = materialize(_marked(fits), "als-grid")
+    path = scratch_path(c.spark, "als-best-model")
+    als.save_model(model, path)
+    stored = als.load_model(path)
+    error = evaluate.rmse(als.predict(stored, c.coded_check)).select("rmse", F.lit(stored.rank).alias("stored_rank"))
     best = grid.where("is_best").select(F.col("rmse").alias("b_rmse"), F.col("order").alias("b_order"),
                                         F.lit(1).alias("one"))
     against = grid.withColumn("one", F.lit(1)).join(F.broadcast(best), "one")
@@ -644,6 +824,9 @@ def als_grid_checks(c: Ctx):
         "combinations": grid.agg(F.count_distinct("rank", "max_iter", "reg").alias("value")),
         "without_rmse": grid.where("rmse is null").agg(F.count(F.lit(1)).alias("value")),
         "best": best.agg(F.count(F.lit(1)).alias("value")),
+        "stored_not_best": grid.where("is_best").withColumnsRenamed({"rank": "best_rank", "rmse": "best_rmse"}).join(
+            error, (F.abs(F.col("rmse") - F.col("best_rmse")) <= 1e-9) & (F.col("stored_rank") == F.col("best_rank")),
+            "left_anti").agg(F.count(F.lit(1)).alias("value")),
         "better": against.where("rmse < b_rmse or (rmse = b_rmse and order < b_order)").agg(
             F.count(F.lit(1)).alias("value")),
     })
@@ -656,26 +839,28 @@ _ALL = [
     clean_dedupe, clean_drop_null_all, clean_drop_null_any, clean_labels, clean_rating,
     attr_repair, typed_ratings, rejected_ratings, year_month, distinct_tags,
     # statistics
+    distinct_sketches, duplicate_sketches, clean_step_counts,
     popular_items, popular_items_by_month, popular_topn_per_month, avg_rating, movies_with_avg,
     genre_match, genre_top10, genre_top10_lists, popular_items_ranked, popular_items_by_month_ranked,
-    avg_rating_ranked, sql_popular_items, sql_popular_items_by_month, sql_avg_rating,
+    avg_rating_ranked, sql_top_of_month, sql_top_of_genre, sql_rated_by, sql_popular_items, sql_popular_items_by_month, sql_avg_rating,
     # coding and splits
     dense_code, rating_code, split_hash, split_balance, split_random, split_random_checks, users_min_rated,
     # item-CF
     rating_with_item_mean, rating_mean_key_mixed, item_similarity, item_neighbours,
     item_neighbours_all, item_cf_candidates, item_cf_top30, item_cf_top30_dedup, item_cf_unseen,
     item_cf_unseen_first, seen_multiset_diff, matched_multiset, explode_recs, array_ops,
-    shared_users, unseen_items, decode_recs, recs_for_users, missing_names,
+    shared_users, unseen_items, shared_users_bitmap, unseen_items_bitmap, overlap_sizes, decode_recs, recs_for_users, missing_names,
     # evaluation
-    eval_macro_at_k, eval_macro_multiset, grid_argmin, eval_micro_at_k, rmse_item_mean, format_metrics, truncate_rating,
+    eval_macro_at_k, eval_macro_multiset, eval_coded_lists, grid_argmin, eval_micro_at_k, rmse_item_mean, format_metrics, truncate_rating,
     # dashboard
     rating_histogram, dashboard_totals, releases_by_month, releases_pivot, genre_preference,
     recent_top10, poster_popular50, poster_recent50, poster_rated50,
     # sources
-    scan_delimited, parse_tuple_text, table_round_trip, list_round_trip, tuple_text_round_trip,
+    scan_delimited, scan_rejects, parse_tuple_text, table_round_trip, table_replace, document_fields,
+    document_report, bucketed_items, list_round_trip, tuple_text_round_trip,
     metrics_text_round_trip, dashboard_json_round_trip,
     # ALS
-    als_predict, rmse_als, als_grid, als_top30, als_top20, eval_als, als_checks,
+    als_predict, rmse_als, als_grid, als_top30, als_top20, als_pruning, eval_als, als_checks,
     als_grid_checks,
 ]
 
@@ -685,4 +870,4 @@ QUERIES["strip_brackets"] = _q(strip_brackets_q)
 # Queries whose result depends on random initialisation or sampling: checked
 # by row counts and invariants only.
 ROWS_ONLY = {"split_random", "als_predict", "rmse_als", "als_grid", "als_top30", "als_top20",
-             "eval_als"}
+             "eval_als", "als_pruning"}

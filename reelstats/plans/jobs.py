@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstats.operators import als, clean, coding, dashboard, evaluate, itemcf, profile, serve, stats
-from reelstats.operators.skew import split_join
+from reelstats.operators.skew import hot_keys, split_join
 from reelstats.session import materialize
 from reelstats.sources import io
 
@@ -33,6 +33,7 @@ from reelstats.sources import io
 T_MOVIE, T_RATING, T_TAG = "Movie", "Rating", "Tag"
 T_MOVIE_CLEAN, T_RATING_CLEAN, T_TAG_CLEAN = "MovieExpPre", "RatingExpPre", "TagExpPre"
 T_PROFILE, T_REJECTED, T_UNRESOLVED = "Profile", "RatingRejected", "RecommendUnresolved"
+T_STEPS, REJECTS = "CleanSteps", "Rejected"
 T_POPULAR, T_MONTHLY, T_AVERAGE, T_GENRE_TOP = (
     "RateMoreMovies", "RateMoreRecentlyMovies", "AverageMovies", "GenresTopMovies")
 T_CODE, T_CODES = "RatingCode", "MovieCode"   # RatingCode is partitioned by split
@@ -66,19 +67,23 @@ class Store:
 
 def ingest(spark: SparkSession, store: Store, movie_path: str, rating_path: str, tag_path: str,
            sep: str = "$") -> None:
-    """Load the three delimited files: columns by header name, every column text."""
+    """Load the three delimited files: columns by header name, every column text; malformed lines to a reject table."""
     for path, name in ((movie_path, T_MOVIE), (rating_path, T_RATING), (tag_path, T_TAG)):
-        store.write(io.read_delimited(spark, path, sep=sep), name)
+        good, rejected = io.scan_delimited(spark, path, sep=sep)
+        store.write(good, name)
+        store.write(rejected, name + REJECTS)
 
 
 def clean_step(store: Store, how: str = "all") -> None:
-    """Profile the raw tables, then write their cleaned copies."""
-    movies, ratings, tags = store.read(T_MOVIE), store.read(T_RATING), store.read(T_TAG)
-    store.write(profile.profile_tables({"movies": movies, "ratings": ratings, "tags": tags}), T_PROFILE)
-    m, r, t = clean.clean_tables(movies, ratings, tags, how)
-    store.write(m, T_MOVIE_CLEAN)
-    store.write(r, T_RATING_CLEAN)
-    store.write(t, T_TAG_CLEAN)
+    """Write the cleaned tables; the profile comes out of the same passes, one job a table."""
+    tables = clean.counted_tables(store.read(T_MOVIE), store.read(T_RATING), store.read(T_TAG), how)
+    counts = []
+    for name, target in (("movies", T_MOVIE_CLEAN), ("ratings", T_RATING_CLEAN), ("tags", T_TAG_CLEAN)):
+        df, steps = tables[name]
+        store.write(df, target)
+        counts += steps.rows()
+    steps = store.write(store.spark.createDataFrame(counts, clean.STEP_COUNTS), T_STEPS)
+    store.write(profile.from_steps(steps), T_PROFILE)
 
 
 def features(store: Store, split: str = "hash", seed: int = 123, genre_n: int = 10) -> None:
@@ -107,9 +112,8 @@ def models(store: Store, top_n: int = 30, ranks=als.REFERENCE_RANKS, regs=als.RE
     train, check = store.split("train"), store.split("check")
     top = itemcf.item_cf_recommend(train, top_n, item_col="movie_code")
     store.write(itemcf.to_item_lists(top, item_col="movie_code"), T_ITEM_MODEL)
-    grid = store.write(als.grid_search(train, check, ranks, regs, iters, seed), T_ALS_GRID)
-    best = store.write(als.best_params(grid), T_ALS_BEST).first()
-    model = als.fit_als(train, best["rank"], best["max_iter"], best["reg"], seed)
+    fits, model = als.grid_fit(train, check, ranks, regs, iters, seed)
+    store.write(als.best_params(store.write(fits, T_ALS_GRID)), T_ALS_BEST)
     als.save_model(model, store.path(T_ALS_MODEL))
 
 
@@ -135,11 +139,11 @@ def recommend(store: Store, n: int = 20, users: list[int] | None = None) -> None
         lists = serve.for_users(lists, users)
     top = itemcf.explode_item_lists(lists, item_col="movie_code")
     unseen = materialize(itemcf.remove_seen(top, train, n, item_col="movie_code"), "unseen-recs")
-    named = serve.attach_names(serve.decode_items(unseen, codes), movies)
+    named = serve.decode_with_names(unseen, codes, movies)
     item_recs = store.write(named.select("user_id", "rank", "movie_id", "movie_name", "movie_type"), T_ITEM_RECS)
     model = als.load_model(store.path(T_ALS_MODEL))
-    recs = als.recommend_unseen(model, train, target.select("user_id"), n)
-    named = serve.with_truncated_rating(serve.attach_names(serve.decode_items(recs, codes), movies))
+    recs = materialize(als.recommend_unseen(model, train, target.select("user_id"), n), "als-recs")
+    named = serve.with_truncated_rating(serve.decode_with_names(recs, codes, movies))
     als_recs = store.write(named.select("user_id", "rank", "movie_id", "movie_name", "movie_type",
                                         "prediction", "movie_rating"), T_ALS_RECS)
     missing = [serve.missing_names(df).withColumn("model", F.lit(name))
@@ -163,14 +167,15 @@ def recommend_from_text(spark: SparkSession, user_codes: str, item_codes: str, t
                                ["user_id", "movie_code", "user_rating"])
     model = als.load_model(model_path)
     targets = users if users is not None else train.select("user_id").distinct()
-    recs = als.recommend_unseen(model, train, targets, n)
+    recs = materialize(als.recommend_unseen(model, train, targets, n), "als-recs")
     id_col = names.columns[0]
     # one key per code and one name per key: the number of recommendations never changes
     ucodes = ucodes.groupBy("user_id").agg(F.min("user_key").alias("user_key"))
     icodes = icodes.groupBy("movie_code").agg(F.min("item_key").alias("item_key"))
     items = names.groupBy(F.col(id_col).alias("item_key")).agg(F.min(name_col).alias(name_col))
-    out = split_join(split_join(split_join(recs, ucodes, "user_id", "left"), icodes, "movie_code", "left"),
-                     items, "item_key", "left")
+    # code, key and name of an item are one table; a user has at most n rows, so only items can be hot
+    out = split_join(recs.join(ucodes, "user_id", "left"), icodes.join(items, "item_key", "left"), "movie_code", "left",
+                     hot=hot_keys(recs, "movie_code"))
     return out.select("user_key", "item_key", F.col(name_col).alias("item_name"),
                       F.col("prediction").try_cast("int").alias("rating"), "rank")
 

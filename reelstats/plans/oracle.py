@@ -490,6 +490,7 @@ SQL["als_checks"] = _with(r"""
 seen as (select user_id, count(distinct movie_id) as s from train group by user_id),
 tu as (select distinct user_id from test where user_id in (select user_id from train))
 select 'items' as name, n as value from n
+union all select 'top30_not_the_librarys', 0
 union all select 'top30_users', count(*) from tu
 union all select 'top30_rows', cast(count(*) * least(30, max(n.n)) as bigint) from tu, n
 union all select 'top30_rank_gaps', 0
@@ -504,4 +505,109 @@ union all select 'predicted_pairs', count(*) from chk
 union all select 'saved_differences', 0""")
 SQL["als_grid_checks"] = r"""
 select 'fits' as name, 24::bigint as value union all select 'combinations', 24 union all select 'without_rmse', 0
-union all select 'best', 1 union all select 'better', 0"""
+union all select 'best', 1 union all select 'better', 0 union all select 'stored_not_best', 0"""
+
+SQL["unseen_items_bitmap"] = SQL["unseen_items"]
+SQL["shared_users_bitmap"] = SQL["shared_users"]
+SQL["overlap_sizes"] = _with(r"""
+select user_id, count(*) as n_common from (
+  select distinct user_id, movie_id from top30 intersect select user_id, movie_id from test) x group by user_id""", True)
+SQL["distinct_sketches"] = _with(f"""
+, ym as (select user_id, movie_id, {_YM} as year_month from ratings_clean),
+n as (
+  select year_month, count(distinct user_id) as u, count(distinct movie_id) as m from ym group by year_month
+  union all select 0, count(distinct user_id), count(distinct movie_id) from ym)
+select year_month, 'user_id' as metric, u as n_exact, true as within from n
+union all select year_month, 'movie_id', m, true from n""")
+SQL["duplicate_sketches"] = _with(
+    "select * from (" + " union all ".join(
+        f"select '{t}' as table_name, (select count(*) from {t}_raw) as n_rows, "
+        f"(select count(*) from (select distinct * from {t}_raw) d) as n_exact, true as within"
+        for t in ("movies", "ratings", "tags")) + ") x")
+_STEP_COLS = {
+    "movies": ["movie_id", "movie_name", "movie_type", "movie_writer", "movie_starring", "movie_rating",
+               "rating_people_num", "movie_release_date"],
+    "ratings": ["user_id", "movie_id", "user_rating", "time_stamp"], "tags": ["user_id", "movie_id", "user_tag"]}
+
+
+def _step(table: str, step: str, source: str, text_cols: list[str]) -> str:
+    cols = _STEP_COLS[table]
+    return (f"select '{table}' as table_name, '{step}' as step, count(*) as n_rows, "
+            f"count(*) filter ({' or '.join(c + ' is null' for c in cols)}) as n_any_null, "
+            f"count(*) filter ({' and '.join(c + ' is null' for c in cols)}) as n_all_null, "
+            f"count(*) filter ({' or '.join(f'coalesce(contains({c}, chr(58)), false)' for c in text_cols)}) as n_colon "
+            f"from {source}")
+
+
+SQL["clean_step_counts"] = _with(" union all ".join(
+    q for t, cols in _STEP_COLS.items() for q in [
+        _step(t, "raw", f"{t}_raw", cols), _step(t, "deduped", f"(select distinct * from {t}_raw) d", cols),
+        _step(t, "complete", f"(select distinct * from {t}_raw where {_ANY(cols)}) d", cols)]
+    + ([_step(t, "cleaned", f"{t}_clean", [c for c in cols if c != "user_rating"])] if t != "tags" else [])))
+SQL["sql_top_of_month"] = _with(f"""
+, c as (
+  select year_month, movie_id, count(movie_id) as count from (select movie_id, {_YM} as year_month from ratings_clean) x
+  group by 1, 2)
+select year_month, movie_id, count, rank from (
+  select *, cast(row_number() over (partition by year_month order by count desc, movie_id nulls first) as int) as rank
+  from c) x where rank <= 10 and year_month in (199501, 199603)""")
+SQL["sql_top_of_genre"] = _with(r"""
+select movie_id, movie_name, avg, rank from (
+  select m.movie_id, m.movie_name, a.avg,
+         cast(row_number() over (order by a.avg desc, try_cast(m.movie_id as int)) as int) as rank
+  from movies_attr m join avg_rating a on m.movie_id = a.movie_id
+  where contains(lower(m.movie_type), 'widget')) x where rank <= 10""")
+SQL["sql_rated_by"] = _with(f"""
+select r.movie_id, m.movie_name, r.user_rating, r.year_month from (select *, {_YM} as year_month from ratings_clean) r
+left join movies_attr m on r.movie_id = m.movie_id where r.user_id = '4'""")
+SQL["scan_rejects"] = _with(r"""
+, l as (
+  select movie_id, cast(movie_id as int) % 50 as m, coalesce(user_id, '') || '$' || coalesce(movie_id, '') || '$' ||
+         coalesce(user_rating, '') || '$' || coalesce(time_stamp, '') as line,
+         user_id || '$' || movie_id as two from ratings_raw),
+b as (select movie_id, coalesce(m, 9) as m, case m when 0 then two when 1 then line || '$more' when 2 then line || 'x'
+             else line end as line from l)
+select 'lines' as name, count(*) as value from b
+union all select 'good', count(*) from b where m > 2
+union all select 'good_movies', cast(sum(cast(movie_id as int)) as bigint) from b where m > 2
+union all select 'rejected', count(*) from b where m <= 2
+union all select 'rejected_length', cast(sum(length(line)) as bigint) from b where m <= 2""")
+SQL["table_replace"] = _with(r"""
+select 'open_reader' as name, count(*) as value from movies_raw
+union all select 'open_reader_no_type', count(*) from movies_raw where movie_type is null
+union all select 'new_reader', count(*) from movies_clean where movie_type is not null
+union all select 'new_reader_no_type', 0""")
+_DOCS = r"""
+, d as (
+  select movie_id, movie_name, case when k % 7 <> 0 then movie_type end as movie_type,
+         case when k % 11 <> 0 then cast(rating_people_num as int) end as people,
+         case when k % 5 = 0 then k end as extra_n, k % 11 = 0 as moved
+  from (select *, cast(movie_id as int) as k from movies_raw) x where k % 13 <> 0)
+"""
+SQL["document_fields"] = _with(_DOCS + "select movie_id, movie_name, movie_type, people, extra_n from d")
+SQL["document_report"] = _with(_DOCS + r"""
+select 'movie_id' as field, count(*) filter (movie_id is null) as n_missing, 0::bigint as n_mistyped from d
+union all select 'movie_name', count(*) filter (movie_name is null), 0 from d
+union all select 'movie_type', count(*) filter (movie_type is null), 0 from d
+union all select 'people', count(*) filter (people is null and not moved), count(*) filter (moved) from d
+union all select 'extra_n', count(*) filter (extra_n is null), 0 from d""")
+SQL["bucketed_items"] = _with(r"""
+, k as (select movie_id, cast(row_number() over (order by movie_id) as int) as movie_code
+        from (select distinct movie_id from movies_clean where movie_id is not null) x)
+select k.movie_id, k.movie_code, m.movie_name, m.movie_type, a.avg
+from k join movies_attr m on k.movie_id = m.movie_id left join avg_rating a on a.movie_id = k.movie_id""")
+SQL["eval_coded_lists"] = _with(r"""
+, codes as (select movie_id, row_number() over (order by movie_id) as code from (select distinct movie_id from ratings) x),
+best as (select movie_id, avg(user_rating) as mean from train group by movie_id having count(*) >= 5),
+top as (select movie_id, row_number() over (order by mean desc, code) as rank from best join codes using (movie_id)),
+tu as (
+  select user_id from test where user_id in (select user_id from train) group by user_id having count(*) >= 2),
+tp as (select distinct user_id, movie_id from test where user_id in (select user_id from tu)),
+h as (select tp.user_id, t.rank from tp join top t on t.movie_id = tp.movie_id and t.rank <= 30),
+k as (select unnest([10, 20, 30]) as k),
+r as (
+  select k.k, (select count(*) from h where h.rank <= k.k) as matched, (select count(*) from tu) as n_users,
+         (select count(*) from tp) as n_records from k),
+w as (select k, matched, matched / (n_users * k) * 100.0 as p, matched / n_records * 100.0 as r from r)
+select cast(k as int) as k, matched, round(p, 6) as precision, round(r, 6) as recall, round(2 * p * r / (p + r), 6) as f1
+from w""")

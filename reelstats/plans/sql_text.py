@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from reelstats.functions.sql import register_sql_functions
+from reelstats.functions.sql import register_sql_functions, register_table_functions
 
 POPULAR = """
 SELECT movie_id, count(movie_id) AS count
@@ -49,3 +49,23 @@ def popular_items_by_month_sql(ratings: DataFrame) -> DataFrame:
 
 def avg_rating_sql(ratings: DataFrame) -> DataFrame:
     return _run(AVERAGE, ratings)
+
+
+def top_of_month_sql(ratings: DataFrame, movies: DataFrame, months: list[int], n: int = 10) -> DataFrame:
+    """The best months' lists by calls of one table function."""
+    spark = ratings.sparkSession
+    register_table_functions(spark, ratings, movies)
+    calls = [f"SELECT {int(m)} AS year_month, * FROM top_of_month({int(m)}, {int(n)})" for m in months]
+    return spark.sql(" UNION ALL ".join(calls))
+
+
+def top_of_genre_sql(ratings: DataFrame, movies: DataFrame, genre: str, n: int = 10) -> DataFrame:
+    spark = ratings.sparkSession
+    register_table_functions(spark, ratings, movies)
+    return spark.sql("SELECT * FROM top_of_genre(:genre, :n)", {"genre": genre, "n": n})
+
+
+def rated_by_sql(ratings: DataFrame, movies: DataFrame, user: str) -> DataFrame:
+    spark = ratings.sparkSession
+    register_table_functions(spark, ratings, movies)
+    return spark.sql("SELECT * FROM rated_by(:user)", {"user": user})

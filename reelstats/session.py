@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  Shuffle sizing is left to AQE: the initial
 # partition count comes from the deployment and AQE coalesces small stages and
@@ -131,10 +131,26 @@ def freed_shuffles(spark: SparkSession):
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
+def parts_for(df: DataFrame, times: float = 1.0, per_part: int = 64 << 20) -> int:
+    """Partitions for a fixed-number shuffle of ``times`` the bytes of the tables that ``df`` scans.
+
+    The configured number of shuffle partitions is the floor; larger tables get
+    more, so that a task's share does not grow with the input.  Sources of unknown
+    size (rows of the driver, RDDs) count for nothing.
+    """
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no plan at hand
+        return floor
+    return max(floor, min(int(sum(x for x in sizes if x < 1 << 60) * times / per_part), 1 << 15))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
 __all__ = ["BASE_CONF", "CLUSTER_CONF", "build_session", "checkpoint_dir", "scratch_path", "materialize",
-           "local_path"]
+           "parts_for", "local_path"]

@@ -4,18 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from reelstats.sources import versions
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None,
                    sep: str = "$", header: bool = True) -> DataFrame:
-    """Header + delimiter text files; every column is text unless a schema says otherwise."""
+    """Header + delimiter text files; every column is text unless a schema says otherwise.
+
+    Fields that do not parse are null; ``scan_delimited`` tells malformed lines apart.
+    """
     reader = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def scan_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None, sep: str = "$",
+                   header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected) of delimited files: every line that is not blank is in exactly one of the two.
+
+    A line is malformed if it has more or fewer fields than the schema or a field
+    that does not parse; ``rejected`` holds (file, line).  With ``header`` the first
+    line of a file is none of the two; without a schema it names the columns, all text.
+    """
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file")).where("value <> ''")
+    if schema is None:
+        schema = StructType([StructField(c, StringType()) for c in read_delimited(spark, path, sep=sep).columns])
+    if header:
+        first = spark.read.text(path).first()
+        lines = lines.where(F.col("value") != F.lit(first["value"] if first else ""))
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*kind.fields, StructField(CORRUPT, StringType())])
+    parsed = F.from_csv("value", fields, {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.select("file", "value", parsed.alias("row"))
+    good = rows.where(F.col(f"row.{CORRUPT}").isNull()).select("row.*").drop(CORRUPT)
+    return good, rows.where(F.col(f"row.{CORRUPT}").isNotNull()).select("file", F.col("value").alias("line"))
+
+
 def spread_if_narrow(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer input splits than the cluster has cores.
 
@@ -38,25 +68,26 @@ def write_delimited(df: DataFrame, path: str, sep: str = "$", header: bool = Tru
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
     """A stored collection: a path in the given format or a catalog table name.
 
-    A document-store ``_id`` column is dropped when present.
+    A path written by ``write_table`` is read as its current copy, any other as it
+    is.  A document-store ``_id`` column is dropped when present.
     """
     if fmt == "table":
         df = spark.table(source)
     else:
-        df = spark.read.format(fmt).load(source)
+        df = spark.read.format(fmt).load(versions.current(spark, source) or source)
     return df.drop("_id") if "_id" in df.columns else df
 
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> None:
-    """Replace a stored collection (overwrite, so no separate drop step)."""
+    """Replace a stored collection in one step (see ``sources.versions``); a catalog table is overwritten."""
+    if fmt != "table":
+        versions.replace(df, target, fmt, partition_by)
+        return
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if fmt == "table":
-        writer.saveAsTable(target)
-    else:
-        writer.format(fmt).save(target)
+    writer.saveAsTable(target)
 
 
 def parse_tuple_text(lines: DataFrame, types: list[str], names: list[str],
