@@ -25,9 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstats.llm.tokens import END_ID, TOKEN_SLICE, TokenEncoder, default_path, id_kind
+from reelstats.llm.tokens import END_ID, TOKEN_SLICE, TokenEncoder, file_text, id_kind
 from reelstats.llm.words import slices, texts_of
-from reelstats.session import materialize, scratch_path
+from reelstats.session import materialize, parts_for, scratch_path
 
 MANIFEST = "part long, path string, n_docs long, n_tokens long, n_sequences long"
 RECORDS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -130,11 +130,11 @@ def write_sequences(docs: DataFrame, folder: str | None = None, tokenizer: str |
     """Write the files in ascending id order; returns the manifest (one row per part)."""
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "sequences")
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or parts_for(docs)
     ordered = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
                .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text"))
     return materialize(ordered.mapInArrow(
-        write_part(folder, tokenizer or default_path(), seq_len, per_batch, end_id), MANIFEST), "manifest")
+        write_part(folder, file_text(tokenizer), seq_len, per_batch, end_id), MANIFEST), "manifest")
 
 
 def read_part(batches):

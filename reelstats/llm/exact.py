@@ -5,7 +5,8 @@ by one space; null counts as empty.  Misra-Gries summaries of bounded size find
 the digests that may be frequent; their exact counts and smallest document are
 verified and broadcast (at most ``counters`` rows, whatever the corpus), so the
 copies of a frequent text are decided map-side.  All other digests go through
-one ordinary shuffle, in groups that hold at most about 2/counters of the rows.
+one ordinary shuffle of one row per digest and task; a digest left to it is on at
+most about 2/counters of the rows.
 
 Defined results: documents without an id sort after those with one; of repeated
 rows of one id exactly one is kept; an empty table gives an empty table; input
@@ -85,10 +86,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     heavy = (digests.join(F.broadcast(winners), "digest")
              .select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
                      (F.col("rid") == F.col("first.rid")).alias("kept"), "digest"))
-    group = Window.partitionBy("digest")
-    rest = (digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-            .withColumn("first", first_row().over(group))
-            .withColumn("group_size", F.count(F.lit(1)).over(group))
+    rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    # combined map-side, so that no group is ever gathered in a task
+    groups = rest.groupBy("digest").agg(first_row().alias("first"), F.count(F.lit(1)).alias("group_size"))
+    rest = (rest.join(groups, "digest")
             .select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
                     (F.col("rid") == F.col("first.rid")).alias("kept"), "digest"))
     return heavy.unionByName(rest).withColumnRenamed("digest", "text_sha256")

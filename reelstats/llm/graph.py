@@ -5,23 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelstats.operators.skew import split_join
 from reelstats.session import materialize
 
-SALTS = 16
-
-
-def spread_join(left: DataFrame, right: DataFrame, key: str | list[str], spread_by: str, how: str = "left",
-                salts: int = SALTS) -> DataFrame:
-    """Join a table with hot keys to one with unique keys.
-
-    The left rows of one key are dealt over ``salts`` tasks by a hash of
-    ``spread_by``; every right row (one per key) is repeated as often.
-    """
-    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    keys = [key] if isinstance(key, str) else key
-    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
-
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge table (u, v), root the component's smallest node.
@@ -30,15 +16,15 @@ def components(edges: DataFrame) -> DataFrame:
     smallest one and then hangs all smaller neighbours below the smallest; the
     rounds grow with the logarithm of the longest path.  Every round's edges are
     written to the shared folder, so lineage stays short and survives lost
-    executors.  Only the smaller end of an edge can be hot, and that join is
-    spread.  Roots themselves are included.
+    executors.  Only the smaller end of an edge can be hot; the edges of such nodes
+    are dealt over tasks.  Roots themselves are included.
     """
     e = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct(), "edges")
     state = _state(e)
     while state[0]:
         least = e.groupBy("u").agg(F.min("v").alias("m"))
-        hop = (spread_join(e, least.withColumnRenamed("u", "v"), "v", "u")
+        hop = (split_join(e, least.withColumnRenamed("u", "v"), "v", "left")
                .select("u", F.coalesce("m", "v").alias("v")))
         least = hop.groupBy("u").agg(F.min("v").alias("m"))
         joined = hop.join(least, "u")

@@ -3,16 +3,19 @@
 All word k-grams of every document are joined by hash (and text) to the places of
 the same k-grams in the templates.  A template that occurs in a document votes on
 one diagonal, document place minus template place.  Votes are counted per
-diagonal; neighbouring diagonals of long templates are merged, which bridges
-inserted and lost words; a span is verified by its share of the template's
-k-grams.  Short phrases must match in full on a single diagonal, which makes all
-their words equal, one after the other.
+diagonal; of long templates every diagonal is merged with the neighbours up to
+``MAX_SHIFT`` places after it, which bridges inserted and lost words, and such a
+neighbourhood is verified by the share of the template's places that it holds,
+each counted once however often it is voted for.  Of overlapping neighbourhoods
+the best one stands.  Short phrases must match in full on a single diagonal, which
+makes all their words equal, one after the other.
 
-The templates are a fixed table of a few hundred k-grams, the only broadcast.
+The templates are a fixed table of some thousand k-grams, the only broadcast.
 
 Defined results: null is empty text; documents without a match have no labels and
-score 0; repeated rows give repeated results; an empty table gives no rows; other
-columns never matter.
+score 0; of equally good overlapping neighbourhoods the first stands; texts of any
+length are scanned whole; repeated rows give repeated results; an empty table gives
+no rows; other columns never matter.
 """
 
 from __future__ import annotations
@@ -21,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 K = 3
-# Long templates: merged diagonals, and the least share of k-grams found.
-MAX_SHIFT, LEAST_SHARE = 4, 0.7
+# Long templates: how far apart merged diagonals lie, and the least share of places found.
+MAX_SHIFT, LEAST_SHARE = 8, 0.7
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,11 +66,38 @@ NOTICES = [
             "copies"),
     ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy "
                   "modify publish use compile sell or distribute this software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software the software is provided as is without warranty of any kind express or implied "
+            "including but not limited to the warranties of merchantability fitness for a particular purpose and "
+            "noninfringement in no event shall the authors or copyright holders be liable for any claim damages or "
+            "other liability whether in an action of contract tort or otherwise arising from out of or in connection "
+            "with the software or the use or other dealings in the software"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the "
+            "following disclaimer redistributions in binary form must reproduce the above copyright notice this list "
+            "of conditions and the following disclaimer in the documentation and or other materials provided with "
+            "the distribution"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied "
+            "warranties including but not limited to the implied warranties of merchantability and fitness for a "
+            "particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for "
+            "any direct indirect incidental special exemplary or consequential damages"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software "
+            "including all implied warranties of merchantability and fitness in no event shall the author be liable "
+            "for any special direct indirect or consequential damages or any damages whatsoever resulting from loss "
+            "of use data or profits"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even "
+            "the implied warranty of merchantability or fitness for a particular purpose see the gnu general public "
+            "license for more details"),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the "
+              "mpl was not distributed with this file you can obtain one at"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be "
+             "held liable for any damages arising from the use of this software permission is granted to anyone to "
+             "use this software for any purpose including commercial applications and to alter it and redistribute "
+             "it freely"),
 ]
 
 
 def template_rows() -> list[tuple]:
-    """(template, label, is_base, k-grams, largest shift between merged diagonals, least share of k-grams)."""
+    """(template, label, is_base, k-grams, merged shift, least share of places)."""
     rows = []
     for kind, source in (("base", BASE), ("phrase", PHRASES), ("notice", NOTICES)):
         for label, text in source:
@@ -109,17 +139,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
              .repartition("rid"))
     diagonals = votes.groupBy("rid", "doc_id", "n_words", "template", "label", "is_base", "shift", "least", "size",
                               (F.col("at") - 1 - F.col("place")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("votes"), F.min("at").alias("low"), F.max("at").alias("high"))
-    order = Window.partitionBy("rid", "template").orderBy("diagonal")
-    apart = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > F.col("shift")).cast("int"), F.lit(0))
-    merged = (diagonals.withColumn("apart", apart).withColumn("span", F.sum("apart").over(order))
-              .groupBy("rid", "doc_id", "n_words", "template", "label", "is_base", "least", "size", "span")
-              .agg(F.least(F.sum("votes") / F.first("size"), F.lit(1.0)).alias("share"),
-                   (F.min("low") - 1).alias("first"), (F.max("high") + K - 2).alias("last")))
-    # a span much longer than its template is chance votes on neighbouring diagonals
-    fits = (F.col("share") >= F.col("least")) & (F.col("last") - F.col("first") + 1 <= 2 * (F.col("size") + K))
-    return merged.select("rid", "doc_id", "n_words",
-                         *[F.when(fits, F.col(c)).alias(c) for c in ("label", "is_base", "first", "last", "share")])
+        F.collect_set("place").alias("places"), F.min("at").alias("low"), F.max("at").alias("high"))
+    line = Window.partitionBy("rid", "template").orderBy("diagonal")
+    merged = line.rangeBetween(0, MAX_SHIFT)  # a bounded number of diagonals, each with a template's places at most
+    alone = F.col("shift") == 0
+    found = F.when(alone, F.size("places")).otherwise(
+        F.size(F.array_distinct(F.flatten(F.collect_list("places").over(merged)))))
+    spans = diagonals.select(
+        "rid", "doc_id", "n_words", "template", "label", "is_base", "shift", "least", "diagonal",
+        (found / F.col("size")).alias("share"),
+        (F.when(alone, F.col("low")).otherwise(F.min("low").over(merged)) - 1).alias("first"),
+        (F.when(alone, F.col("high")).otherwise(F.max("high").over(merged)) + K - 2).alias("last"))
+    best = F.max(F.struct("share", F.negative("diagonal").alias("before"))).over(
+        line.rangeBetween(-MAX_SHIFT, MAX_SHIFT))
+    stands = (F.col("shift") == 0) | (F.col("_best.before") == -F.col("diagonal"))
+    fits = (F.col("share") >= F.col("least")) & stands
+    return spans.withColumn("_best", best).select(
+        "rid", "doc_id", "n_words",
+        *[F.when(fits, F.col(c)).alias(c) for c in ("label", "is_base", "first", "last", "share")])
 
 
 def joined_labels(label: F.Column) -> F.Column:
@@ -150,18 +187,20 @@ g AS (
   SELECT rid, i - 1 AS pos, array_to_string(ws[i:i + {K - 1}], ' ') AS gram
   FROM (SELECT rid, ws, unnest(range(1, len(ws) - {K - 2})) AS i FROM w WHERE len(ws) >= {K})),
 d AS (
-  SELECT rid, template, label, is_base, shift, least, size, pos - place AS diagonal, count(*) AS votes,
+  SELECT rid, template, label, is_base, shift, least, size, pos - place AS diagonal, list(DISTINCT place) AS places,
          min(pos) AS low, max(pos) AS high
   FROM g JOIN t USING (gram) GROUP BY ALL),
-a AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o > shift THEN 1 ELSE 0 END AS apart
-  FROM d WINDOW o AS (PARTITION BY rid, template ORDER BY diagonal)),
-s AS (SELECT *, sum(apart) OVER (PARTITION BY rid, template ORDER BY diagonal) AS span FROM a),
 m AS (
-  SELECT rid, label, is_base, least, size, least(sum(votes)::DOUBLE / size, 1.0) AS share, min(low) AS first,
-         max(high) + {K - 1} AS last
-  FROM s GROUP BY rid, template, label, is_base, least, size, span),
-f AS (SELECT * FROM m WHERE share >= least AND last - first + 1 <= 2 * (size + {K})),
+  SELECT rid, template, label, is_base, shift, least, diagonal,
+         CASE WHEN shift = 0 THEN len(places) ELSE len(list_distinct(flatten(list(places) OVER o))) END::DOUBLE / size
+           AS share,
+         CASE WHEN shift = 0 THEN low ELSE min(low) OVER o END AS first,
+         CASE WHEN shift = 0 THEN high ELSE max(high) OVER o END + {K - 1} AS last
+  FROM d WINDOW o AS (PARTITION BY rid, template ORDER BY diagonal RANGE BETWEEN CURRENT ROW AND {MAX_SHIFT} FOLLOWING)),
+f AS (
+  SELECT * FROM m WHERE share >= least AND (shift = 0 OR NOT EXISTS (
+    SELECT 1 FROM m b WHERE b.rid = m.rid AND b.template = m.template AND abs(b.diagonal - m.diagonal) <= {MAX_SHIFT}
+      AND (b.share > m.share OR (b.share = m.share AND b.diagonal < m.diagonal)))),
 r AS (
   SELECT rid, count(*) FILTER (WHERE is_base) AS n_base, min(first) FILTER (WHERE is_base) AS first_word,
          max(first) FILTER (WHERE is_base) AS last_word,

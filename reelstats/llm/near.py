@@ -1,13 +1,19 @@
-"""N-gram Jaccard join with MinHash LSH.
+"""N-gram Jaccard join with a MinHash LSH forest.
 
 Documents are sets of word 5-grams (whole texts; a text of fewer words is one
 gram; an empty text is the empty set).  Documents with equal sets are one class.
 Each class gets ``trees`` labels of ``digits`` MinHash digits (one byte each); a
 label is a path in that tree's prefix trie, kept as a sorted table.  Two classes
-meet where their labels share a prefix.  Its length is fixed, the same for all: the
-longest at which pairs at the threshold meet in some tree with the target
-probability.  This fixed-depth banding stands in for the adaptive descent of an
-LSH forest; no longer prefix is tried first and none is shortened from the data.
+meet where their labels share a prefix.
+
+The forest is descended from the leaves up.  At first only classes with a whole
+label in common meet and are tied where they are alike.  Then the matched prefix
+is shortened digit by digit, but only where the data ask for it: a run of classes
+that longer prefixes have already tied into one component is settled and is not
+looked at again, and in the other runs only classes of different components are
+compared.  The shortening ends at the longest prefix at which a pair at the
+threshold meets in some tree with the target probability; a class that has met
+nobody goes down to that depth.
 
 Pairs are never expanded.  Inside a run the digits of all trees estimate the
 similarity; classes above a cut far below the threshold (over five standard
@@ -19,7 +25,9 @@ component of verified links: one row a document, however large the groups are.
 
 Defined results: repeated rows share a class; empty texts form one class without
 links; documents without an id take part, and a group of such documents alone
-has a null id; an empty table gives no rows; other columns never matter.
+has a null id; equal similarities need no order, as every link at the threshold or
+above counts; texts of any length are read whole; an empty table gives no rows;
+other columns never matter.
 """
 
 from __future__ import annotations
@@ -31,10 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstats.llm.graph import components, spread_join
+from reelstats.llm.graph import components
 from reelstats.llm.stream import meeting_rows, sorted_groups
 from reelstats.llm.words import Words, binary_column, grams, mix, slices, texts_of
-from reelstats.session import materialize
+from reelstats.operators.skew import split_join
+from reelstats.session import materialize, parts_for
 
 GRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
 TREES, DIGITS = 40, 8
@@ -149,30 +158,42 @@ def like_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def tied_members(digits: np.ndarray, root: np.ndarray, need: float, first: np.ndarray | None) -> np.ndarray:
+    """Symmetric matrix: members of one component, or alike by their digits.
+
+    Members of the largest component are not compared with each other.  With
+    ``first``, only members of the first block meet members of the second.
+    """
+    tied = root[:, None] == root[None, :]
+    names, count = np.unique(root, return_counts=True)
+    few = root != names[count.argmax()]
+    everyone = np.ones(len(root), bool)
+    sides = ((few, everyone),) if first is None else ((few & first, ~first), (few & ~first, first))
+    for rows, cols in sides:
+        if rows.any():
+            like = like_matrix(digits[rows], digits[cols]) >= need
+            tied[np.ix_(rows, cols)] |= like
+            tied[np.ix_(cols, rows)] |= like.T
+    return tied
+
+
 def tie_runs(cut: float, n: int):
     """At most one edge a member: estimated components of every run (or pair of blocks of a run)."""
     need = n * (cut + (1 - cut) / 256)
 
     def run(batches):
         for table, starts in sorted_groups(batches, ["run", "low", "high"]):
-            node = table.column("node").to_numpy()
+            node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
             digits = np.frombuffer(b"".join(table.column("digits").to_pylist()), np.uint8).reshape(-1, n)
             block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
             size = np.diff(starts)
             two = starts[:-1][size == 2]
-            near = (digits[two] == digits[two + 1]).sum(axis=1) >= need
+            near = ((digits[two] == digits[two + 1]).sum(axis=1) >= need) & (root[two] != root[two + 1])
             u, v = [node[two[near]]], [node[two[near] + 1]]
             for a, b in zip(starts[:-1][size > 2].tolist(), starts[1:][size > 2].tolist()):
-                if low[a] == high[a]:
-                    tied = like_matrix(digits[a:b], digits[a:b]) >= need
-                else:
-                    first = block[a:b] == low[a]
-                    tied = np.zeros((b - a, b - a), bool)
-                    cross = like_matrix(digits[a:b][first], digits[a:b][~first]) >= need
-                    tied[np.ix_(first, ~first)] = cross
-                    tied[np.ix_(~first, first)] = cross.T
-                label = low_labels(tied)
-                other = label != np.arange(b - a)
+                first = None if low[a] == high[a] else block[a:b] == low[a]
+                label = low_labels(tied_members(digits[a:b], root[a:b], need, first))
+                other = root[a:b] != root[a:b][label]
                 u.append(node[a:b][other])
                 v.append(node[a:b][label[other]])
             u, v = np.concatenate(u), np.concatenate(v)
@@ -181,6 +202,39 @@ def tie_runs(cut: float, n: int):
     return run
 
 
+def descend(meeting: DataFrame, digits_of: DataFrame, parts: int, threshold: float, trees: int, digits: int,
+            floor: int) -> tuple[DataFrame, DataFrame]:
+    """(node, root) of the estimated groups, and (node, depth): the prefix at which each tied class was first tied.
+
+    ``meeting`` holds the labels (tree, label, node) that share a prefix of ``floor`` digits.
+    """
+    n, ties, groups = trees * digits, None, None
+    for depth in range(digits, floor - 1, -1):
+        rows = meeting.select("tree", F.shiftrightunsigned("label", 64 - 8 * depth).alias("prefix"), "node")
+        if groups is None:
+            rows = rows.withColumn("root", F.col("node"))
+        else:
+            rows = materialize(rows.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")),
+                               "trie")
+        # a run of one component is settled; runs of the same classes in several trees are one run
+        stats = (rows.groupBy("tree", "prefix").agg(
+            F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("run"), F.min("root").alias("_low"),
+            F.max("root").alias("_high")).where("_low <> _high").drop("_low", "_high"))
+        members = split_join(rows, stats, ["tree", "prefix"]).select("run", "size", "node", "root").dropDuplicates(
+            ["run", "node"])
+        runs = (block_pairs(members.join(digits_of, "node"), F.ceil(F.col("size") / RUN_BLOCK))
+                .repartition(parts, "run", "low", "high").sortWithinPartitions("run", "low", "high", "node"))
+        new = materialize(runs.mapInArrow(tie_runs(threshold - MARGIN, n), EDGES).withColumn("depth", F.lit(depth)),
+                          "ties")
+        ties = new if ties is None else ties.unionByName(new)
+        known = new.select("u", "v")
+        if groups is not None:
+            known = known.unionByName(groups.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        groups = components(known)
+    ends = ties.select(F.explode(F.array("u", "v")).alias("node"), "depth")
+    return groups, ends.groupBy("node").agg(F.max("depth").alias("depth"))
+
+
 def block_pairs(rows: DataFrame, blocks: F.Column) -> DataFrame:
     """Deal the members of a group over blocks and give each row to all pairs of its block.
 
@@ -281,20 +335,12 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
-                threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES,
-                digits: int = DIGITS) -> DataFrame:
-    """One row a document: doc_id, tie, class_id, copy_id, n_links, class_docs, first.
-
-    ``class_id`` is the smallest id of the document's group, ``copy_id`` that of
-    its class of equal sets, ``n_links`` the number of other classes with a
-    similarity of ``threshold`` or more, ``class_docs`` the group's documents;
-    ``first`` marks the one row of the group that stays in a dedup.
-    """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def forest(docs: DataFrame, id_col: str, text_col: str, gram: int, threshold: float, recall: float, trees: int,
+           digits: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Documents with their sets, classes, estimated groups (node, root) and depths (node, depth)."""
+    parts = parts_for(docs)
     n = trees * digits
-    depth = matched_digits(threshold, trees, digits, recall)
+    floor = matched_digits(threshold, trees, digits, recall)
     rows = materialize(keyed(docs, id_col, text_col).mapInArrow(describe(gram, n), SETS)
                        .withColumn("rid", F.monotonically_increasing_id()), "gram-sets")
     head = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))
@@ -305,26 +351,33 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels = (rows.join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").where("grams > 0")
               .select(F.col("rid").alias("node"), "digits")
               .mapInArrow(tree_labels(trees, digits), "tree int, label long, node long"))
-    trie = (labels.withColumn("prefix", F.shiftrightunsigned("label", 64 - 8 * depth))
+    trie = (labels.withColumn("prefix", F.shiftrightunsigned("label", 64 - 8 * floor))
             .repartition(parts, "tree", "prefix").sortWithinPartitions("tree", "prefix", "label", "node"))
-    meeting = materialize(trie.mapInArrow(meeting_rows(["tree", "prefix"], ["tree", "prefix", "node"]),
-                                           "tree int, prefix long, node long"), "meeting")
-    # runs of the same classes in several trees are one run
-    stats = meeting.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("size"),
-                                                  F.bit_xor(F.xxhash64("node")).alias("run"))
-    members = (spread_join(meeting, stats, ["tree", "prefix"], "node").select("run", "size", "node")
-               .dropDuplicates(["run", "node"]))
-    with_digits = members.join(rows.select(F.col("rid").alias("node"), "digits"), "node")
-    runs = (block_pairs(with_digits, F.ceil(F.col("size") / RUN_BLOCK))
-            .repartition(parts, "run", "low", "high").sortWithinPartitions("run", "low", "high", "node"))
-    groups = components(runs.mapInArrow(tie_runs(threshold - MARGIN, n), EDGES))
+    meeting = materialize(trie.mapInArrow(meeting_rows(["tree", "prefix"], ["tree", "label", "node"]),
+                                           "tree int, label long, node long"), "meeting")
+    groups, depths = descend(meeting, rows.select(F.col("rid").alias("node"), "digits"), parts, threshold, trees,
+                             digits, floor)
+    return rows, classes, groups, depths
+
 
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
+                threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES,
+                digits: int = DIGITS) -> DataFrame:
+    """One row a document: doc_id, tie, class_id, copy_id, n_links, class_docs, first.
+
+    ``class_id`` is the smallest id of the document's group, ``copy_id`` that of
+    its class of equal sets, ``n_links`` the number of other classes with a
+    similarity of ``threshold`` or more, ``class_docs`` the group's documents;
+    ``first`` marks the one row of the group that stays in a dedup.
+    """
+    parts = parts_for(docs)
+    rows, classes, groups, _ = forest(docs, id_col, text_col, gram, threshold, recall, trees, digits)
     known = rows.select(F.col("rid").alias("node"), "doc_id", "tie", "grams")
     placed = materialize(groups.join(known, "node"), "group-members")
     sizes = (placed.groupBy("root").agg(F.count(F.lit(1)).alias("classes"), F.sum("grams").alias("total"))
              .select("root", F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES),
                                         F.ceil(F.col("total") / BLOCK_GRAMS)).alias("blocks")))
-    wanted = spread_join(placed, sizes, "root", "node").select("node", "root", "blocks", "doc_id", "tie")
+    wanted = split_join(placed, sizes, "root").select("node", "root", "blocks", "doc_id", "tie")
     texts = keyed(docs, id_col, text_col).withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
     joined = wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
     one_each = joined.select("node", "root", "blocks", "text")
@@ -335,17 +388,28 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("n_links"))
     final = components(found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    info = (classes.join(final, "node", "left").join(links, "node", "left")
-            .select("set_hash", "node", "head", "copies", F.coalesce("root", "node").alias("root"),
-                    F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+    info = materialize(
+        classes.join(final, "node", "left").join(links, "node", "left")
+        .select("set_hash", "node", "head", "copies", F.coalesce("root", "node").alias("root"),
+                F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "class-links")
     groups = info.groupBy("root").agg(F.min("head").alias("group_head"), F.sum("copies").alias("class_docs"))
-    info = spread_join(info, groups, "root", "node")
-    out = spread_join(rows.select("set_hash", "doc_id", "tie", "rid"), info, "set_hash", "rid")
+    info = split_join(info, groups, "root")
+    out = split_join(rows.select("set_hash", "doc_id", "tie", "rid"), info, "set_hash")
     return out.select("doc_id", "tie", F.col("group_head.doc_id").alias("class_id"),
                       F.col("head.doc_id").alias("copy_id"), "n_links", "class_docs",
                       (F.col("rid") == F.col("group_head.rid")).alias("first"))
 
 
+def depths_reached(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
+                   threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES,
+                   digits: int = DIGITS) -> DataFrame:
+    """(copy_id, depth) of every class: the prefix at which it was first tied, the last one tried if it never was."""
+    floor = matched_digits(threshold, trees, digits, recall)
+    _, classes, _, depths = forest(docs, id_col, text_col, gram, threshold, recall, trees, digits)
+    return classes.join(depths, "node", "left").select(
+        F.col("head.doc_id").alias("copy_id"), F.coalesce("depth", F.lit(floor)).alias("depth"))
+
+
 def near_join(docs: DataFrame, **options) -> DataFrame:
     """One row a document: doc_id, class_id, copy_id, n_links, class_docs."""
     return near_groups(docs, **options).select("doc_id", "class_id", "copy_id", "n_links", "class_docs")

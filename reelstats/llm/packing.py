@@ -22,9 +22,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstats.llm.tokens import END_ID, TOKEN_SLICE, TokenEncoder, default_path, id_kind
+from reelstats.llm.tokens import END_ID, TOKEN_SLICE, TokenEncoder, file_text, id_kind, vocab_size
 from reelstats.llm.words import binary_column, slices, texts_of
-from reelstats.session import materialize
+from reelstats.session import materialize, parts_for
 
 BINS, DIMS, BITS = 1024, 3, 20
 TOKENS = "doc_id long, curve long, ids binary"
@@ -147,11 +147,10 @@ def pack_part(seq_len: int, kind: str):
 def pack(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text",
          seq_len: int = 2048, end_id: int = END_ID, parts: int | None = None) -> DataFrame:
     """Pieces of documents: which ids of a document lie where in which sequence."""
-    spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tokenizer = tokenizer or default_path()
+    parts = parts or parts_for(docs)
+    tokenizer = file_text(tokenizer)
     coded = materialize(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         .mapInArrow(encode_docs(tokenizer, end_id), TOKENS), "tokens")
     return (coded.repartitionByRange(parts, "curve", "doc_id").sortWithinPartitions("curve", "doc_id", "ids")
-            .mapInArrow(pack_part(seq_len, id_kind(TokenEncoder(tokenizer).vocab_size)), PIECES))
+            .mapInArrow(pack_part(seq_len, id_kind(vocab_size(tokenizer))), PIECES))

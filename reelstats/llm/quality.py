@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstats.llm.graph import spread_join
 from reelstats.llm.words import Words, slices, texts_of
+from reelstats.operators.skew import hot_keys, split_join
 from reelstats.session import materialize
 
 # About so many labelled documents are sampled for the fit, one in HELD_OUT of them left out of it.
@@ -208,9 +208,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, host: F.Column | None =
     mean = float(np.clip((total[0] or 0.0) / total[1], 0.01, 0.99)) if total[1] else 0.5
     k_host, k_path = strength(hosts, mean), strength(paths, mean)
 
-    sites = spread_join(paths.withColumnsRenamed({"s": "path_s", "n": "path_n"}),
-                        hosts.withColumnsRenamed({"s": "host_s", "n": "host_n"}), "host", "path")
-    placed = spread_join(scored, sites, ["host", "path"], "rid")
+    sites = split_join(paths.withColumnsRenamed({"s": "path_s", "n": "path_n"}),
+                       hosts.withColumnsRenamed({"s": "host_s", "n": "host_n"}), "host", "left")
+    placed = split_join(scored, sites, ["host", "path"], "left", hot=hot_keys(rows, ["host", "path"]))
     own, counted = F.coalesce("y", F.lit(0.0)), F.col("y").isNotNull().cast("int")
 
     def rest(name: str) -> F.Column:

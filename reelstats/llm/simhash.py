@@ -102,30 +102,27 @@ def shards(distinct: DataFrame, radius: int = RADIUS, most: int = SHARD) -> Data
     cutting, so it takes a fixed number of rounds at the very most; a round reads
     only the shards that are still too large.
     """
+    if most < 1 << radius:
+        raise ValueError("a shard must hold all fingerprints of the radius' free bits")
+    spark = distinct.sparkSession
     masks, entries, done = [0], distinct.select(F.lit(0).cast("long").alias("mask"), "fp"), None
-    while True:
+    while masks:
         # every member of a cut shard goes to radius + 1 shards that share one more block
-        routes = {signed(m): [signed(m | c) for c in cuts(ALL_BITS & ~m, radius + 1)] for m in masks}
-        to = F.lit(None).cast("array<long>")
-        for m, nxt in routes.items():
-            to = F.when(F.col("mask") == m, F.array(*[F.lit(x).cast("long") for x in nxt])).otherwise(to)
-        entries = entries.select(F.explode(to).alias("mask"), "fp").select(
-            "mask", F.col("mask").bitwiseAND(F.col("fp")).alias("value"), "fp")
+        routes = [(signed(m), signed(m | c)) for m in masks for c in cuts(ALL_BITS & ~m, radius + 1)]
+        table = F.broadcast(spark.createDataFrame(routes, "mask long, to long"))  # as many rows as masks, times three
+        entries = entries.join(table, "mask").select(F.col("to").alias("mask"), F.col("to").bitwiseAND(F.col("fp"))
+                                                     .alias("value"), "fp")
         if len(masks) > 1:  # other blocks in another order can come to the same mask
             entries = entries.distinct()
         entries = materialize(entries, "shards")
-        masks = sorted({x & ALL_BITS for nxt in routes.values() for x in nxt})
-        free = max(64 - m.bit_count() for m in masks)
         sizes = entries.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"))
         # shards of one member have no links
         small = entries.join(sizes.where((F.col("n") > 1) & (F.col("n") <= most)), ["mask", "value"], "left_semi")
         done = small if done is None else done.unionByName(small)
-        if 1 << free <= most:
-            return done
         large = materialize(entries.join(sizes.where(F.col("n") > most), ["mask", "value"], "left_semi"), "shards")
-        if large.isEmpty():
-            return done
+        masks = sorted(r["mask"] & ALL_BITS for r in large.select("mask").distinct().collect())
         entries = large.select("mask", "fp")
+    return done
 
 
 # ---------------------------------------------------------------- trees

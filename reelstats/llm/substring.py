@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from reelstats.llm.stream import meeting_rows
 from reelstats.llm.words import Words, mix, prefix_sums, slices, texts_of, window_hash
-from reelstats.session import materialize
+from reelstats.session import materialize, parts_for
 
 WINDOW = 35
 # Perfect difference set: every residue modulo 21 is a difference of two members.
@@ -202,8 +202,9 @@ def remove_words(window: int, with_text: bool):
 
 
 def per_document(starts: DataFrame) -> DataFrame:
-    """The starts of each document: lists no longer than its words."""
-    return starts.groupBy("doc_id", "tie").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
+    """The starts of each document, each once however often the row is repeated: lists no longer than its words."""
+    runs = starts.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("at", "n")).alias("runs"))
+    return runs.select("doc_id", "tie", F.col("runs.at").alias("at"), F.col("runs.n").alias("n"))
 
 
 def on_document(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -218,8 +219,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row a document: doc_id, n_words, n_removed, kept_sha256, and the kept words joined by spaces."""
     if not is_difference_cover(period, cover) or window < period:
         raise ValueError("the cover must hit every difference and the window hold a whole period")
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts_for(docs, 2.0)
     texts = keyed(docs, id_col, text_col)
     # every step is written, which frees the shuffle files of the one before
     anchors = materialize(per_document(repeated(

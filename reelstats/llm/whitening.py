@@ -57,7 +57,7 @@ def bit_planes(y: np.ndarray, bits: int) -> np.ndarray:
     y = np.concatenate([y, np.zeros((rows, y.shape[1]), np.uint64)]) if rows else y
     planes = np.stack([(y >> np.uint64(b)).astype(np.uint8) & 1 for b in range(bits)], axis=2)  # rows, dims, bits
     packed = np.packbits(planes.transpose(1, 2, 0), axis=2)  # dims, bits, bytes
-    return packed.reshape(-1, packed.shape[2]).view(np.uint64)
+    return np.ascontiguousarray(packed.reshape(-1, packed.shape[2])).view(np.uint64)
 
 
 def cross_products(x: np.ndarray) -> tuple[list, list, list]:

@@ -12,6 +12,7 @@ from tests.conftest import SF001
 from tests.helpers import norm, rows_of
 
 MIT = next(t for label, t in licenses.NOTICES if label == "mit")
+GPL = next(t for label, t in licenses.NOTICES if label == "gpl")
 TEXTS = [
     None, "", " ", "Released Under  THE\nMIT-License.", "under the mit licenses", "under the, mit license under the mit license",
     "Apache License, Version 2.0 and CC-BY-NC cc by nc 4.0", "cc by nc by nc cc", "x", "a b", "é under the mit license é",
@@ -66,13 +67,56 @@ def test_notices_are_found_with_words_lost_and_added(spark):
     assert rows[11].labels == "gpl-3"
 
 
+def brute_labels(text):
+    """Labels and score: distinct template places over every neighbourhood of diagonals, the best of those that overlap."""
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+    grams = [" ".join(words[i:i + licenses.K]) for i in range(len(words) - licenses.K + 1)]
+    labels, score = set(), 0.0
+    for _, label, _, keys, shift, least in licenses.template_rows():
+        lines = {}
+        for at, gram in enumerate(grams):
+            for place, key in enumerate(keys):
+                if gram == key:
+                    lines.setdefault(at - place, set()).add(place)
+        shares = {d: len(set().union(*(p for e, p in lines.items() if d <= e <= d + shift))) / len(keys)
+                  for d in lines}
+        for d, share in shares.items():
+            rivals = [] if not shift else [e for e in shares if abs(e - d) <= licenses.MAX_SHIFT]
+            if share >= least and all((shares[e], -e) <= (share, -d) for e in rivals):
+                labels.add(label)
+                score = max(score, share)
+    return ",".join(sorted(labels)), score
+
+
+REPEATS = ["under the terms " * 20, "under the terms " * 19 + GPL, GPL + " under the terms" * 40,
+           " ".join(w for i, w in enumerate(GPL.split()) if i % 14 != 4), GPL.replace("or modify", "or to use and modify"),
+           MIT + " " + MIT, " ".join(t for _, t in licenses.NOTICES), "free software " * 3000 + GPL]
+
+
+def test_repeated_words_are_no_notice(spark):
+    rows = {r.doc_id: r for r in licenses.label_documents(frame(spark, REPEATS)).collect()}
+    assert (rows[0].labels, rows[0].score) == ("", 0.0)
+    assert [rows[i].labels for i in (1, 2, 3, 4, 7)] == ["gpl"] * 5
+    assert rows[3].score < 1.0 and rows[4].score < 1.0
+    assert rows[6].labels == ",".join(sorted({label for label, _ in licenses.NOTICES}))
+
+
+def test_labels_equal_brute_force(spark):
+    texts = REPEATS + TEXTS + sample_texts(40)
+    got = Counter((r.doc_id, r.labels, round(r.score, 12)) for r in licenses.label_documents(frame(spark, texts)).collect())
+    want = Counter((r.doc_id, brute_labels(r.text)[0], round(brute_labels(r.text)[1], 12))
+                   for r in frame(spark, texts).collect())
+    assert got == want
+
+
 @pytest.mark.parametrize("source", ["odd", "given"])
 def test_license_query_equals_sql(spark, duck, source):
     import duckdb
     if source == "given":
         got, con = queries.LLM_QUERIES["op5_license_scan"](spark, SF001), duck
     else:
-        df = frame(spark)
+        df = frame(spark, TEXTS + REPEATS)
         got, con = licenses.label_documents(df), duckdb.connect()
         con.register("documents", df.select("doc_id", "text").toArrow())
     cols = sorted(got.columns)

@@ -152,6 +152,57 @@ def test_no_link_near_the_threshold_is_lost(spark):
     assert all(r.n_links == 1 and r.class_id == r.doc_id - r.doc_id % 2 and r.class_docs == 2 for r in rows)
 
 
+def test_prefixes_shorten_only_where_the_data_ask_for_it(spark, monkeypatch):
+    """Close copies are tied by whole labels, pairs near the threshold by shorter ones, loners go down to the floor."""
+    rng = random.Random(4)
+    rows, compared = [], []
+    for i in range(40):
+        text = [f"w{rng.randrange(10 ** 6)}" for _ in range(400)]
+        rows += [(i, " ".join(text)), (100 + i, " ".join(text[:-1])),
+                 (300 + i, " ".join(f"x{rng.randrange(10 ** 6)}" for _ in range(50)))]
+    plain = near.block_pairs
+
+    def noted(members, blocks):
+        compared.append(members.count())
+        return plain(members, blocks)
+
+    monkeypatch.setattr(near, "block_pairs", noted)
+    floor = near.matched_digits()
+    depth = {r.copy_id: r.depth for r in near.depths_reached(frame(spark, rows)).collect()}
+    assert floor < near.DIGITS
+    assert all(depth[i] == near.DIGITS and depth[100 + i] == near.DIGITS for i in range(40))
+    assert all(depth[300 + i] == floor for i in range(40))
+    # whole labels have tied all that meet: at shorter prefixes every run is settled
+    assert compared[0] > 0 and compared[1:] == [0] * (near.DIGITS - floor)
+
+
+def test_a_pair_that_meets_late_is_tied_at_a_shorter_prefix(spark):
+    """Labels made by hand: 1 and 2 share whole labels, 3 only seven digits of one tree with 2."""
+    trees, digits = 2, 8
+    same, other = bytes(range(16)), bytes(range(7)) + bytes([200]) + bytes(range(8, 15)) + bytes([9])
+    meeting = spark.createDataFrame(
+        [(t, int.from_bytes(d[8 * t:8 * t + 8], "big"), n) for n, d in ((1, same), (2, same), (3, other))
+         for t in range(trees)], "tree int, label long, node long")
+    raw = spark.createDataFrame([(1, same), (2, same), (3, other)], "node long, digits binary")
+    groups, depths = near.descend(meeting, raw, 4, 0.8, trees, digits, 7)
+    assert {(r.node, r.root) for r in groups.collect()} == {(1, 1), (2, 1), (3, 1)}
+    got = {r.node: r.depth for r in depths.collect()}
+    assert got[3] == 7 and max(got[1], got[2]) == 8
+
+
+def test_members_of_one_component_are_not_compared():
+    digits = np.zeros((6, 320), np.uint8)
+    digits[3:] = 9
+    digits[5, :100] = 1
+    need = 320 * 0.6
+    one = near.tied_members(digits, np.array([1, 1, 1, 1, 1, 1]), need, None)
+    assert one.all()
+    two = near.tied_members(digits, np.array([1, 1, 1, 1, 1, 2]), need, None)
+    assert two[5].tolist() == [False, False, False, True, True, True] and (two == two.T).all()
+    apart = near.tied_members(digits, np.arange(6), need, np.array([True, False] * 3))
+    assert apart[0, 1] and not apart[0, 2] and apart[3, 4] and not apart[0, 3] and (apart == apart.T).all()
+
+
 def test_minhash_digits_estimate_similarity():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
@@ -212,6 +263,15 @@ def test_other_windows_and_covers(spark):
     assert Counter(tuple(r) for r in got.collect()) == brute_substring(ROWS[:70], 9)
 
 
+def test_many_repeated_rows_without_an_id(spark):
+    text = " ".join(f"r{i}" for i in range(80))
+    data = [(None, text)] * 400 + [(1, text + " tail"), (2, "short")]
+    assert Counter(tuple(r) for r in substring.substring_dedup(frame(spark, data)).collect()) == brute_substring(data)
+    starts = spark.createDataFrame([(None, 5, k % 3, 1 + k % 2) for k in range(600)], substring.STARTS)
+    lists = substring.per_document(starts).first()
+    assert sorted(zip(lists["at"], lists["n"])) == [(a, n) for a in range(3) for n in (1, 2)]
+
+
 def test_repeats_across_slices_of_a_task(spark, monkeypatch):
     from reelstats.llm import words as w
     monkeypatch.setattr(w.slices, "__defaults__", ("text", 2000))

@@ -1,0 +1,239 @@
+"""SimHash with BK-trees, and whitening from bit planes, against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from reelstats.llm import queries, simhash, whitening
+from tests.conftest import SF01
+
+
+# ---------------------------------------------------------------- SimHash
+def brute_fingerprint(text):
+    low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    grams = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    ones = [0] * 64
+    for g in grams:
+        h = xxhash.xxh64_intdigest(g.encode(), 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(grams))
+
+
+def brute_components(prints, radius=2):
+    """{doc_id: smallest doc_id reachable} from (doc_id, fingerprint) rows."""
+    values = np.array([p for _, p in prints], np.uint64)
+    parent = list(range(len(prints)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(prints)):
+        for j in np.flatnonzero(np.bitwise_count(values[:i] ^ values[i]) <= radius):
+            parent[root(i)] = root(int(j))
+    least = {}
+    for i, (d, _) in enumerate(prints):
+        if d is not None:
+            least[root(i)] = min(d, least.get(root(i), d))
+    return {(d, f"{p:016x}", least.get(root(i))) for i, (d, p) in enumerate(prints)}
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, 0, 0, "x") for d, t in rows],
+                                 "doc_id long, text string, fp int, mask int, root string")
+
+
+def odd_texts():
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(300)] + ["İX", "É", "straße", "A B"]
+    base = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    for i, t in enumerate(base):
+        parts = t.split(" ")
+        for k in range(3):
+            parts[rng.randrange(len(parts))] = rng.choice(words)
+            rows.append((1000 + 10 * i + k, " ".join(parts)))
+    rows += [(2000, None), (2001, ""), (2002, " \t\n"), (None, ""), (None, "only without id"), (2003, "One two"),
+             (2004, "one  TWO"), (2005, "one"), (2006, "x y z " * 60_000), (2007, "x y z " * 60_001)]
+    rows += [(3000 + i, "the same copy of one text") for i in range(200)] + [(3000, "the same copy of one text")] * 5
+    return rows
+
+
+def test_fingerprints_and_components_equal_brute_force(spark):
+    rows = odd_texts()
+    got = simhash.near_duplicates(frame(spark, rows))
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    want = brute_components([(d, brute_fingerprint(t)) for d, t in rows])
+    found = got.collect()
+    assert len(found) == len(rows)
+    assert {tuple(r) for r in found} == want
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(frame(spark, odd_texts()).where("false")).count() == 0
+
+
+def close_prints(n=900):
+    """Dense balls, chains and loners."""
+    rng = random.Random(2)
+    out = {0, (1 << 64) - 1}
+    centres = [rng.getrandbits(64) for _ in range(6)]
+    while len(out) < n:
+        x = rng.choice(centres)
+        for _ in range(rng.randrange(5)):
+            x ^= 1 << rng.randrange(64)
+        out.add(x)
+        if rng.random() < 0.3:
+            out.add(rng.getrandbits(64))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("most", [6, 40, 4096])
+def test_links_survive_any_shard_bound(spark, most):
+    """Small bounds cut shards over many rounds; the components stay those of all pairs."""
+    prints = close_prints()
+    df = spark.createDataFrame([(simhash.signed(p),) for p in prints], "fp long")
+    members = simhash.shards(df, most=most)
+    assert members.groupBy("mask", "value").count().agg(F.max("count")).first()[0] <= most
+    edges = simhash.links(df, most=most, block=7).collect()
+    mask = simhash.ALL_BITS
+    assert all(((r.u & mask) ^ (r.v & mask)).bit_count() <= 2 for r in edges)
+    parent = {p: p for p in prints}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in edges:
+        parent[root(r.u & mask)] = root(r.v & mask)
+    groups = {}
+    for p in prints:
+        groups.setdefault(root(p), set()).add(p)
+    want = {}
+    for d, _, c in brute_components(list(enumerate(prints))):
+        want.setdefault(c, set()).add(prints[d])
+    assert {frozenset(g) for g in groups.values()} == {frozenset(g) for g in want.values()}
+
+
+def test_shards_smaller_than_a_radius_are_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.shards(spark.createDataFrame([(1,)], "fp long"), most=3)
+
+
+def test_tree_children_are_keyed_by_distance_and_searches_are_exact():
+    prints = close_prints(400)
+    values, children = simhash.unpack_tree(simhash.build_tree(np.array(prints, np.uint64)).tobytes())
+    for at, kids in enumerate(children):
+        assert len({d for d, _ in kids}) == len(kids)
+        assert all((values[at] ^ values[node]).bit_count() == d for d, node in kids)
+    for q in prints[::7]:
+        for radius in (0, 2, 5):
+            hits = {values[i] for i in simhash.search(values, children, q, radius)}
+            assert hits == {p for p in prints if (p ^ q).bit_count() <= radius}
+
+
+def test_query_on_the_whole_table(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()
+    want = brute_components([(r.doc_id, brute_fingerprint(r.text)) for r in docs])
+    got = queries.LLM_QUERIES["op12_simhash"](spark, SF01).collect()
+    assert len(got) == len(docs) and {tuple(r) for r in got} == want
+
+
+# ---------------------------------------------------------------- whitening
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, "x", 0) for i, v in rows],
+                                 "vec_id long, embedding array<double>, x string, n int")
+
+
+def check(got, rows, k=4):
+    """All columns against plain numpy and Python integers."""
+    good = [(i, [int(np.floor(256 * c)) for c in v]) for i, v in rows]
+    fit = sorted({tuple(v) for _, v in good})
+    n, dims = len(fit), len(fit[0])
+    sums = [sum(v[d] for v in fit) for d in range(dims)]
+    cov = np.array([[(n * sum(v[a] * v[b] for v in fit) - sums[a] * sums[b]) / n**2 for b in range(dims)]
+                    for a in range(dims)])
+    values, vecs = np.linalg.eigh(cov)
+    values, vecs = values[::-1][:k], vecs[:, ::-1][:, :k]
+    assert len(got) == len(rows) * min(k, dims)
+    by = {}
+    for r in got:
+        assert r.n == n
+        by.setdefault((r.vec_id, r.component), []).append(r)
+    for c in range(min(k, dims)):
+        w = np.array([np.dot([(n * a - s) / n for a, s in zip(v, sums)], vecs[:, c]) for _, v in good])
+        live = values[c] > values[0] * 1e-12
+        mine = np.array([by[i, c + 1][0].whitened if live else np.nan for i, _ in good], float)
+        if live:
+            w = w / np.sqrt(values[c])
+            assert min(np.abs(mine - w).max(), np.abs(mine + w).max()) < 1e-8
+        else:
+            assert all(r.whitened is None for i, _ in good for r in by[i, c + 1])
+        for i, v in good:
+            for r in by[i, c + 1]:
+                assert r.explained == pytest.approx(values[c] / cov.trace(), rel=1e-6, abs=1e-12)
+                exact = sum((n * a - s) ** 2 for a, s in zip(v, sums))
+                assert r.deviation == (exact if exact < 1 << 63 else None)
+                assert r.identity_error < 1e-4
+
+
+def test_rows_equal_exact_arithmetic(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 7)) * [9, 5, 2, 1, 1, .5, .1])]
+    rows += [(1000 + i, rows[0][1]) for i in range(150)] + [(7, rows[7][1])] * 2
+    check([r for r in whitening.whiten(vectors(spark, rows)).collect()], rows)
+
+
+def test_bad_vectors_go_and_few_dimensions_stay(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(40, 2)))]
+    bad = [(900, None), (901, [None, 1.0]), (902, [float("nan"), 1.0]), (903, [1.0, float("-inf")]), (904, [1.0]),
+           (905, [])]
+    got = whitening.whiten(vectors(spark, rows + bad)).collect()
+    assert {r.vec_id for r in got} == {i for i, _ in rows}
+    check(got, rows)
+
+
+def test_rank_deficient_and_constant_vectors(spark):
+    rows = [(i, [float(i), 2.0 * i, 3.0]) for i in range(20)]
+    check(whitening.whiten(vectors(spark, rows)).collect(), rows)
+    for r in whitening.whiten(vectors(spark, [(1, [0.5, 1.0]), (2, [0.5, 1.0])])).collect():
+        assert (r.n, r.deviation, r.whitened, r.explained, r.identity_error) == (1, 0, None, None, None)
+
+
+def test_empty_tables(spark):
+    for rows in ([], [(1, None)], [(1, [])]):
+        out = whitening.whiten(vectors(spark, rows))
+        assert out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+        assert out.count() == 0
+
+
+def test_large_entries_stay_exact(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1e12, 1e12), rng.uniform(-1, 1)]) for i in range(50)]
+    check(whitening.whiten(vectors(spark, rows)).collect(), rows, k=1 + 1)
+
+
+def test_plane_products_are_exact_for_any_longs():
+    rng = np.random.default_rng(9)
+    for span, n in ((5, 1), (300, 63), (300, 64), (300, 1000), (1 << 40, 130), (1 << 62, 10)):
+        x = rng.integers(-span, span, size=(n, 3))
+        for i, j, v in zip(*whitening.cross_products(x)):
+            col = [int(a) for a in x[:, i]]
+            assert v == (sum(col) if j < 0 else sum(a * int(b) for a, b in zip(col, x[:, j])))
+
+
+def test_whitening_query_on_the_whole_table(spark):
+    rows = [(r.vec_id, list(r.embedding)) for r in
+            spark.read.parquet(f"{SF01}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    check(queries.LLM_QUERIES["op13_whitening"](spark, SF01).collect(), rows)

@@ -9,12 +9,12 @@ import pyarrow as pa
 import pytest
 
 from reelstats.llm import arrowfile, packing, pieces
-from reelstats.llm.tokens import TokenEncoder, default_path
+from reelstats.llm.tokens import TokenEncoder, default_path, file_text, may_chunk, vocab_size
 from tests.conftest import SF001
 
 ODD = ["", " ", "  a  b ", "\n\tx\x0b y\r\n", "don't  we'll 'S it's", "É é ΣΑΣ ΌΣΟΣ İ ß ﬁ", "a b c 12 345",
        "<|endoftext|> x<|endoftext|>y <|startoftext|>", "日本語 текст 🙂🙂 ́ x", "word " * 300, "x" * 20000,
-       "end▁mark", " lead", "trail  ", "a\x00b", "re.\nErtion"]
+       "TEKNOLOJİ, YENİ. İ! (İ)", "क़, ﬡ. שׁ! ॐ.", "end▁mark", " lead", "trail  ", "a\x00b", "re.\nErtion"]
 
 
 def odd_docs(spark):
@@ -31,11 +31,59 @@ def library_ids(texts):
 def test_chunked_encoding_equals_the_library():
     import pyarrow.parquet as pq
     texts = ODD + pq.read_table(f"{SF001}/documents.parquet")["text"].to_pylist()
-    ids, offsets = TokenEncoder(default_path()).encode(pa.array(texts))
+    ids, offsets = TokenEncoder(file_text()).encode(pa.array(texts))
     for want, a, b in zip(library_ids(texts), offsets, offsets[1:]):
         assert want.tolist() == ids[a:b].tolist()
 
 
+def fragile_letters():
+    """Letters that normalisation turns into something else than one letter."""
+    import sys
+    import unicodedata
+    out = []
+    for i in range(sys.maxunicode + 1):
+        c = chr(i)
+        if unicodedata.category(c).startswith("L"):
+            low = unicodedata.normalize("NFC", c).lower()
+            if len(low) != 1 or not unicodedata.category(low).startswith("L"):
+                out.append(c)
+    return out
+
+
+def test_cut_letters_stay_letters():
+    import re
+    cut = re.compile(TokenEncoder.CUT)
+    assert fragile_letters() and not any(cut.match(c + ".") for c in fragile_letters())
+
+
+def test_random_texts_equal_the_library():
+    import random
+    marks = ".,!?;:%&#$*()'\"-_~^`<>=|"
+    letters = fragile_letters()
+    texts = [c + m + "x" for c in letters for m in marks] + [f"a{c}{m} b{c}" for c in letters for m in marks[:6]]
+    rng = random.Random(11)
+    pool = letters + list("abcXYZ éÉßÿ×÷ıſΣ日ǅ\u0301\u0307\u00a0\u2003 \t\n0189") + list(marks)
+    texts += ["".join(rng.choices(pool, k=rng.randrange(1, 40))) for _ in range(3000)]
+    ids, offsets = TokenEncoder(file_text()).encode(pa.array(texts))
+    for text, want, a, b in zip(texts, library_ids(texts), offsets, offsets[1:]):
+        assert want.tolist() == ids[a:b].tolist(), repr(text)
+
+
+def test_other_tokenizer_files_encode_whole_texts():
+    import json
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not may_chunk(json.loads(file_text(path))) and may_chunk(json.loads(file_text()))
+    texts = ODD + ["Hello World, this is Ok. 12 x"]
+    tok = Tokenizer.from_file(path)
+    assert vocab_size(file_text(path)) == tok.get_vocab_size()
+    assert vocab_size(file_text()) == Tokenizer.from_file(default_path()).get_vocab_size()
+    ids, offsets = TokenEncoder(file_text(path)).encode(pa.array(texts), None)
+    for e, a, b in zip(tok.encode_batch(texts, add_special_tokens=False), offsets, offsets[1:]):
+        assert e.ids == ids[a:b].tolist()
+
+
 def test_sequences_round_trip(spark, tmp_path):
     docs = odd_docs(spark)
     manifest = arrowfile.write_sequences(docs, folder=str(tmp_path / "s"), seq_len=16, per_batch=4, parts=3)
@@ -112,7 +160,7 @@ def test_hilbert_curve_visits_neighbouring_cells():
 
 def test_like_documents_lie_near_each_other():
     texts = ["the cat sat on the mat and slept"] * 3 + ["quantum chromodynamics lattice gauge"] * 3
-    ids, offsets = TokenEncoder(default_path()).encode(pa.array(texts))
+    ids, offsets = TokenEncoder(file_text()).encode(pa.array(texts))
     keys = packing.curve_keys(ids, offsets)
     assert len(set(keys[:3])) == 1 and len(set(keys[3:])) == 1 and keys[0] != keys[3]
 
