@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstats.operators.skew import split_join
+from reelstats.operators.skew import hot_keys, split_join
 from reelstats.operators.stats import top_n_per_group
 from reelstats.session import materialize
 
@@ -78,7 +78,8 @@ def co_rating_sums(rows: DataFrame, user_col: str = "user_id", item_col: str = "
     heavy = (r.groupBy("u").agg(F.count(F.lit(1)).alias("_n"))
              .where(F.col("_n") > chunk)
              .select("u", F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("nb")))
-    with_nb = split_join(r, heavy, "u", "left").withColumn("nb", F.coalesce(F.col("nb"), F.lit(1)))
+    hot = hot_keys(rows.select(F.col(user_col).alias("u")), "u")  # counted on the scan, not on the aggregate
+    with_nb = split_join(r, heavy, "u", "left", hot).withColumn("nb", F.coalesce(F.col("nb"), F.lit(1)))
     bucketed = with_nb.select("u", "i", "r", "w", "nb",
                               F.pmod(F.xxhash64("i"), F.col("nb")).cast("int").alias("b"))
     left = bucketed.select("u", F.col("b").alias("b1"),
@@ -142,7 +143,8 @@ def weighted_candidates(train: DataFrame, neighbours: DataFrame, user_col: str =
              .groupBy(F.col(user_col), F.col(item_col).alias("seed"))
              .agg(F.count(F.lit(1)).alias("w")))
     nb = neighbours.select(F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim")
-    return split_join(seeds, nb, "seed").select(user_col, item_col, "seed", "sim", "w")
+    hot = hot_keys(rated.select(F.col(item_col).alias("seed")), "seed")
+    return split_join(seeds, nb, "seed", hot=hot).select(user_col, item_col, "seed", "sim", "w")
 
 
 def item_cf_candidates(train: DataFrame, neighbours: DataFrame, user_col: str = "user_id",
@@ -231,7 +233,8 @@ def recommend_unseen_first(train: DataFrame, n: int = 20, user_col: str = "user_
         F.col("item").alias("seed"), F.col("neighbour").alias(item_col), "sim", "_nr"), "ranked-lists")
     length = lists.groupBy("seed").agg(F.max("_nr").alias("_length"))
     seeds = split_join(
-        rated.groupBy(F.col(user_col), F.col(item_col).alias("seed")).agg(F.count(F.lit(1)).alias("w")), length, "seed")
+        rated.groupBy(F.col(user_col), F.col(item_col).alias("seed")).agg(F.count(F.lit(1)).alias("w")), length, "seed",
+        hot=hot_keys(rated.select(F.col(item_col).alias("seed")), "seed"))
     short = materialize(seeds.withColumn("_have", F.lit(0).cast("long")), "open-seeds")
     found, low, high = None, 0, n
     while True:

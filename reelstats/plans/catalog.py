@@ -16,7 +16,7 @@ from reelstats.functions.scalars import (
     epoch_to_year_month, strip_brackets, truncate_toward_zero,
 )
 from reelstats.operators import (
-    als, bitmaps, clean, coding, dashboard, evaluate, itemcf, profile, serve, sketches, stats,
+    als, bitmaps, clean, coding, dashboard, evaluate, itemcf, neighbours, profile, serve, sketches, stats,
 )
 from reelstats.operators.skew import split_join
 from reelstats.plans import sql_text
@@ -33,6 +33,7 @@ ALS_SEED = 42
 SHRINK = (0, 1, 2, 5, 10, 20, 50)  # grid of the shrunken item means
 SQL_MONTHS, SQL_GENRE, SQL_USER = (199501, 199603), "widget", "4"  # arguments of the table functions' queries
 RATING_COLS = ("user_id", "movie_id", "user_rating", "time_stamp")
+HEAVY_USER = 256    # distinct ratings above which a user's pairs are bounded first, in the query on a heavy user
 GRID_PARALLELISM = 4  # concurrent ALS fits in the grid search
 
 
@@ -397,6 +398,18 @@ def item_neighbours(c: Ctx):
     return itemcf.item_neighbours(c.similarity, TOP_N)
 
 
+def _with_heavy_user(c: Ctx):
+    """The training ratings and one user more, who has rated every third movie."""
+    movies = c.train.select("movie_id").where(F.col("movie_id") % 3 == 0).distinct()
+    one = movies.select(F.lit(-1).alias("user_id"), "movie_id", (1 + F.col("movie_id") % 5).cast("double").alias("user_rating"))
+    return c.train.select("user_id", "movie_id", "user_rating").unionByName(one)
+
+
+def item_neighbours_heavy_user(c: Ctx):
+    """Neighbour lists where one user has rated a third of the catalogue: most of that user's pairs are never formed."""
+    return neighbours.pruned_neighbours(_with_heavy_user(c), TOP_N, chunk=HEAVY_USER)
+
+
 def item_neighbours_all(c: Ctx):
     """Every co-rated pair in both directions (no per-item limit)."""
     return itemcf.item_neighbours(c.similarity)
@@ -846,7 +859,7 @@ _ALL = [
     # coding and splits
     dense_code, rating_code, split_hash, split_balance, split_random, split_random_checks, users_min_rated,
     # item-CF
-    rating_with_item_mean, rating_mean_key_mixed, item_similarity, item_neighbours,
+    rating_with_item_mean, rating_mean_key_mixed, item_similarity, item_neighbours, item_neighbours_heavy_user,
     item_neighbours_all, item_cf_candidates, item_cf_top30, item_cf_top30_dedup, item_cf_unseen,
     item_cf_unseen_first, seen_multiset_diff, matched_multiset, explode_recs, array_ops,
     shared_users, unseen_items, shared_users_bitmap, unseen_items_bitmap, overlap_sizes, decode_recs, recs_for_users, missing_names,

@@ -611,3 +611,18 @@ r as (
 w as (select k, matched, matched / (n_users * k) * 100.0 as p, matched / n_records * 100.0 as r from r)
 select cast(k as int) as k, matched, round(p, 6) as precision, round(r, 6) as recall, round(2 * p * r / (p + r), 6) as f1
 from w""")
+SQL["item_neighbours_heavy_user"] = _with(r"""
+, t2 as (
+  select user_id, movie_id, user_rating from train
+  union all select -1, movie_id, 1 + movie_id % 5 from (select distinct movie_id from train where movie_id % 3 = 0) x),
+m2 as (select movie_id as item, avg(user_rating) as mean from t2 group by movie_id),
+p2 as (
+  select a.movie_id as item_a, b.movie_id as item_b, sum(least(a.user_rating, b.user_rating)) as s
+  from t2 a join t2 b on a.user_id = b.user_id and a.movie_id < b.movie_id group by 1, 2),
+s2 as (
+  select item_a, item_b, s / (ma.mean + mb.mean) as sim
+  from p2 join m2 ma on ma.item = item_a join m2 mb on mb.item = item_b)
+select * from (
+  select item, neighbour, sim, cast(row_number() over (partition by item order by sim desc, neighbour) as int) as rank
+  from (select item_a as item, item_b as neighbour, sim from s2 union all select item_b, item_a, sim from s2) x) y
+where rank <= 30""")

@@ -6,7 +6,8 @@ receives new rating files.  State is one count per (month, item) and per
 item, so it is bounded by the catalogue size times the number of months, not
 by the number of ratings.  Each micro-batch rewrites the (small) result
 table; the checkpoint lives in the shared checkpoint folder, so a restarted
-query resumes where it stopped.
+query resumes where it stopped.  There is no watermark: a rating that arrives
+late still counts in its month.
 """
 
 from __future__ import annotations
@@ -40,43 +41,6 @@ def item_counts(ratings: DataFrame, item_col: str = "movie_id") -> DataFrame:
     return ratings.groupBy(item_col).agg(F.count(item_col).alias("count"))
 
 
-def finalized_monthly_counts(ratings: DataFrame, delay: str = "31 days",
-                             item_col: str = "movie_id", ts_col: str = "time_stamp") -> DataFrame:
-    """Streaming (month_start, year_month, item, count) emitted once per closed month.
-
-    Event time is the rating's epoch seconds.  A month is closed when the
-    stream has seen events ``delay`` after the month's first day; its counts
-    are then written once (append mode) and its state is dropped, so the
-    state holds only the open months.  Ratings for a closed month that arrive
-    later do not change it; ``late_rows`` reports how many there were.
-    """
-    event = F.timestamp_seconds(F.col(ts_col).try_cast("bigint"))
-    return (ratings.withColumn("month_start", F.date_trunc("month", event))
-            .where(F.col("month_start").isNotNull())
-            .withWatermark("month_start", delay)
-            .groupBy("month_start", item_col).agg(F.count(item_col).alias("count"))
-            .withColumn("year_month", epoch_to_year_month(F.unix_seconds("month_start"))))
-
-
-def late_rows(query) -> int:
-    """Rows that a query with a watermark left out so far because their month was closed."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
-
-
-def run_append(counts: DataFrame, target: str, checkpoint: str | None = None,
-               available_now: bool = True, processing_time: str | None = None):
-    """Append closed results to a parquet folder (exactly once through the checkpoint)."""
-    spark = counts.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "closed-months-checkpoint")
-    writer = (counts.writeStream.outputMode("append").format("parquet")
-              .option("path", target).option("checkpointLocation", checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
-
-
 def run_to_table(counts: DataFrame, target: str, checkpoint: str | None = None,
                  available_now: bool = True, processing_time: str | None = None):
     """Maintain ``counts`` as a parquet table at ``target``.

@@ -30,21 +30,16 @@ def test_stream_matches_batch_and_resumes(spark):
         stats.popular_items_by_month(spark.read.parquet(f"{src}/*")))
 
 
-def test_closed_months_emitted_once_and_late_rows_dropped(spark):
-    schema = popularity.RATING_SCHEMA
-    src, out, ckpt = (scratch_path(spark, n) for n in ("events", "closed", "closed-ckpt"))
-    jan, feb, may = 1704067200, 1706745600, 1714521600   # first days of 2024-01, 2024-02, 2024-05
+def test_late_ratings_count_in_their_month(spark):
+    src, out, ckpt = (scratch_path(spark, n) for n in ("events", "months", "months-ckpt"))
+    jan, may = 1704067200, 1714521600   # first days of 2024-01 and 2024-05
 
-    def put(rows, name):
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/{name}")
-
-    def run():
+    def run(rows, name):
+        spark.createDataFrame(rows, popularity.RATING_SCHEMA).coalesce(1).write.parquet(f"{src}/{name}")
         stream = popularity.rating_stream(spark, f"{src}/*", max_files_per_trigger=1)
-        popularity.run_append(popularity.finalized_monthly_counts(stream), out, ckpt).awaitTermination()
+        popularity.run_to_table(popularity.monthly_counts(stream), out, ckpt).awaitTermination()
         return sorted((r.year_month, r.movie_id, r["count"]) for r in spark.read.parquet(out).collect())
 
-    put([("1", "a", "x", str(jan + 10)), ("2", "a", "x", str(jan + 20)), ("3", "b", "x", str(feb + 5))], "p1")
-    assert run() == [(202401, "a", 2)]
-    # May moves the watermark past February; the January row is late and dropped
-    put([("4", "a", "x", str(may + 1)), ("5", "a", "x", str(jan + 30))], "p2")
-    assert run() == [(202401, "a", 2), (202402, "b", 1)]
+    assert run([("1", "a", "x", str(jan + 10)), ("4", "a", "x", str(may + 1))], "p1") == [
+        (202401, "a", 1), (202405, "a", 1)]
+    assert run([("5", "a", "x", str(jan + 30))], "p2") == [(202401, "a", 2), (202405, "a", 1)]
