@@ -9,7 +9,8 @@ is padded; its mask says where.  The written manifest names the files of the
 tasks that succeeded, so a task that ran twice leaves nothing in the result.
 
 Defined results: null texts are empty (the end id alone); documents without an
-id come first; documents of one id follow each other by text; an empty table
+id come first; documents of one id follow each other by text, repeated rows as
+often as they are there; texts of any length are encoded whole; an empty table
 gives an empty manifest; other columns never matter.
 """
 
@@ -33,11 +34,26 @@ MANIFEST = "part long, path string, n_docs long, n_tokens long, n_sequences long
 RECORDS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+# Names that Hadoop and Arrow give to the same store.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "wasbs": "abfss"}
+
+
+def arrow_uri(path: str) -> str:
+    """The URI by which Arrow knows a Hadoop path: other scheme names, three slashes for a local file."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return "file://" + path
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI or of a plain local path."""
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path[len("file:"):])
+    """File system and path of a Hadoop URI or of a plain local path."""
+    uri = arrow_uri(path)
+    if uri.startswith("file://"):
+        return pafs.LocalFileSystem(), uri.removeprefix("file://")
+    return pafs.FileSystem.from_uri(uri)
 
 
 def sequence_schema(seq_len: int, dtype: pa.DataType) -> pa.Schema:

@@ -9,7 +9,8 @@ one ordinary shuffle of one row per digest and task; a digest left to it is on a
 most about 2/counters of the rows.
 
 Defined results: documents without an id sort after those with one; of repeated
-rows of one id exactly one is kept; an empty table gives an empty table; input
+rows of one id exactly one is kept; texts of any length are hashed whole; an empty
+table gives an empty table; input
 columns other than the id and the text never matter, whatever their names.
 """
 

@@ -20,7 +20,9 @@ Defined results: null is empty text; texts without lexicon terms are hashed by
 all their terms, texts without terms share one fingerprint; equal texts have
 equal fingerprints and likeness 1; the order is by id, documents without an id
 below all others, rows of one id by a hash of their texts; a single document is
-its own neighbour; an empty table gives no rows; other columns never matter.
+its own neighbour; documents without an id form the lowest range, which one task
+reads in slices; texts of any length are read whole; an empty table gives no rows;
+other columns never matter.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.llm.words import Words, mix, slices, texts_of
-from reelstats.session import materialize
+from reelstats.session import materialize, parts_for
 
 LEAST, MOST = 1e-3, 0.1
 SUBSETS, HEX = 32, 6
@@ -254,7 +256,7 @@ def print_pairs(lex: np.ndarray):
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST,
                  most: float = MOST, parts: int | None = None) -> DataFrame:
     """Per document its fingerprint, that of its edited text, and the likenesses to it and to the next document."""
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or parts_for(docs)
     lex = lexicon(docs, text_col, least, most)
     ranged = neighbours(docs, id_col, text_col, parts).select("bucket", "after", "doc_id", "tie", "text")
     return (ranged.mapInArrow(packed_texts(), PACKED).repartitionById(parts, F.col("bucket"))

@@ -200,7 +200,7 @@ m AS (
 f AS (
   SELECT * FROM m WHERE share >= least AND (shift = 0 OR NOT EXISTS (
     SELECT 1 FROM m b WHERE b.rid = m.rid AND b.template = m.template AND abs(b.diagonal - m.diagonal) <= {MAX_SHIFT}
-      AND (b.share > m.share OR (b.share = m.share AND b.diagonal < m.diagonal)))),
+      AND (b.share > m.share OR (b.share = m.share AND b.diagonal < m.diagonal))))),
 r AS (
   SELECT rid, count(*) FILTER (WHERE is_base) AS n_base, min(first) FILTER (WHERE is_base) AS first_word,
          max(first) FILTER (WHERE is_base) AS last_word,

@@ -9,7 +9,9 @@ are powers of two, so there is no padding at all.
 
 Defined results: null texts are empty (the end id alone); documents with one
 key follow each other by id, without an id first, so a large group of copies
-spreads over tasks; an empty table gives no pieces; other columns never matter.
+spreads over tasks; repeated rows are packed as often as they are there; texts of
+any length are cut over as many sequences as they need; an empty table gives no
+pieces; other columns never matter.
 """
 
 from __future__ import annotations

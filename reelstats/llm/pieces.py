@@ -17,8 +17,10 @@ handled too; its texts are then single chunks.
 A vocabulary file whose scores are merge ranks (a BPE file) has no log scores;
 they follow from the rank by Zipf's law, a fixed rule, nothing is trained.
 
-Defined results: null is empty text, which has no pieces; other columns never
-matter; repeated rows give repeated results.
+Defined results: null is empty text, which has no pieces; of paths of equal score
+the one that the library takes stands; texts of any length are encoded whole;
+repeated rows give repeated results; an empty table gives no rows; other columns
+never matter.
 """
 
 from __future__ import annotations

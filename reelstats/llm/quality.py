@@ -16,7 +16,8 @@
 Defined results: null is empty text; a missing host or path counts as one site
 with an empty name; documents labelled more than once count with their mean;
 without both classes among the labels the evidence is the global rate and every
-document stays; repeated rows give repeated results; an empty table gives no rows;
+document stays; documents of equal scores share their fate; texts of any length are
+read whole; repeated rows give repeated results; an empty table gives no rows;
 other columns never matter.
 """
 

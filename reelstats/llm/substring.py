@@ -19,7 +19,8 @@ occurrences.
 
 Defined results: null and empty texts have no words; repeated rows repeat each
 other's windows; rows of one id are told apart by their texts; documents without
-an id take part; an empty table gives no rows; other columns never matter.
+an id take part; texts of any length are read whole; an empty table gives no rows;
+other columns never matter.
 """
 
 from __future__ import annotations

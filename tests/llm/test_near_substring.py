@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from reelstats.llm import graph, near, queries, stream, substring
 from tests.conftest import SF001
@@ -190,6 +191,17 @@ def test_a_pair_that_meets_late_is_tied_at_a_shorter_prefix(spark):
     assert got[3] == 7 and max(got[1], got[2]) == 8
 
 
+def test_filter_keeps_all_wanted_texts_and_few_others(spark):
+    texts = spark.range(20_000).selectExpr("nullif(id, 7) as doc_id", "xxhash64(id) as tie", "string(id) as text")
+    wanted = texts.where("doc_id % 50 = 0 or doc_id is null").select("doc_id", "tie").withColumn("node", F.lit(1))
+    for bits in (1 << 28, 1 << 16):
+        kept = near.only_wanted(texts, wanted, bits)
+        assert kept.columns == texts.columns
+        assert kept.where("doc_id % 50 = 0 or doc_id is null").count() == 401
+        assert kept.count() < 401 + 20_000 * (0.02 if bits > 1 << 16 else 0.05)
+    assert near.only_wanted(texts, wanted.where("false")).count() == 0
+
+
 def test_members_of_one_component_are_not_compared():
     digits = np.zeros((6, 320), np.uint8)
     digits[3:] = 9

@@ -52,6 +52,34 @@ def test_equal_texts_have_equal_fingerprints(spark):
     assert all(len(p) == 1 for p in prints.values())
 
 
+def long_texts():
+    """Hand-made texts of up to 300,000 words among short ones."""
+    rng = random.Random(21)
+    words = [f"t{i}" for i in range(500)]
+    long = " ".join(rng.choice(words) for _ in range(300_000))
+    return [(1, long), (2, long), (3, "x" * 2_000_000), (4, "one short text"), (5, long[:-5] + " end"), (6, None)]
+
+
+def test_very_long_texts_are_fingerprinted_whole(spark):
+    data = long_texts()
+    rows = {r.doc_id: r for r in imatch.fingerprints(frame(spark, data)).collect()}
+    assert {i: r.n_chars for i, r in rows.items()} == {i: len(t or "") for i, t in data}
+    assert rows[1].fingerprint == rows[2].fingerprint != rows[4].fingerprint
+    ordered = brute_order(data)
+    for (i, t), (_, u) in zip(ordered, ordered[1:] + ordered[:1]):
+        k = len(t or "") // 2
+        edited = (t or "")[:len(t or "") - k] + (u or "")[:k]
+        assert rows[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_very_long_texts_are_scored(spark):
+    data = long_texts()
+    labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = {r.doc_id: r for r in quality.score_documents(frame(spark, data), labels).collect()}
+    assert set(rows) == {i for i, _ in data} and all(0 <= r.score <= 1 for r in rows.values())
+    assert rows[1].evidence == rows[2].evidence
+
+
 def test_lexicon_is_the_band_of_document_frequencies(spark):
     import re
     data = [(i, t) for i, t in ROWS if t]

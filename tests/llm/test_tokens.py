@@ -109,6 +109,13 @@ def test_sequences_round_trip(spark, tmp_path):
     assert at == len(stream)
 
 
+def test_hadoop_paths_become_arrow_uris():
+    for path, uri in (("s3a://b/x y", "s3://b/x y"), ("file:/tmp/x", "file:///tmp/x"), ("file:///tmp/x", "file:///tmp/x"),
+                      ("/tmp/x", "file:///tmp/x"), ("hdfs://n:8020/x", "hdfs://n:8020/x"), ("s3n://b/x", "s3://b/x")):
+        assert arrowfile.arrow_uri(path) == uri
+    assert arrowfile.open_fs("file:/tmp/x")[1] == arrowfile.open_fs("/tmp/x")[1] == "/tmp/x"
+
+
 def test_empty_tables(spark):
     none = odd_docs(spark).where("false")
     assert arrowfile.read_documents(arrowfile.write_sequences(none)).count() == 0
