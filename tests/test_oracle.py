@@ -33,7 +33,7 @@ def test_every_query_registered_runs_rows_only(spark):
     """Queries without an oracle still build and produce rows."""
     rows_only = [n for n in E.QUERIES if n not in SQL and n != "als_grid"]
     assert set(rows_only) == {"split_random", "als_predict", "rmse_als", "als_top30",
-                              "als_top20", "eval_als"}
+                              "als_top20", "als_pruning", "eval_als"}
     for n in rows_only:
         assert E.queries()[n](spark, SF001).count() > 0, n
 
