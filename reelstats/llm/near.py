@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from reelstats.llm.graph import components
 from reelstats.llm.stream import meeting_rows, sorted_groups
 from reelstats.llm.words import Words, binary_column, grams, mix, slices, texts_of
+from reelstats.operators.bitmaps import key_bitmaps
 from reelstats.operators.skew import split_join
 from reelstats.session import materialize, parts_for
 
@@ -335,6 +336,22 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
+def only_wanted(texts: DataFrame, wanted: DataFrame, most_bits: int = 1 << 28) -> DataFrame:
+    """The rows of ``texts`` whose (doc_id, tie) may be among ``wanted``: all that are, and few others.
+
+    Whole texts are then shuffled only where they are needed.  The filter is one bit per
+    hash value, eight for each wanted row but ``most_bits`` (32 MB) at most, and broadcast.
+    """
+    bits = min(most_bits, 1 << max(20, (8 * wanted.count()).bit_length()))
+    place = (F.pmod(F.xxhash64("doc_id", "tie"), F.lit(bits)) + 1).alias("place")
+    marks = key_bitmaps(wanted.select(place), "place")
+    octet = F.conv(F.hex(F.substring("bitmap", F.floor(F.bitmap_bit_position("place") / 8).cast("int") + 1, F.lit(1))),
+                   16, 10).cast("int")
+    is_set = octet.bitwiseAND(F.expr("cast(shiftleft(1, cast(bitmap_bit_position(place) % 8 as int)) as int)")) != 0
+    marked = texts.withColumn("place", place).withColumn("bucket", F.bitmap_bucket_number("place"))
+    return marked.join(F.broadcast(marks), "bucket").where(is_set).select(*texts.columns)
+
+
 def forest(docs: DataFrame, id_col: str, text_col: str, gram: int, threshold: float, recall: float, trees: int,
            digits: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Documents with their sets, classes, estimated groups (node, root) and depths (node, depth)."""
@@ -377,8 +394,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = (placed.groupBy("root").agg(F.count(F.lit(1)).alias("classes"), F.sum("grams").alias("total"))
              .select("root", F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES),
                                         F.ceil(F.col("total") / BLOCK_GRAMS)).alias("blocks")))
-    wanted = split_join(placed, sizes, "root").select("node", "root", "blocks", "doc_id", "tie")
-    texts = keyed(docs, id_col, text_col).withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
+    wanted = materialize(split_join(placed, sizes, "root").select("node", "root", "blocks", "doc_id", "tie"), "wanted")
+    texts = only_wanted(keyed(docs, id_col, text_col), wanted).withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
     joined = wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
     one_each = joined.select("node", "root", "blocks", "text")
     sets = one_each.mapInArrow(attach_sets(gram), "node long, root long, blocks long, grams binary")
