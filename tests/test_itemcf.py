@@ -204,3 +204,45 @@ def test_similarity_properties(spark):
                     want[(a, b)] = want.get((a, b), 0) + 1
     got = {(r.item_a, r.item_b): r.n_common for r in itemcf.co_rating_sums(train, chunk=5).collect()}
     assert got == want
+
+
+def _above_lists(df):
+    """The plan above the point where lists unfold to pairs."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[:plan.index("inline(")]
+
+
+def test_pairs_are_not_shuffled_after_they_unfold(spark):
+    rng = random.Random(4)
+    train = spark.createDataFrame([(u, i, float(rng.randint(1, 5))) for u in range(30) for i in rng.sample(range(40), 9)],
+                                  SCHEMA)
+    for df in (itemcf.item_similarity(train), itemcf.item_similarity(train, chunk=3), itemcf.co_rating_sums(train)):
+        above = _above_lists(df)
+        assert "Exchange" not in above and "Join" not in above
+
+
+def test_lists_of_a_frequent_item_are_dealt_and_copies_weigh(spark):
+    rng = random.Random(8)
+    rows = [(u, i, float(rng.randint(1, 5))) for u in range(80)
+            for i in [0] * 8 + rng.sample(range(1, 60), 6)]
+    rows += rows[:40] + [(0, 0, 2.0), (None, 3, 1.0), (3, None, 1.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert itemcf.hot_keys(df.select("movie_id"), "movie_id")
+    want = {}
+    for u in range(80):
+        mine = [(i, r) for v, i, r in rows if v == u and i is not None]
+        for a, ra in mine:
+            for b, rb in mine:
+                if a < b:
+                    s, n = want.get((a, b), (0.0, 0))
+                    want[a, b] = (s + min(ra, rb), n + 1)
+    for chunk in (3, 10**6):
+        got = itemcf.co_rating_sums(df, chunk=chunk).collect()
+        assert len(got) == len(want) and {(x.item_a, x.item_b): (x.s, x.n_common) for x in got} == want
+
+
+def test_tasks_grow_with_the_rows_that_lists_make(spark):
+    assert itemcf.tasks_for(spark.range(1), 10) == 4
+    assert itemcf.tasks_for(spark.range(1), 100 * itemcf.TASK_ROWS + 1) == 101
+    df = spark.createDataFrame([(1, i, 1.0) for i in range(5)] + [(2, 1, 1.0), (None, 1, 1.0)], SCHEMA)
+    assert itemcf.pair_work(df, "user_id") == (5, 10)
