@@ -1,9 +1,9 @@
 """Sets of integer keys as bitmaps in buckets of 32,768 keys.
 
 A bucket of a set is one bitmap of 4 KB, however many rows named its keys; sets
-are united, intersected and counted bucket by bucket.  Bitmaps are built with
-map-side combining, so a group with a third of all rows sends one bitmap per
-bucket and task.  Meant for dense codes (``coding.dense_code``) or ids close to it.
+are united, intersected and counted bucket by bucket.  Repeated keys are combined
+map-side and the distinct keys of a bucket, 32,768 at most, make its bitmap in one
+task, so a group with a third of all rows is spread by its buckets.  Meant for dense codes (``coding.dense_code``) or ids close to it.
 """
 
 from __future__ import annotations
@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 def key_bitmaps(df: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
     """(by..., bucket, bitmap) of the distinct keys, per group of ``by``; null keys are in no set."""
     known = df.where(F.col(key).isNotNull())
-    return known.groupBy(*(by or []), F.bitmap_bucket_number(key).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("bitmap"))
+    cols = [*(by or []), "bucket"]
+    # keys are small and meet first: a bitmap is never sorted, and none is shuffled to be built
+    places = known.select(*(by or []), F.bitmap_bucket_number(key).alias("bucket"),
+                          F.bitmap_bit_position(key).alias("_bit")).distinct().repartition(*cols)
+    return places.groupBy(*cols).agg(F.bitmap_construct_agg("_bit").alias("bitmap"))
 
 
 def union(a: DataFrame, b: DataFrame, by: list[str] | None = None) -> DataFrame:

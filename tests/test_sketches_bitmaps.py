@@ -80,3 +80,13 @@ def test_steps_are_counted_by_the_pass_that_writes(spark):
     got = profile.from_steps(steps).first().asDict()
     want = profile.profile_table(movies, "movies").first().asDict()
     assert got == {k: want[k] for k in got} and set(got) == set(want)
+
+
+def test_bitmaps_are_neither_sorted_nor_shuffled_to_be_built(spark):
+    df = spark.createDataFrame([(i % 50, i % 7) for i in range(400)] + [(1, None), (None, 2)], "g int, k int")
+    sets = bitmaps.sizes(bitmaps.key_bitmaps(df, "k", ["g"]), ["g"], "n")
+    plan = sets._jdf.queryExecution().executedPlan().toString().splitlines()
+    built = max(i for i, line in enumerate(plan) if "bitmap_construct_agg" in line)  # the lowest: reads the keys
+    above = [line for line in plan[:built] if "Sort [" in line or "Exchange" in line]
+    assert not [line for line in above if "bitmap" in line] and len([x for x in above if "Sort [" in x]) == 0
+    assert {r.g: r.n for r in sets.collect()} == {**{g: 7 for g in range(50)}, None: 1}
