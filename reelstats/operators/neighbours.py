@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.operators.itemcf import (
-    DEFAULT_CHUNK, co_rating_sums, item_means, item_neighbours, item_similarity,
+    DEFAULT_CHUNK, co_rating_groups, item_means, item_neighbours, item_similarity,
 )
 from reelstats.operators.skew import split_join
 from reelstats.operators.stats import top_n_per_group
@@ -37,11 +37,14 @@ def rating_rows(train: DataFrame, user_col: str, item_col: str, rating_col: str)
         F.count(F.lit(1)).alias("w"))
 
 
-def both_ways(sums: DataFrame, means: DataFrame) -> DataFrame:
-    """(a, b, s, ma, mb) in both directions from sums of unordered pairs."""
-    two = F.explode(F.array(F.struct(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "s"),
-                            F.struct(F.col("item_b").alias("a"), F.col("item_a").alias("b"), "s")))
-    return with_means(sums.select(two.alias("p")).select("p.*"), means)
+def both_ways(sums: DataFrame) -> DataFrame:
+    """(a, b, s, ma, mb) in both directions from sums of unordered pairs that carry both means."""
+    two = F.explode(F.array(
+        F.struct(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "s", F.col("mean_a").alias("ma"),
+                 F.col("mean_b").alias("mb")),
+        F.struct(F.col("item_b").alias("a"), F.col("item_a").alias("b"), "s", F.col("mean_b").alias("ma"),
+                 F.col("mean_a").alias("mb"))))
+    return sums.select(two.alias("p")).select("p.*")
 
 
 def with_means(pairs: DataFrame, means: DataFrame) -> DataFrame:
@@ -123,7 +126,7 @@ def pruned(train: DataFrame, k: int, user_col: str = "user_id", item_col: str =
     once = materialize(one_row_each(heavy), "heavy-items")
     light = materialize(split_join(rows, heavy_users, "u", "left_anti"), "light-ratings")
     copies = light.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))))
-    pairs = materialize(both_ways(co_rating_sums(copies, "u", "i", "r", chunk), means), "light-pairs")
+    pairs = materialize(both_ways(co_rating_groups(copies, "u", "i", "r", chunk, means)), "light-pairs")
     sim = F.col("s") / (F.col("ma") + F.col("mb"))
     kth = top_n_per_group(pairs.select("a", "b", sim.alias("sim")), ["a"], [F.desc("sim"), F.asc("b")], k).where(
         F.col("rank") == k).select(F.col("a").alias("i"), F.col("sim").alias("bound"))
