@@ -28,7 +28,7 @@ Plan notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstats.operators.skew import hot_keys, partitions, split_join
@@ -37,6 +37,8 @@ from reelstats.session import materialize
 
 DEFAULT_CHUNK = 2048
 TASK_ROWS = 1 << 20  # rows that one task makes of its lists
+CELLS = 1 << 20      # hash cells of the items' bounds, 4 bytes each
+HEADS = 4            # neighbours of a seed that are read for a user's bound
 
 
 def users_min_rated(df: DataFrame, n: int, user_col: str = "user_id") -> DataFrame:
@@ -178,8 +180,33 @@ def item_similarity(train: DataFrame, user_col: str = "user_id", item_col: str =
     return sums.select("item_a", "item_b", (F.col("s") / (F.col("mean_a") + F.col("mean_b"))).alias("sim"))
 
 
-def item_neighbours(sim: DataFrame, k: int | None = None) -> DataFrame:
-    """Symmetric (item, neighbour, sim) rows; with ``k`` only the best k per item."""
+def kth_floors(sim: DataFrame, k: int, items: DataFrame) -> tuple[Column, int]:
+    """(array, cells): what the k-th best similarity of every item of a hash cell reaches at least.
+
+    An item's pairs as ``item_a`` lie in one task; the k-th best of them is a lower bound of its final
+    k-th best.  A cell holds the least bound of its ``items``, minus infinity if one of them has fewer
+    than ``k`` such pairs.  The array has a bounded number of cells: with more items
+    it holds back less.
+    """
+    cells = min(max(1 << 10, 1 << (2 * items.count()).bit_length()), CELLS)
+    forward = sim.select(F.col("item_a").alias("item"), "sim")
+    kth = (top_n_per_group(forward, ["item"], [F.desc("sim")], k).where(F.col("rank") == k)
+           .select("item", F.col("sim").alias("bound")))
+    lowest = (items.join(kth, "item", "left").groupBy(F.pmod(F.xxhash64("item"), F.lit(cells)).alias("id"))
+              .agg(F.min("bound").alias("bound"), F.count_if(F.col("bound").isNull()).alias("open")))
+    # single precision, rounded down; sums of the two evaluations may differ in their last digits
+    floor = F.when(F.col("open") == 0, F.col("bound") - F.abs("bound") * 1e-6).cast("float")
+    every = sim.sparkSession.range(cells).join(lowest, "id", "left").select(
+        F.struct("id", F.coalesce(floor, F.lit(float("-inf")).cast("float")).alias("floor")).alias("c"))
+    return every.agg(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["floor"]).alias("floors")).scalar(), cells
+
+
+def item_neighbours(sim: DataFrame, k: int | None = None, items: DataFrame | None = None) -> DataFrame:
+    """Symmetric (item, neighbour, sim) rows; with ``k`` only the best k per item.
+
+    ``items`` (item), all items whose lists are wanted, lets pairs that cannot be among
+    an item's best k be left out before they are sorted and shuffled.
+    """
     # one pass over the pairs: each row yields both directions
     both = sim.select(F.explode(F.array(
         F.struct(F.col("item_a").alias("item"), F.col("item_b").alias("neighbour"), "sim"),
@@ -187,6 +214,11 @@ def item_neighbours(sim: DataFrame, k: int | None = None) -> DataFrame:
     )).alias("p")).select("p.item", "p.neighbour", "p.sim")
     if k is None:
         return both
+    if items is not None:
+        kind = sim.schema["item_a"].dataType
+        floors, cells = kth_floors(sim, k, items.select(F.col("item").cast(kind).alias("item")).distinct())
+        floor = F.get(floors, F.pmod(F.xxhash64("item"), F.lit(cells)).cast("int"))
+        both = both.where((floor == F.lit(float("-inf"))) | (F.col("sim") >= floor))
     return top_n_per_group(both, ["item"], [F.desc("sim"), F.asc("neighbour")], k)
 
 
@@ -215,6 +247,45 @@ def weighted_candidates(train: DataFrame, neighbours: DataFrame, user_col: str =
     return split_join(seeds, nb, "seed", hot=hot).select(user_col, item_col, "seed", "sim", "w")
 
 
+def neighbour_lists(neighbours: DataFrame) -> DataFrame:
+    """(seed, names, sims): ranked (item, neighbour, sim, rank) rows as one row per item."""
+    entry = F.struct("rank", F.col("neighbour").alias("name"), "sim")
+    return (neighbours.groupBy(F.col("item").alias("seed")).agg(F.sort_array(F.collect_list(entry)).alias("l"))
+            .select("seed", F.col("l.name").alias("names"), F.col("l.sim").alias("sims")))
+
+
+def reachable_candidates(train: DataFrame, neighbours: DataFrame, n: int, user_col: str = "user_id",
+                         item_col: str = "movie_id", min_rated: int = 1, users: DataFrame | None = None,
+                         dedupe: bool = False) -> DataFrame:
+    """The ``weighted_candidates`` that can be among a user's best ``n``, from ranked neighbours.
+
+    The first ``HEADS`` neighbours of all seeds of a user say what the user's n-th best
+    similarity reaches at least; of the lists only what reaches it is sent.  A user
+    with fewer than ``n`` such rows gets whole lists.  With ``dedupe`` rows of one item count once.
+    """
+    rated = users_min_rated(train, min_rated, user_col)
+    if users is not None:
+        rated = rated.join(users.select(user_col), user_col, "left_semi")
+    seeds = materialize(rated.groupBy(F.col(user_col), F.col(item_col).alias("seed"))
+                        .agg(F.count(F.lit(1)).alias("w")), "user-seeds")
+    lists = materialize(neighbour_lists(neighbours), "neighbour-lists")
+    hot, hot_users = hot_keys(seeds.select("seed"), "seed"), hot_keys(seeds.select(user_col), user_col)
+    heads = lists.select("seed", *[F.slice(c, 1, HEADS).alias(c) for c in (("names", "sims") if dedupe else ("sims",))])
+    first = split_join(seeds.select(user_col, "seed"), heads, "seed", hot=hot)
+    if dedupe:
+        first = (first.select(user_col, F.inline(F.arrays_zip("names", "sims"))).groupBy(user_col, "names")
+                 .agg(F.max("sims").alias("sim")))
+    else:
+        first = first.select(user_col, F.explode("sims").alias("sim"))
+    least = (top_n_per_group(first, [user_col], [F.desc("sim")], n).where(F.col("rank") == n)
+             .select(user_col, F.col("sim").alias("least")))
+    bounded = split_join(seeds, least, user_col, "left", hot_users)
+    return (split_join(bounded, lists, "seed", hot=hot)
+            .select(user_col, "seed", "w", "least", F.inline(F.arrays_zip("names", "sims")))
+            .where(F.col("least").isNull() | (F.col("sims") >= F.col("least")))
+            .select(user_col, F.col("names").alias(item_col), "seed", F.col("sims").alias("sim"), "w"))
+
+
 def item_cf_candidates(train: DataFrame, neighbours: DataFrame, user_col: str = "user_id",
                        item_col: str = "movie_id", min_rated: int = 1) -> DataFrame:
     """(user, item, seed, sim): every neighbour of every rated row (copies kept)."""
@@ -251,9 +322,9 @@ def item_cf_recommend(train: DataFrame, n: int = 30, user_col: str = "user_id",
     """
     sim = similarity if similarity is not None else item_similarity(
         train, user_col, item_col, rating_col, mean_key, chunk)
-    nb = item_neighbours(sim, n)
+    nb = item_neighbours(sim, n, train.select(F.col(item_col).alias("item")).where("item is not null"))
     # the similarity always uses every user; ``users`` only limits who is served
-    cand = weighted_candidates(train, nb, user_col, item_col, min_rated, users, n)
+    cand = reachable_candidates(train, nb, n, user_col, item_col, min_rated, users, dedupe)
     if dedupe:
         # max of (sim, -seed): best similarity, then the smallest seed reaching it
         best = F.max(F.struct(F.col("sim"), F.negative("seed").alias("neg"))).alias("best")

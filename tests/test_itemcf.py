@@ -246,3 +246,43 @@ def test_tasks_grow_with_the_rows_that_lists_make(spark):
     assert itemcf.tasks_for(spark.range(1), 100 * itemcf.TASK_ROWS + 1) == 101
     df = spark.createDataFrame([(1, i, 1.0) for i in range(5)] + [(2, 1, 1.0), (None, 1, 1.0)], SCHEMA)
     assert itemcf.pair_work(df, "user_id") == (5, 10)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_held_back_neighbours_keep_every_list(spark, seed):
+    rows = random_ratings(seed, n_users=60, n_items=30)
+    train = spark.createDataFrame(rows + [(u, 1000, 3.0) for u in range(1, 9)], SCHEMA)  # only ever item_b
+    sim = itemcf.item_similarity(train)
+    items = train.select(F.col("movie_id").alias("item"))
+    cols = ["item", "neighbour", "rank"]
+    for k in (1, 4, 40):
+        plain = sorted(map(tuple, itemcf.item_neighbours(sim, k).select(*cols).collect()))
+        held = itemcf.item_neighbours(sim, k, items)
+        assert sorted(map(tuple, held.select(*cols).collect())) == plain
+    floors, _ = itemcf.kth_floors(sim, 4, items.distinct())
+    known = [x for x in spark.range(1).select(floors.alias("f")).first()["f"] if x > float("-inf")]
+    assert len(known) > 5
+
+
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_only_candidates_that_reach_the_bound_are_sent(spark, dedupe):
+    n = 5
+    # sums of 2 to 40 common users: similarities differ widely within a list
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(1, 120) for i in range(1, 40) if (u * 7 + i * i) % 11 < 4]
+    rows += [(500, 1, 4.0), (500, 1, 4.0), (501, 2, 1.0)]
+    train = spark.createDataFrame(rows, SCHEMA)
+    sim = itemcf.item_similarity(train)
+    nb = itemcf.item_neighbours(sim, n)
+    every = itemcf.weighted_candidates(train, nb)
+    sent = itemcf.reachable_candidates(train, nb, n, dedupe=dedupe)
+    assert 0 < sent.count() < every.count() * 0.8
+    assert sent.exceptAll(every.select(*sent.columns)).count() == 0
+    order = [F.desc("sim"), F.asc("movie_id"), F.asc("seed")]
+    if dedupe:
+        def best(df):
+            one = df.groupBy("user_id", "movie_id").agg(F.max("sim").alias("sim"))
+            return sorted(map(tuple, top_n_per_group(one, ["user_id"], order[:2], n).drop("sim").collect()))
+    else:
+        def best(df):
+            return sorted(map(tuple, top_n_per_group(df, ["user_id"], order, n).drop("sim").collect()))
+    assert best(sent) == best(every)
