@@ -286,3 +286,27 @@ def test_only_candidates_that_reach_the_bound_are_sent(spark, dedupe):
         def best(df):
             return sorted(map(tuple, top_n_per_group(df, ["user_id"], order, n).drop("sim").collect()))
     assert best(sent) == best(every)
+
+
+def test_unseen_first_writes_no_whole_lists(spark, monkeypatch):
+    n, written = 2, []
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(1, 60) for i in range(1, 40) if (u * 7 + i * i) % 11 < 3]
+    rows += [(500, i, 3.0) for i in range(1, 30)]  # has seen most neighbours: read on
+    train = spark.createDataFrame(rows, SCHEMA)
+    plain = itemcf.materialize
+
+    def watched(df, name, *args):
+        out = plain(df, name, *args)
+        written.append((name, out))
+        return out
+    monkeypatch.setattr(itemcf, "materialize", watched)
+    got = itemcf.recommend_unseen_first(train, n)
+    first = next(df for name, df in written if name == "ranked-lists")
+    assert first.columns == ["seed", "names", "sims"]
+    assert first.agg(F.max(F.size("names"))).first()[0] == 2 * n
+    assert sum(name == "ranked-lists" for name, _ in written) > 1
+    nb = itemcf.item_neighbours(itemcf.item_similarity(train))
+    unseen = itemcf.weighted_candidates(train, nb).join(train.select("user_id", "movie_id"), ["user_id", "movie_id"], "left_anti")
+    want = top_n_per_group(unseen, ["user_id"], [F.desc("sim"), F.asc("movie_id"), F.asc("seed")], n)
+    cols = ["user_id", "rank", "movie_id", "seed"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
