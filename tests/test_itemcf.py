@@ -288,6 +288,17 @@ def test_only_candidates_that_reach_the_bound_are_sent(spark, dedupe):
     assert best(sent) == best(every)
 
 
+@pytest.mark.parametrize("cell_rows", [40, 1 << 22])
+def test_candidate_totals_equal_the_unfolded_candidates(spark, cell_rows):
+    rows = random_ratings(8, n_users=40, n_items=25) + [(None, 3, 2.0), (7, None, 2.0)]
+    train = spark.createDataFrame(rows, SCHEMA)
+    nb = itemcf.item_neighbours(itemcf.item_similarity(train))
+    want = itemcf.item_cf_candidates(train, nb).groupBy("user_id", "movie_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("seed").alias("n_seeds"), F.max("sim").alias("best_sim"))
+    got = itemcf.candidate_totals(train, nb, cell_rows=cell_rows)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
 def test_unseen_first_writes_no_whole_lists(spark, monkeypatch):
     n, written = 2, []
     rows = [(u, i, float(1 + (u * i) % 5)) for u in range(1, 60) for i in range(1, 40) if (u * 7 + i * i) % 11 < 3]
