@@ -74,8 +74,10 @@ class Ctx:
         return materialize(fixtures.ratings(self.spark, self.sf_dir), "ratings")
     @cached_property
     def split(self):
-        # written once, partitioned by part: the model queries read it many times
-        return materialize(coding.hash_split(self.ratings), "ratings_split", ["split"])
+        # written once, partitioned by part: the model queries read it many times; straight from
+        # the tables unless the query has written the ratings for something else as well
+        ratings = self.ratings if "ratings" in self.__dict__ else fixtures.ratings(self.spark, self.sf_dir)
+        return materialize(coding.hash_split(ratings), "ratings_split", ["split"])
     @cached_property
     def train(self): return fixtures.split_part_of(self.split, "train")
     @cached_property
@@ -87,9 +89,13 @@ class Ctx:
     @cached_property
     def similarity(self): return itemcf.item_similarity(self.train)
     @cached_property
-    def top30(self): return itemcf.item_cf_recommend(self.train, TOP_N, similarity=self.similarity)
+    def top30(self): return itemcf.item_cf_recommend(self.train, TOP_N)
     @cached_property
-    def unseen20(self): return itemcf.remove_seen(self.top30, self.train, SERVE_N)
+    def recs30(self):
+        # for what shuffles the recommendations again: their own shuffles end with the copy
+        return materialize(self.top30, "top30")
+    @cached_property
+    def unseen20(self): return itemcf.remove_seen(self.recs30, self.train, SERVE_N)
 
     # coded pipeline (dense movie codes, as the models use them)
     @cached_property
@@ -425,7 +431,7 @@ def item_cf_top30(c: Ctx):
 
 
 def item_cf_top30_dedup(c: Ctx):
-    return itemcf.item_cf_recommend(c.train, TOP_N, dedupe=True, similarity=c.similarity)
+    return itemcf.item_cf_recommend(c.train, TOP_N, dedupe=True)
 
 
 def item_cf_unseen(c: Ctx):
@@ -441,16 +447,16 @@ def recs_for_users(c: Ctx):
     """Serving a given set of users: the customers of one market segment."""
     customers = fixtures.table(c.spark, c.sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
     users = customers.select(F.col("c_custkey").cast("int").alias("user_id"))
-    top = itemcf.item_cf_recommend(c.train, TOP_N, similarity=c.similarity, users=users)
+    top = itemcf.item_cf_recommend(c.train, TOP_N, users=users)
     return itemcf.remove_seen(top, serve.for_users(c.train, users), SERVE_N)
 
 
 def seen_multiset_diff(c: Ctx):
-    return itemcf.seen_multiset_diff(c.top30, c.train)
+    return itemcf.seen_multiset_diff(c.recs30, c.train)
 
 
 def matched_multiset(c: Ctx):
-    return c.top30.select("user_id", "movie_id").intersectAll(c.test.select("user_id", "movie_id"))
+    return c.recs30.select("user_id", "movie_id").intersectAll(c.test.select("user_id", "movie_id"))
 
 
 def explode_recs(c: Ctx):
@@ -515,12 +521,12 @@ def missing_names(c: Ctx):
 
 # ---------------------------------------------------------------- evaluation
 def eval_macro_at_k(c: Ctx):
-    return evaluate.eval_macro_at_k(c.top30, c.test, KS, 1, digits=DIGITS)
+    return evaluate.eval_macro_at_k(c.recs30, c.test, KS, 1, digits=DIGITS)
 
 
 def eval_macro_multiset(c: Ctx):
     """Macro metrics on rows as they are: repeated recommendations and test rows count as often as they occur."""
-    return evaluate.eval_macro_at_k(c.top30, c.test, KS, 1, digits=DIGITS, multiset=True)
+    return evaluate.eval_macro_at_k(c.recs30, c.test, KS, 1, digits=DIGITS, multiset=True)
 
 
 def grid_argmin(c: Ctx):
@@ -539,7 +545,7 @@ def grid_argmin(c: Ctx):
 
 
 def eval_micro_at_k(c: Ctx):
-    return evaluate.eval_micro_at_k(c.top30, c.train, c.test, KS, 2, digits=DIGITS)
+    return evaluate.eval_micro_at_k(c.recs30, c.train, c.test, KS, 2, digits=DIGITS)
 
 
 def rmse_item_mean(c: Ctx):
@@ -547,7 +553,7 @@ def rmse_item_mean(c: Ctx):
 
 
 def format_metrics(c: Ctx):
-    m = evaluate.eval_micro_at_k(c.top30, c.train, c.test, KS, 2, digits=DIGITS)
+    m = evaluate.eval_micro_at_k(c.recs30, c.train, c.test, KS, 2, digits=DIGITS)
     return evaluate.format_metrics(m, ["k", "matched", "precision", "recall"])
 
 

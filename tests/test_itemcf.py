@@ -321,3 +321,43 @@ def test_unseen_first_writes_no_whole_lists(spark, monkeypatch):
     want = top_n_per_group(unseen, ["user_id"], [F.desc("sim"), F.asc("movie_id"), F.asc("seed")], n)
     cols = ["user_id", "rank", "movie_id", "seed"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+@pytest.mark.parametrize("chunk", [6, itemcf.DEFAULT_CHUNK])
+def test_rounds_hold_every_pair_both_ways_once(spark, chunk):
+    rows = random_ratings(21, n_users=50, n_items=30)
+    rows += [(900, i, float(1 + i % 5)) for i in range(1, 29)] + [(901, 3, 2.0), (901, 3, 5.0), (901, 4, 1.0)] * 2
+    rows += [(u, 7, 3.0) for u in range(1, 900, 3)]  # one item holds most ratings
+    rows += [(None, 3, 2.0), (7, None, 2.0)]
+    train = spark.createDataFrame(rows, SCHEMA)
+    sim = itemcf.item_similarity(train)
+    want = {(r.item, r.neighbour): r.sim for r in itemcf.item_neighbours(sim).collect()}
+    rounds = [r.collect() for r in itemcf.item_similarity_rounds(train, chunk=chunk, round_entries=64)]
+    assert len(rounds) > 3
+    items = [{r.item_a for r in one} for one in rounds]
+    assert sum(map(len, items)) == len(set().union(*items))  # an item's pairs are all in its round
+    got = [((r.item_a, r.item_b), r.sim) for one in rounds for r in one]
+    assert len(got) == len(want) and dict(got) == pytest.approx(want)
+    for k in (2, 40):
+        lists = itemcf.nearest_lists(itemcf.item_similarity_rounds(train, chunk=chunk, round_entries=64), k)
+        plain = itemcf.neighbour_lists(itemcf.item_neighbours(sim, k))
+        cols = ["seed", "names"]
+        assert sorted(map(tuple, lists.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect()))
+
+
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_recommendations_send_lists_in_rounds(spark, monkeypatch, dedupe):
+    rows = random_ratings(22, n_users=60, n_items=40) + [(7, 3, 4.0)] * 3
+    train = spark.createDataFrame(rows, SCHEMA)
+    want = itemcf.item_cf_recommend(train, 5, dedupe=dedupe, similarity=itemcf.item_similarity(train))
+    plain, seen = itemcf.item_similarity_rounds, []
+
+    def watched(*args):
+        for one in plain(*args, round_entries=64):
+            seen.append(one)
+            yield one
+    monkeypatch.setattr(itemcf, "item_similarity_rounds", watched)
+    got = itemcf.item_cf_recommend(train, 5, dedupe=dedupe)
+    assert len(seen) > 2
+    cols = ["user_id", "rank", "movie_id", "seed"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
