@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reelstats.functions.scalars import (
@@ -12,9 +12,11 @@ from reelstats.functions.scalars import (
 )
 
 
-def dedupe(df: DataFrame) -> DataFrame:
-    """Exact-duplicate rows removed (nulls compare equal)."""
-    return df.dropDuplicates()
+def dedupe(df: DataFrame, copies: str | None = None) -> DataFrame:
+    """Exact-duplicate rows removed (nulls compare equal); ``copies`` names a column for their number."""
+    if copies is None:
+        return df.dropDuplicates()
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
 
 
 def drop_null_rows(df: DataFrame, how: str = "all", cols: list[str] | None = None) -> DataFrame:
@@ -24,11 +26,15 @@ def drop_null_rows(df: DataFrame, how: str = "all", cols: list[str] | None = Non
     behaviour); ``how="any"`` keeps only complete rows.  Unlike
     ``na.drop`` a NaN is not treated as missing.
     """
-    cols = cols or df.columns
+    return df.where(complete(cols or df.columns, how))
+
+
+def complete(cols: list[str], how: str) -> Column:
+    """True for the rows that ``drop_null_rows`` keeps."""
     if how == "all":
-        return df.where(any_not_null(cols))
+        return any_not_null(cols)
     if how == "any":
-        return df.where(all_of([F.col(c).isNotNull() for c in cols]))
+        return all_of([F.col(c).isNotNull() for c in cols])
     raise ValueError(f"how must be 'all' or 'any', got {how!r}")
 
 
@@ -56,40 +62,47 @@ def clean_tables(movies: DataFrame, ratings: DataFrame, tags: DataFrame,
 class StepCounts:
     """Rows, incomplete rows and empty rows after each cleaning step, counted by the pass that writes the table.
 
-    ``mark`` puts a counter into the plan; the numbers are there when the frame
+    ``mark`` puts one counter for several steps into the plan; the numbers are there when the frame
     that holds it has been written, without a job of their own.
     """
 
+    KINDS = ("n_rows", "n_any_null", "n_all_null", "n_colon")
+
     def __init__(self, table: str):
         self.table, self.steps = table, []
 
-    def mark(self, df: DataFrame, step: str, cols: list[str] | None = None) -> DataFrame:
-        cols = cols or df.columns
+    def mark(self, df: DataFrame, steps: dict[str, Column], cols: list[str]) -> DataFrame:
+        """``steps``: name of a step -> how many of its rows a row of ``df`` stands for."""
         seen = Observation()
-        self.steps.append((step, seen))
-        return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(any_null(cols)).alias("n_any_null"),
-                          F.count_if(~any_not_null(cols)).alias("n_all_null"),
-                          F.count_if(any_contains([c for c, t in df.dtypes if t == "string"], ":")).alias("n_colon"))
+        text = [c for c, t in df.dtypes if c in cols and t == "string"]
+        # tested once for all steps, in the code of the step before
+        tests = [F.lit(True), any_null(cols), ~any_not_null(cols), any_contains(text, ":")]
+        flags = {f"_{kind}": test for kind, test in zip(self.KINDS, tests)}
+        self.steps += [(step, seen) for step in steps]
+        counters = [F.coalesce(F.sum(F.when(F.col(f"_{kind}"), n).otherwise(F.lit(0))), F.lit(0)).cast("bigint")
+                    .alias(f"{step} {kind}") for step, n in steps.items() for kind in self.KINDS]
+        return df.withColumns(flags).observe(seen, *counters).drop(*flags)
 
     def rows(self) -> list[tuple]:
         """(table_name, step, n_rows, n_any_null, n_all_null, n_colon) in the order of the steps."""
-        out = []
-        for step, seen in self.steps:
-            n = seen.get
-            out.append((self.table, step, n["n_rows"], n["n_any_null"], n["n_all_null"], n["n_colon"]))
-        return out
+        return [(self.table, step, *[seen.get[f"{step} {kind}"] for kind in self.KINDS]) for step, seen in self.steps]
 
 
 STEP_COUNTS = "table_name string, step string, n_rows long, n_any_null long, n_all_null long, n_colon long"
 
 
 def counted_clean(df: DataFrame, table: str, how: str = "all", finish=None) -> tuple[DataFrame, StepCounts]:
-    """Dedupe -> drop missing rows -> ``finish`` (label cleanup), every step counted on the way."""
-    counts = StepCounts(table)
-    out = counts.mark(dedupe(counts.mark(df, "raw")), "deduped")
-    out = counts.mark(drop_null_rows(out, how), "complete")
+    """Dedupe -> drop missing rows -> ``finish`` (label cleanup), every step counted on the way.
+
+    The raw rows are counted as copies of the deduplicated ones, so no row is tested before the shuffle.
+    """
+    counts, cols = StepCounts(table), df.columns
+    out = counts.mark(dedupe(df, "_copies"), {
+        "raw": F.col("_copies"), "deduped": F.lit(1), "complete": F.when(complete(cols, how), 1).otherwise(0)}, cols)
+    out = drop_null_rows(out.drop("_copies"), how)
     if finish is not None:
-        out = counts.mark(finish(out), "cleaned")
+        out = finish(out)
+        out = counts.mark(out, {"cleaned": F.lit(1)}, out.columns)
     return out, counts
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from reelstats.functions.scalars import timestamp_to_epoch
+from reelstats.sources.io import spread_if_narrow
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -30,7 +31,6 @@ def _str(c) -> F.Column:
 
 
 def _order_lines(spark, sf_dir) -> DataFrame:
-    from reelstats.sources.io import spread_if_narrow
     li = spread_if_narrow(
         table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -66,7 +66,8 @@ def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movies_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p = spread_if_narrow(
+        table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
     key = F.col("p_partkey")
     writer = (F.when(key % 4 == 0, F.concat(F.lit("编剧:"), "p_brand"))
               .when(key % 4 == 1, F.concat(F.lit("主演: "), "p_brand", F.lit("...")))

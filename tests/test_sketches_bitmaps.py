@@ -82,6 +82,21 @@ def test_steps_are_counted_by_the_pass_that_writes(spark):
     assert got == {k: want[k] for k in got} and set(got) == set(want)
 
 
+def test_raw_rows_are_counted_as_copies_after_the_shuffle(spark):
+    schema = "user_id string, movie_id string, user_tag string"
+    rows = [("1", "2", "a:b")] * 3 + [("1", None, "c")] * 2 + [(None, None, None)] * 4 + [("2", "2", "a")]
+    df, counts = clean.counted_clean(spark.createDataFrame(rows, schema).repartition(3), "tags", "any")
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    metrics = [i for i, line in enumerate(plan) if "CollectMetrics" in line]
+    shuffle = min(i for i, line in enumerate(plan) if "Exchange hashpartitioning" in line)
+    assert len(metrics) == 1 and metrics[0] < shuffle  # one counter, above the shuffle
+    assert sorted(map(tuple, materialize(df, "counted").collect())) == [("1", "2", "a:b"), ("2", "2", "a")]
+    assert counts.rows() == [("tags", "raw", 10, 6, 4, 3), ("tags", "deduped", 4, 2, 1, 1), ("tags", "complete", 2, 0, 0, 1)]
+    df, counts = clean.counted_clean(spark.createDataFrame([], schema), "tags")
+    materialize(df, "counted")
+    assert counts.rows() == [("tags", step, 0, 0, 0, 0) for step in ("raw", "deduped", "complete")]
+
+
 def test_bitmaps_are_neither_sorted_nor_shuffled_to_be_built(spark):
     df = spark.createDataFrame([(i % 50, i % 7) for i in range(400)] + [(1, None), (None, 2)], "g int, k int")
     sets = bitmaps.sizes(bitmaps.key_bitmaps(df, "k", ["g"]), ["g"], "n")
