@@ -1,12 +1,13 @@
 """ALS invariants on a planted low-rank matrix (no exact oracle: random init)."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from reelstats.operators import als, evaluate
-from reelstats.session import scratch_path
+from reelstats.session import free_unused, scratch_path
 
 SCHEMA = "user_id int, movie_code int, user_rating double"
 
@@ -109,3 +110,51 @@ def test_parallel_grid_equals_sequential(spark, planted):
     assert [tuple(r)[:4] for r in a] == [tuple(r)[:4] for r in b]
     # the error is an average of partial sums, whose order is not fixed
     assert [r.rmse for r in a] == pytest.approx([r.rmse for r in b], rel=1e-12)
+
+
+def shuffles(spark):
+    """Shuffles that Spark holds files of."""
+    return spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+
+
+def test_shuffles_of_past_steps_are_deleted(spark, planted):
+    train, _ = planted
+    train = train.localCheckpoint()
+    free_unused(spark)
+    time.sleep(2)
+    before = shuffles(spark)
+    model = als.fit_als(train, rank=2, max_iter=9, reg=0.1, seed=3)
+    for _ in range(40):  # deleted by a thread of its own
+        if shuffles(spark) - before <= 8:
+            break
+        time.sleep(0.25)
+    assert shuffles(spark) - before <= 8  # not two for each of nine steps
+    assert model.rank == 2
+
+
+def test_grid_keeps_one_stored_model_and_frees_the_fits(spark, planted, monkeypatch):
+    train, check = planted
+    running, most, fit = [], [], als.fit_als
+
+    def counted(*a, **k):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return fit(*a, **k)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(als, "fit_als", counted)
+    monkeypatch.setattr(als, "FITS_AT_ONCE", train.count())
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    grid, model = als.grid_fit(train, check, ranks=(1, 2), regs=(0.01, 5.0), iters=(2, 3), seed=3, parallelism=4)
+    assert max(most) == 1  # one fit's ratings at a time
+    best = als.best_params(grid).first()
+    assert model.rank == best["rank"]
+    assert evaluate.rmse(als.predict(model, check)).first().rmse == pytest.approx(best.rmse, rel=1e-12)
+    for _ in range(40):
+        free_unused(spark)
+        if spark.sparkContext._jsc.getPersistentRDDs().size() <= cached:
+            break
+        time.sleep(0.25)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= cached  # no factors of the eight fits
