@@ -37,6 +37,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelstats.operators.nearest import nearest_lists_of, summable
 from reelstats.operators.skew import hot_keys, partitions, split_join
 from reelstats.operators.stats import top_n_per_group
 from reelstats.session import freed_shuffles, materialize, scratch_path
@@ -175,7 +176,13 @@ def co_rating_groups(rows: DataFrame, user_col: str, item_col: str, rating_col:
 
 
 def unfolded(sent: DataFrame, entry: list[str], hot: list[tuple[int, int]], tasks: int) -> DataFrame:
-    """A row for each entry of the lists ``l_*`` that come with an item's entry ``m_*``, made in the item's task.
+    """A row for each entry of the lists ``l_*`` that come with an item's entry ``m_*``, made in the item's task."""
+    sent, keys = sent_to_items(sent, entry, hot, tasks)
+    return sent.select(*keys, *[f"m_{c}" for c in entry[1:]], F.inline(F.arrays_zip(*[f"l_{c}" for c in entry])))
+
+
+def sent_to_items(sent: DataFrame, entry: list[str], hot: list[tuple[int, int]], tasks: int) -> tuple[DataFrame, list[str]]:
+    """The rows in their item's task, and the columns that say which that is.
 
     The lists of the ``hot`` items are dealt over tasks by the hash of the other item.
     """
@@ -192,8 +199,7 @@ def unfolded(sent: DataFrame, entry: list[str], hot: list[tuple[int, int]], task
         sent = dealt.select(*[f"m_{c}" for c in entry], "_salt", *[
             F.when(F.col("_tasks") > 1, F.col(f"_mine.l_{c}")).otherwise(F.col(f"l_{c}")).alias(f"l_{c}") for c in entry])
         keys.append("_salt")
-    return sent.repartition(tasks, *keys).select(
-        *keys, *[f"m_{c}" for c in entry[1:]], F.inline(F.arrays_zip(*[f"l_{c}" for c in entry])))
+    return sent.repartition(tasks, *keys), keys
 
 
 def summed(pairs: DataFrame, with_means: bool) -> DataFrame:
@@ -234,9 +240,12 @@ def with_similarity(sums: DataFrame) -> DataFrame:
 
 def item_similarity_rounds(train: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
                            rating_col: str = "user_rating", mean_key: str = "item", chunk: int = DEFAULT_CHUNK,
-                           round_entries: int = ROUND_ENTRIES) -> Iterator[DataFrame]:
+                           nearest: int | None = None, round_entries: int = ROUND_ENTRIES) -> Iterator[DataFrame]:
     """The ``item_similarity`` of every co-rated pair in both directions, a frame for each round of ``item_a``.
 
+    With ``nearest`` a frame holds the ``neighbour_lists`` of that many best instead; where items are
+    whole numbers a pair then never becomes a row (``operators.nearest``).
+
     The users' lists are written once.  An item of a round meets the whole lists of its raters, so all its
     pairs lie in its task and what a round sends is over when its frame has been written.  The number of
     rounds grows until a round sends about ``ROUND_LENGTH`` entries a rating (at least ``round_entries``),
@@ -254,8 +263,32 @@ def item_similarity_rounds(train: DataFrame, user_col: str = "user_id", item_col
         sent = (whole_lists(lists, most, chunk, part, parts).select("theirs", F.explode("mine").alias("me"))
                 .select(*[F.col(f"me.{c}").alias(f"m_{c}") for c in entry],
                         *[F.col(f"theirs.{c}").alias(f"l_{c}") for c in entry]))
-        met = unfolded(sent, entry, [(h, min(n, tasks)) for h, n in hot], tasks)
-        yield with_similarity(summed(met.where(F.col("m_i") != F.col("l_i")), True))
+        dealt = [(h, min(n, tasks)) for h, n in hot]
+        if nearest is not None and summable(train, item_col, rating_col):
+            yield nearest_of_sent(*sent_to_items(sent, entry, dealt, tasks), nearest)
+            continue
+        met = unfolded(sent, entry, dealt, tasks)
+        sim = with_similarity(summed(met.where(F.col("m_i") != F.col("l_i")), True))
+        yield sim if nearest is None else neighbour_lists(nearest_of_pairs(sim, nearest))
+
+
+def nearest_of_sent(sent: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """``neighbour_lists`` of the ``k`` best of every item of ``sent_to_items``."""
+    kind = sent.schema["m_i"].dataType.simpleString()
+    ansi = sent.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
+    rows = sent.sortWithinPartitions("m_i").select(*[f"{x}_{c}" for x in ("m", "l") for c in ("i", "r", "w", "mean")])
+    lists = rows.mapInArrow(nearest_lists_of(k, ansi), f"seed {kind}, names array<{kind}>, sims array<double>")
+    if "_salt" not in keys:
+        return lists
+    # an item that was dealt over tasks has a list from each
+    pairs = lists.select(F.col("seed").alias("item_a"), F.inline(F.arrays_zip("names", "sims"))).toDF("item_a", "item_b", "sim")
+    return neighbour_lists(nearest_of_pairs(pairs, k))
+
+
+def nearest_of_pairs(sim: DataFrame, k: int) -> DataFrame:
+    """(item, neighbour, sim, rank): the ``k`` best of pairs in both directions."""
+    directed = sim.select(F.col("item_a").alias("item"), F.col("item_b").alias("neighbour"), "sim")
+    return top_n_per_group(directed, ["item"], [F.desc("sim"), F.asc("neighbour")], k)
 
 
 def kth_floors(sim: DataFrame, k: int, items: DataFrame) -> tuple[Column, int]:
@@ -332,11 +365,10 @@ def nearest_lists(rounds: Iterable[DataFrame], k: int) -> DataFrame:
     paths, spark = [], None
     for sim in rounds:
         spark = sim.sparkSession
-        directed = sim.select(F.col("item_a").alias("item"), F.col("item_b").alias("neighbour"), "sim")
-        best = top_n_per_group(directed, ["item"], [F.desc("sim"), F.asc("neighbour")], k)
+        lists = sim if "names" in sim.columns else neighbour_lists(nearest_of_pairs(sim, k))
         paths.append(scratch_path(spark, "nearest-lists"))
         with freed_shuffles(spark):
-            neighbour_lists(best).write.parquet(paths[-1])
+            lists.write.parquet(paths[-1])
     return spark.read.parquet(*paths)
 
 
@@ -454,7 +486,7 @@ def item_cf_recommend(train: DataFrame, n: int = 30, user_col: str = "user_id",
     """
     # the similarity always uses every user; ``users`` only limits who is served
     if similarity is None:
-        lists = nearest_lists(item_similarity_rounds(train, user_col, item_col, rating_col, mean_key, chunk), n)
+        lists = nearest_lists(item_similarity_rounds(train, user_col, item_col, rating_col, mean_key, chunk, n), n)
         cand = reachable_from_lists(train, lists, n, user_col, item_col, min_rated, users, dedupe)
     else:
         nb = item_neighbours(similarity, n, train.select(F.col(item_col).alias("item")).where("item is not null"))
