@@ -73,3 +73,33 @@ def test_means_that_add_up_to_zero_fail_as_the_division_does(spark):
         itemcf.nearest_lists(itemcf.item_similarity_rounds(train, nearest=2), 2)
     pairs = tuple(np.array(x) for x in ([1], [2.0], [2], [4.0], [-2.0]))
     assert np.isnan(nearest.best(pairs, 2, False)[2]).all()
+
+
+def test_neighbours_come_from_rounds(spark):
+    train = spark.createDataFrame(ratings(9), SCHEMA)
+    got = itemcf.nearest_neighbours(train, 4, chunk=6)
+    want = itemcf.item_neighbours(itemcf.item_similarity(train, chunk=6), 4)
+    assert got.dtypes == want.dtypes
+
+    def rows(df): return sorted((r.item, r.rank, r.neighbour, round(r.sim, 12)) for r in df.collect())
+    assert rows(got) == rows(want)
+
+
+def test_wanted_items_meet_every_other(spark):
+    train = spark.createDataFrame(ratings(10), SCHEMA)
+    wanted = spark.createDataFrame([(3,), (7,), (7,), (11,), (999,)], "item int")
+    for chunk in (6, 2048):
+        rounds = itemcf.item_similarity_rounds(train, chunk=chunk, nearest=5, wanted=wanted)
+        some = lists_of(itemcf.nearest_lists(rounds, 5))
+        every = lists_of(itemcf.nearest_lists(itemcf.item_similarity_rounds(train, chunk=chunk, nearest=5), 5))
+        assert some == [x for x in every if x[0] in (3, 7, 11)] and len(some) == 3
+
+
+def test_queries_of_nearest_lists_shuffle_no_whole_similarity(spark, monkeypatch):
+    from reelstats.plans.catalog import QUERIES
+
+    def refused(*args, **options):
+        raise AssertionError("the whole similarity in one shuffle")
+    monkeypatch.setattr(itemcf, "item_similarity", refused)
+    for name in ("item_neighbours", "item_cf_unseen_first"):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
