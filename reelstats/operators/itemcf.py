@@ -156,7 +156,7 @@ def whole_lists(lists: DataFrame, most: int, chunk: int, part: int, parts: int)
 
 def co_rating_groups(rows: DataFrame, user_col: str, item_col: str, rating_col: str, chunk: int,
                      means: DataFrame | None = None) -> DataFrame:
-    """(item_a, item_b, s, n_common[, mean_a, mean_b]) with item_a < item_b.
+    """(item_a, item_b, s, n_common[, mean_a, mean_b]) with item_a < item_b; other columns of ``means`` come likewise.
 
     Every rating travels to its item once, with the part of its user's list that
     follows it: a co-rating costs a list entry of the shuffle, not a row, and all sums
@@ -164,7 +164,8 @@ def co_rating_groups(rows: DataFrame, user_col: str, item_col: str, rating_col:
     the ratings are dealt over tasks by the hash of the other item.
     """
     named = rows.select(F.col(user_col).alias("u"), F.col(item_col).alias("i"), F.col(rating_col).alias("r"))
-    entry = ["i", "r", "w"] + (["mean"] if means is not None else [])
+    also = [c for c in means.columns if c != "item"] if means is not None else []
+    entry = ["i", "r", "w", *also]
     most, work = pair_work(named, "u")
     tasks = tasks_for(rows, work)
     # entries behind mine: known in my own list, counted in another bucket's
@@ -177,7 +178,7 @@ def co_rating_groups(rows: DataFrame, user_col: str, item_col: str, rating_col:
             .withColumn("start", start).where(F.col("start") < F.size("theirs"))
             .select(*[F.col(f"me.{c}").alias(f"m_{c}") for c in entry], *tails))
     met = unfolded(sent, entry, hot_keys(named.select("i"), "i", tasks), tasks)
-    return summed(met.where(F.col("m_i") < F.col("l_i")), means is not None)
+    return summed(met.where(F.col("m_i") < F.col("l_i")), also)
 
 
 def unfolded(sent: DataFrame, entry: list[str], hot: list[tuple[int, int]], tasks: int) -> DataFrame:
@@ -207,14 +208,14 @@ def sent_to_items(sent: DataFrame, entry: list[str], hot: list[tuple[int, int]],
     return sent.repartition(tasks, *keys), keys
 
 
-def summed(pairs: DataFrame, with_means: bool) -> DataFrame:
-    """(item_a, item_b, s, n_common[, mean_a, mean_b]) of ``unfolded`` rows, summed where they lie."""
+def summed(pairs: DataFrame, also: list[str]) -> DataFrame:
+    """(item_a, item_b, s, n_common) of ``unfolded`` rows, summed where they lie, with what they say ``also`` of both items."""
     keys = ["m_i"] + [c for c in pairs.columns if c == "_salt"]
     ww = F.col("m_w") * F.col("l_w")
     sums = [F.sum(F.least("m_r", "l_r") * ww).alias("s"), F.sum(ww).cast("bigint").alias("n_common")]
-    if with_means:  # one value per item
-        sums += [F.first("m_mean").alias("mean_a"), F.first("l_mean").alias("mean_b")]
-    out = ["s", "n_common"] + (["mean_a", "mean_b"] if with_means else [])
+    for c in also:  # one value per item
+        sums += [F.first(f"m_{c}").alias(f"{c}_a"), F.first(f"l_{c}").alias(f"{c}_b")]
+    out = ["s", "n_common", *[f"{c}_{x}" for c in also for x in ("a", "b")]]
     return (pairs.groupBy(*keys, "l_i").agg(*sums)
             .select(F.col("m_i").alias("item_a"), F.col("l_i").alias("item_b"), *out))
 
@@ -246,7 +247,7 @@ def with_similarity(sums: DataFrame) -> DataFrame:
 def item_similarity_rounds(train: DataFrame, user_col: str = "user_id", item_col: str = "movie_id",
                            rating_col: str = "user_rating", mean_key: str = "item", chunk: int = DEFAULT_CHUNK,
                            nearest: int | None = None, wanted: DataFrame | None = None,
-                           round_entries: int = ROUND_ENTRIES) -> Iterator[DataFrame]:
+                           means: DataFrame | None = None, round_entries: int = ROUND_ENTRIES) -> Iterator[DataFrame]:
     """The ``item_similarity`` of every co-rated pair in both directions, a frame for each round of ``item_a``.
 
     With ``nearest`` a frame holds the ``neighbour_lists`` of that many best instead; where items are
@@ -261,7 +262,7 @@ def item_similarity_rounds(train: DataFrame, user_col: str = "user_id", item_col
     named = train.select(F.col(user_col).alias("u"), F.col(item_col).alias("i"), F.col(rating_col).alias("r"))
     entry = ["i", "r", "w", "mean"]
     most, pairs = pair_work(named, "u")
-    means = item_means(train, user_col, item_col, rating_col, mean_key)
+    means = item_means(train, user_col, item_col, rating_col, mean_key) if means is None else means
     if wanted is not None:
         means = means.join(wanted.select("item").distinct().withColumn("wanted", F.lit(True)), "item", "left").fillna(
             False, ["wanted"])
@@ -278,7 +279,7 @@ def item_similarity_rounds(train: DataFrame, user_col: str = "user_id", item_col
             yield nearest_of_sent(*sent_to_items(sent, entry, dealt, tasks), nearest)
             continue
         met = unfolded(sent, entry, dealt, tasks)
-        sim = with_similarity(summed(met.where(F.col("m_i") != F.col("l_i")), True))
+        sim = with_similarity(summed(met.where(F.col("m_i") != F.col("l_i")), ["mean"]))
         yield sim if nearest is None else neighbour_lists(nearest_of_pairs(sim, nearest))
 
 
@@ -383,10 +384,13 @@ def nearest_lists(rounds: Iterable[DataFrame], k: int) -> DataFrame:
 
 
 def nearest_neighbours(train: DataFrame, k: int, user_col: str = "user_id", item_col: str = "movie_id",
-                       rating_col: str = "user_rating", mean_key: str = "item",
-                       chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """(item, neighbour, sim, rank): ``item_neighbours`` of the ``item_similarity``, summed in rounds of items."""
-    lists = nearest_lists(item_similarity_rounds(train, user_col, item_col, rating_col, mean_key, chunk, k), k)
+                       rating_col: str = "user_rating", mean_key: str = "item", chunk: int = DEFAULT_CHUNK,
+                       means: DataFrame | None = None) -> DataFrame:
+    """(item, neighbour, sim, rank): ``item_neighbours`` of the ``item_similarity``, summed in rounds of items.
+
+    ``means`` (item, mean) may be those of other ratings.
+    """
+    lists = nearest_lists(item_similarity_rounds(train, user_col, item_col, rating_col, mean_key, chunk, k, means=means), k)
     return lists.select(F.col("seed").alias("item"), F.posexplode(F.arrays_zip("names", "sims")).alias("_at", "_one")).select(
         "item", F.col("_one.names").alias("neighbour"), F.col("_one.sims").alias("sim"),
         (F.col("_at") + 1).cast("int").alias("rank"))

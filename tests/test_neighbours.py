@@ -55,3 +55,40 @@ def test_most_pairs_of_a_heavy_user_are_never_formed(spark):
     out, formed = neighbours.pruned(train, 5, chunk=50)
     assert rows_of(out) == rows_of(itemcf.item_neighbours(itemcf.item_similarity(train), 5))
     assert 0 < formed.count() < 0.15 * 200 * 199
+
+
+def test_pairs_of_a_heavy_user_grow_with_the_history_alone(spark):
+    """Every pair of the heavy user ties with the bound: k + 1 partners of each rating are formed, not all."""
+    rows = [(2 * i + d, x, 3.0) for i in range(0, 240, 4) for d in (0, 1) for x in range(i, i + 4)]
+    rows += [(9999, i, float(3 + i % 2)) for i in range(240)]
+    train = spark.createDataFrame(rows, "user_id int, movie_id int, user_rating double")
+    for k in (1, 4):
+        out, formed = neighbours.pruned(train, k, chunk=50)
+        assert rows_of(out) == rows_of(itemcf.item_neighbours(itemcf.item_similarity(train), k))
+        assert formed.count() <= 240 * 2 * (k + 1)
+
+
+def test_light_pairs_are_not_written_whole(spark, monkeypatch):
+    train = ratings(spark, 6, heavy=1, items=60).where("user_id < 1000 or movie_id < 40")
+    plain, written = neighbours.materialize, {}
+
+    def watched(df, name, *args):
+        written[name] = plain(df, name, *args)
+        return written[name]
+    monkeypatch.setattr(neighbours, "materialize", watched)
+    out = neighbours.pruned_neighbours(train, 3, chunk=9)
+    want = itemcf.item_neighbours(itemcf.item_similarity(train), 3)
+    assert rows_of(out) == rows_of(want)
+    assert "light-pairs" not in written
+    heavy_items = {r.i for r in written["item-bounds"].collect()}
+    assert {x for r in written["lifted-pairs"].collect() for x in (r.a, r.b)} <= heavy_items
+
+
+@pytest.mark.parametrize("odd", [0.0, None])
+def test_ratings_of_nothing_are_not_pruned(spark, odd):
+    train = ratings(spark, 7).union(spark.createDataFrame([(1000, i, odd) for i in range(200, 215)],
+                                                          "user_id int, movie_id int, user_rating double"))
+    train = train.union(spark.createDataFrame([(2000, i, 2.0) for i in range(200, 215)], train.schema))  # a mean
+    want = itemcf.item_neighbours(itemcf.item_similarity(train), 3)
+    out, formed = neighbours.pruned(train, 3, chunk=12)
+    assert formed is None and rows_of(out) == rows_of(want)
