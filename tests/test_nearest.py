@@ -103,3 +103,25 @@ def test_queries_of_nearest_lists_shuffle_no_whole_similarity(spark, monkeypatch
     monkeypatch.setattr(itemcf, "item_similarity", refused)
     for name in ("item_neighbours", "item_cf_unseen_first"):
         assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+@pytest.mark.parametrize("at_once,cell_rows", [(16, 50), (1 << 20, 50), (64, 1 << 22)])
+def test_candidate_totals_equal_those_summed_by_spark(spark, monkeypatch, at_once, cell_rows):
+    monkeypatch.setattr(nearest, "AT_ONCE", at_once)
+    train = spark.createDataFrame(ratings(11) + [(5, 3, 2.5)] * 3 + [(None, 4, 2.0), (60, 77, None), (60, 78, None)], SCHEMA)
+    near = itemcf.item_neighbours(itemcf.item_similarity(train)).localCheckpoint()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = itemcf.candidate_totals(train, near, cell_rows=cell_rows)
+        assert "MapInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
+        rows = [tuple(r) for r in got.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    text = train.withColumn("user_id", train.user_id.cast("string"))  # summed by Spark
+    plain = itemcf.candidate_totals(text, near, cell_rows=cell_rows)
+    want = plain.withColumn("user_id", plain.user_id.cast("int"))
+    assert got.dtypes == want.dtypes
+
+    def key(r): return (r[0], r[1])
+    assert sorted(rows, key=key) == sorted(map(tuple, want.collect()), key=key)
+    assert len(rows) > 300
